@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import benefits as B
+from ..operators import commute as K
+from ..operators import quality as Q
 from ..sources import fixtures as fx
 from ..sources.tables import Tables
 
@@ -88,3 +90,83 @@ def q_employee_benefits(spark, sf_dir):
 def q_as_of_year(spark, sf_dir):
     a = fx.activities(_t(spark, sf_dir))
     return B.as_of_year_activities(a, fx.AS_OF_YEAR).select("activity_id", "employee_id", "start_ts")
+
+
+# ---------------------------------------------------------------------------
+# Commute rule (K1-K6)
+# ---------------------------------------------------------------------------
+@query("commute_anomalies")
+def q_commute_anomalies(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return K.commute_anomalies(fx.commute_checks(t), fx.employees(t))
+
+
+@query("commute_anomalies_top5")
+def q_commute_anomalies_top5(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return K.commute_anomalies_top5(fx.commute_checks(t), fx.employees(t))
+
+
+@query("assess_commute")
+def q_assess_commute(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return K.assess_commute(fx.commute_checks(t), fx.employees(t))
+
+
+@query("seed_commute_checks")
+def q_seed_commute_checks(spark, sf_dir):
+    return K.seed_commute_checks(fx.employees(_t(spark, sf_dir)), fx.LOAD_TS)
+
+
+@query("repair_commute_checks")
+def q_repair_commute_checks(spark, sf_dir):
+    return K.repair_commute_checks(K.seed_commute_checks(fx.employees(_t(spark, sf_dir)), fx.LOAD_TS))
+
+
+@query("commute_validation")
+def q_commute_validation(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return K.commute_validation(K.assess_commute(fx.commute_checks(t), fx.employees(t)))
+
+
+# ---------------------------------------------------------------------------
+# Quality gate (Q1-Q21) on the dirty fixture variants
+# ---------------------------------------------------------------------------
+def _dirty(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return fx.dirty_employees(t), fx.dirty_activities(t), fx.dirty_commute_checks(t)
+
+
+def _single(key):
+    def run(spark, sf_dir):
+        e, a, c = _dirty(spark, sf_dir)
+        return Q.single_check(key, e, a, c)
+    run.__name__ = f"q_{key}"
+    return run
+
+
+for _key in Q.ALL_CHECK_KEYS:
+    query(_key)(_single(_key))
+
+
+@query("quality_report")
+def q_quality_report(spark, sf_dir):
+    return Q.quality_report(*_dirty(spark, sf_dir))
+
+
+@query("quality_gate")
+def q_quality_gate(spark, sf_dir):
+    return Q.quality_gate(Q.quality_report(*_dirty(spark, sf_dir)))
+
+
+@query("quality_report_clean")
+def q_quality_report_clean(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return Q.quality_report(fx.employees(t), fx.activities(t), fx.commute_checks(t))
+
+
+@query("commute_fail_pass")
+def q_commute_fail_pass(spark, sf_dir):
+    e = fx.employees(_t(spark, sf_dir))
+    seeded = K.seed_commute_checks(e, fx.LOAD_TS)
+    return Q.fail_pass_demo(e, seeded, K.repair_commute_checks(seeded))
