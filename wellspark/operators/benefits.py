@@ -52,11 +52,12 @@ def activity_year_counts(activities: DataFrame, as_of_year: int,
     )
 
 
-def benefits_base(employees: DataFrame, counts: DataFrame) -> DataFrame:
+def benefits_base(employees: DataFrame, counts: DataFrame, extra_cols=()) -> DataFrame:
     """B2: employees LEFT JOIN yearly counts; employees without activity get 0."""
-    e = employees.select("employee_id", "commute_mode", "sport_profile", "gross_salary", "is_active")
+    cols = ["employee_id", "commute_mode", "sport_profile", "gross_salary", "is_active", *extra_cols]
+    e = employees.select(*cols)
     return e.join(counts, "employee_id", "left").select(
-        "employee_id", "commute_mode", "sport_profile", "gross_salary", "is_active",
+        *cols,
         F.coalesce(F.col("nb_activities_year"), F.lit(0)).cast("int").alias("nb_activities_year"),
         F.coalesce(F.col("nb_sport_activities_year"), F.lit(0)).cast("int")
          .alias("nb_sport_activities_year"),
@@ -112,10 +113,10 @@ BENEFIT_COLUMNS = (
 
 
 def rules_applied(employees: DataFrame, activities: DataFrame, as_of_year: int,
-                  params: Params = DEFAULT_PARAMS) -> DataFrame:
-    """B2-B7 chained (the CTE chain before projection)."""
+                  params: Params = DEFAULT_PARAMS, extra_cols=()) -> DataFrame:
+    """B2-B7 chained (the CTE chain before projection); ``extra_cols`` ride along from employees."""
     counts = activity_year_counts(activities, as_of_year, prefilter=True)
-    df = benefits_base(employees, counts)
+    df = benefits_base(employees, counts, extra_cols)
     df = with_commute_eligible(df)
     df = with_wellness_eligible(df, params)
     df = with_sport_bonus(df, params)

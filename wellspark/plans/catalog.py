@@ -15,6 +15,14 @@ from pyspark.sql import functions as F
 from ..operators import benefits as B
 from ..operators import commute as K
 from ..operators import quality as Q
+from ..operators import clean as C
+from ..operators import constraints as V
+from ..operators import marts as M
+from ..operators import reports as R
+from .. import schemas
+from ..session import scratch_path
+from ..sources import ingest as I
+from ..sources import sinks as S
 from ..sources import fixtures as fx
 from ..sources.tables import Tables
 
@@ -170,3 +178,249 @@ def q_commute_fail_pass(spark, sf_dir):
     e = fx.employees(_t(spark, sf_dir))
     seeded = K.seed_commute_checks(e, fx.LOAD_TS)
     return Q.fail_pass_demo(e, seeded, K.repair_commute_checks(seeded))
+
+
+# ---------------------------------------------------------------------------
+# Declared constraints (V1-V4)
+# ---------------------------------------------------------------------------
+@query("pk_violations")
+def q_pk_violations(spark, sf_dir):
+    return V.pk_violations(fx.dirty_employees(_t(spark, sf_dir)), schemas.PRIMARY_KEYS["employees"])
+
+
+@query("pk_violations_composite")
+def q_pk_violations_composite(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    facts = M.fact_sport_bonus(fx.dirty_employees(t), fx.dirty_activities(t), fx.AS_OF_YEAR, fx.LOAD_TS)
+    return V.pk_violations(facts, schemas.PRIMARY_KEYS["fact_sport_bonus"])
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return V.fk_orphans(fx.dirty_activities(t), fx.employees(t), "employee_id").select("activity_id", "employee_id")
+
+
+@query("check_violations")
+def q_check_violations(spark, sf_dir):
+    return V.check_violations(fx.dirty_activities(_t(spark, sf_dir)), schemas.CHECKS["activities"],
+                              ("activity_id",))
+
+
+@query("not_null_violations")
+def q_not_null_violations(spark, sf_dir):
+    return V.not_null_violations(fx.dirty_employees(_t(spark, sf_dir)), schemas.NOT_NULL["employees"],
+                                 "clean.employees")
+
+
+# ---------------------------------------------------------------------------
+# Ingest and sinks
+# ---------------------------------------------------------------------------
+@query("ingest_hr_snapshot")
+def q_ingest_hr_snapshot(spark, sf_dir):
+    raw = I.ingest_hr_snapshot(fx.hr_sheet(_t(spark, sf_dir)), fx.HR_SNAPSHOT_TS[1])
+    return raw.drop("snapshot_id")
+
+
+@query("ingest_sport_snapshot")
+def q_ingest_sport_snapshot(spark, sf_dir):
+    return fx.sport_raw(_t(spark, sf_dir)).drop("snapshot_id")
+
+
+@query("stamp_snapshot")
+def q_stamp_snapshot(spark, sf_dir):
+    raw = fx.hr_raw(_t(spark, sf_dir))
+    return raw.agg(F.count(F.lit(1)).alias("n_rows"),
+                   F.count_distinct("snapshot_id").alias("n_snapshot_ids"),
+                   F.count_distinct("ingested_ts").alias("n_loads"))
+
+
+@query("latest_snapshot")
+def q_latest_snapshot(spark, sf_dir):
+    return I.latest_snapshot(fx.hr_raw(_t(spark, sf_dir))).drop("snapshot_id")
+
+
+def _clean_employees(t):
+    hr = I.latest_snapshot(fx.hr_raw(t))
+    sp = I.latest_snapshot(fx.sport_raw(t))
+    return C.clean_employees(hr, sp, fx.LOAD_TS)
+
+
+@query("full_refresh")
+def q_full_refresh(spark, sf_dir):
+    """Writes the clean employees twice (idempotent re-run) and reads the table back."""
+    emp = _clean_employees(_t(spark, sf_dir))
+    path = scratch_path(spark, "clean_employees")
+    pk = lambda df: V.pk_violations(df, schemas.PRIMARY_KEYS["employees"])
+    S.full_refresh(emp, path, [pk])
+    return S.full_refresh(emp, path, [pk])
+
+
+@query("cascade_refresh")
+def q_cascade_refresh(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return S.cascade_refresh(fx.dirty_activities(t), fx.employees(t), mode="prune")
+
+
+@query("rebuild_table")
+def q_rebuild_table(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    benefits = B.employee_benefits(fx.employees(t), fx.activities(t), fx.AS_OF_YEAR, fx.LOAD_TS)
+    path = scratch_path(spark, "employee_benefits")
+    return S.rebuild_table(benefits, path, schemas.EMPLOYEE_BENEFITS)
+
+
+@query("require_non_empty")
+def q_require_non_empty(spark, sf_dir):
+    return I.require_non_empty(fx.employees(_t(spark, sf_dir)), "clean.employees").select("employee_id")
+
+
+@query("optional_source")
+def q_optional_source(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    missing = I.optional_source(spark, t.path("activities_archive"))
+    return I.source_status({"activities": fx.activities(t), "commute_checks": fx.commute_checks(t),
+                            "activities_archive": missing})
+
+
+# ---------------------------------------------------------------------------
+# Clean zone
+# ---------------------------------------------------------------------------
+@query("coerce_employee_id")
+def q_coerce_employee_id(spark, sf_dir):
+    hr = I.latest_snapshot(fx.hr_raw(_t(spark, sf_dir)))
+    return C.coerce_employee_id(hr).select("employee_id_raw", "employee_id")
+
+
+@query("rejected_ids")
+def q_rejected_ids(spark, sf_dir):
+    return C.rejected_ids(I.latest_snapshot(fx.hr_raw(_t(spark, sf_dir))))
+
+
+@query("join_sport_profile")
+def q_join_sport_profile(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    j = C.join_sport_profile(I.latest_snapshot(fx.hr_raw(t)), I.latest_snapshot(fx.sport_raw(t)))
+    return j.select("employee_id", "employee_id_raw", "sport_practice_raw")
+
+
+@query("clean_employees")
+def q_clean_employees(spark, sf_dir):
+    return _clean_employees(_t(spark, sf_dir))
+
+
+@query("stamp_updated_ts")
+def q_stamp_updated_ts(spark, sf_dir):
+    return _clean_employees(_t(spark, sf_dir)).select("employee_id", "updated_ts")
+
+
+@query("clean_activities")
+def q_clean_activities(spark, sf_dir):
+    return C.clean_activities(fx.dirty_activities(_t(spark, sf_dir)))
+
+
+@query("bounded_activity_id")
+def q_bounded_activity_id(spark, sf_dir):
+    return C.activity_id_report(C.bounded_activity_id(fx.activities(_t(spark, sf_dir))))
+
+
+@query("derive_activity_window")
+def q_derive_activity_window(spark, sf_dir):
+    return C.derive_activity_window(fx.dirty_activities(_t(spark, sf_dir)))
+
+
+@query("activity_plausibility")
+def q_activity_plausibility(spark, sf_dir):
+    return C.activity_plausibility(fx.activities(_t(spark, sf_dir)), fx.LOAD_TS)
+
+
+# ---------------------------------------------------------------------------
+# Marts (M1-M7)
+# ---------------------------------------------------------------------------
+@query("dim_employee")
+def q_dim_employee(spark, sf_dir):
+    return M.dim_employee(fx.employees(_t(spark, sf_dir)))
+
+
+@query("fact_activity")
+def q_fact_activity(spark, sf_dir):
+    return M.fact_activity(fx.activities(_t(spark, sf_dir)))
+
+
+@query("fact_sport_bonus")
+def q_fact_sport_bonus(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return M.fact_sport_bonus(fx.employees(t), fx.activities(t), fx.AS_OF_YEAR, fx.LOAD_TS)
+
+
+@query("fact_wellness_days")
+def q_fact_wellness_days(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return M.fact_wellness_days(fx.employees(t), fx.activities(t), fx.LOAD_TS)
+
+
+@query("fact_declaration_anomalies")
+def q_fact_declaration_anomalies(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return M.fact_declaration_anomalies(fx.commute_checks(t), fx.employees(t))
+
+
+KPI_DAG_ID = "wellspark_daily"
+
+
+@query("kpi_pipeline_daily")
+def q_kpi_pipeline_daily(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    anomalies = K.commute_anomalies(fx.commute_checks(t), fx.employees(t))
+    return M.kpi_pipeline_daily(fx.hr_raw(t), fx.sport_raw(t), fx.activities(t), anomalies, KPI_DAG_ID)
+
+
+@query("run_log")
+def q_run_log(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    hr_sheet = fx.hr_sheet(t)
+    hr_latest = I.latest_snapshot(fx.hr_raw(t))
+    tasks = [
+        ("ingest_hr", hr_sheet, I.ingest_hr_snapshot(hr_sheet, fx.HR_SNAPSHOT_TS[1])),
+        ("clean_employees", hr_latest, _clean_employees(t)),
+        ("clean_activities", fx.dirty_activities(t), C.clean_activities(fx.dirty_activities(t))),
+        ("employee_benefits", fx.employees(t),
+         B.employee_benefits(fx.employees(t), fx.activities(t), fx.AS_OF_YEAR, fx.LOAD_TS)),
+    ]
+    return M.run_log(1, KPI_DAG_ID, tasks)
+
+
+# ---------------------------------------------------------------------------
+# Reports (RP1-RP6)
+# ---------------------------------------------------------------------------
+@query("report_wellness_days")
+def q_report_wellness_days(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return R.report_wellness_days(fx.employees(t), fx.activities(t), fx.AS_OF_YEAR)
+
+
+@query("report_practices")
+def q_report_practices(spark, sf_dir):
+    return R.report_practices(fx.employees(_t(spark, sf_dir)))
+
+
+@query("report_benefit_cost")
+def q_report_benefit_cost(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return R.report_benefit_cost(fx.employees(t), fx.activities(t), fx.AS_OF_YEAR)
+
+
+@query("report_activity_volume")
+def q_report_activity_volume(spark, sf_dir):
+    return R.report_activity_volume(fx.activities(_t(spark, sf_dir)))
+
+
+@query("report_anomalies")
+def q_report_anomalies(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return R.report_anomalies(fx.commute_checks(t), fx.employees(t))
+
+
+@query("report_flow_breaks")
+def q_report_flow_breaks(spark, sf_dir):
+    return R.report_flow_breaks(fx.activities(_t(spark, sf_dir)))
