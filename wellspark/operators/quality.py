@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
@@ -106,36 +106,40 @@ def table_metrics(df: DataFrame, checks, key: str | None) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(p).alias(k) for k, p in preds.items()])
 
 
-def _row(order: int, name: str, ok: Column, details: Column, when_empty) -> Column:
-    return F.struct(F.lit(order).alias("check_order"), F.lit(name).alias("check_name"),
-                    ok.alias("ok"), details.alias("details"),
-                    F.lit(when_empty).cast("boolean").alias("_when_empty"))
+def _sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _detail(label: str, value: Column) -> Column:
-    return F.concat(F.lit(f"{label}="), value.cast("string"))
+def _row(order: int, name: str, ok: str, details: str, when_empty) -> str:
+    """One report row as a SQL ``named_struct`` (the whole array is one expression)."""
+    flag = "CAST(NULL AS BOOLEAN)" if when_empty is None else ("TRUE" if when_empty else "FALSE")
+    return (f"named_struct('check_order', {order}, 'check_name', {_sql(name)}, 'ok', {ok}, "
+            f"'details', {details}, '_when_empty', {flag})")
 
 
-def _check_row(c: Check, params: Params) -> Column:
-    v = F.col("_rows") if c.kind in ("rows", "volume") else F.col(c.key)
+def _detail(label: str, value: str) -> str:
+    return f"concat({_sql(label + '=')}, CAST({value} AS STRING))"
+
+
+def _check_row(c: Check, params: Params) -> str:
+    v = "_rows" if c.kind in ("rows", "volume") else c.key
     if c.kind == "rows":
-        return _row(c.order, c.name, v > 0, _detail(c.label, v), False)
+        return _row(c.order, c.name, f"{v} > 0", _detail(c.label, v), False)
     if c.kind == "volume":
         m = params.min_activities_rows
-        ok = v >= F.lit(m)
-        details = F.concat(F.lit("row_count="), v.cast("string"),
-                           F.when(ok, F.lit(f" >= min_required={m}")).otherwise(F.lit(f" < min_required={m}")))
-        return _row(c.order, c.name, ok, details, False)
+        details = (f"concat('row_count=', CAST({v} AS STRING), CASE WHEN {v} >= {m} "
+                   f"THEN {_sql(f' >= min_required={m}')} ELSE {_sql(f' < min_required={m}')} END)")
+        return _row(c.order, c.name, f"{v} >= {m}", details, False)
     if c.kind == "anomalies":
-        return _row(c.order, c.name, v == 0,
-                    F.concat(F.lit("anomalies="), v.cast("string"), F.lit(RULE_DETAIL_SUFFIX)), False)
-    return _row(c.order, c.name, v == 0, _detail(c.label, v), False)
+        return _row(c.order, c.name, f"{v} = 0",
+                    f"concat('anomalies=', CAST({v} AS STRING), {_sql(RULE_DETAIL_SUFFIX)})", False)
+    return _row(c.order, c.name, f"{v} = 0", _detail(c.label, v), False)
 
 
-def _explode(metrics: DataFrame, rows: list[Column], skip_on_empty: bool) -> DataFrame:
-    out = metrics.select(F.inline(F.array(*rows)))
-    if skip_on_empty:
-        out = out.where(F.col("_when_empty") == (F.col("_rows") == 0)) if "_rows" in out.columns else out
+def _explode(metrics: DataFrame, rows: list[str]) -> DataFrame:
+    """Report rows from the one-row metrics; SKIP rows only when the table is empty."""
+    out = metrics.selectExpr("_rows", f"inline(array({', '.join(rows)}))")
+    out = out.where("_when_empty IS NULL OR _when_empty = (_rows = 0)")
     return out.select(*REPORT_COLUMNS)
 
 
@@ -152,7 +156,7 @@ def employee_section(employees: DataFrame, checks=EMPLOYEE_CHECKS,
                      params: Params = DEFAULT_PARAMS) -> DataFrame:
     """Q1-Q7. A missing employees table is an error (not a SKIP), as in the reference."""
     m = table_metrics(employees, checks, "employee_id")
-    return _explode(m, [_check_row(c, params) for c in checks], skip_on_empty=False)
+    return _explode(m, [_check_row(c, params) for c in checks])
 
 
 def activity_section(activities: DataFrame | None, checks=ACTIVITY_CHECKS,
@@ -161,13 +165,11 @@ def activity_section(activities: DataFrame | None, checks=ACTIVITY_CHECKS,
     if activities is None:
         return None
     m = table_metrics(activities, checks, "activity_id")
-    rows = [_row(ACT_SKIP_ORDER, ACT_SKIP, F.lit(True), F.lit(ACT_EMPTY), True)]
+    rows = [_row(ACT_SKIP_ORDER, ACT_SKIP, "TRUE", _sql(ACT_EMPTY), True)]
     if with_row_count:
-        rows.append(_row(ACT_ROWS_ORDER, ACT_ROWS_NAME, F.lit(True), _detail("row_count", F.col("_rows")), None))
+        rows.append(_row(ACT_ROWS_ORDER, ACT_ROWS_NAME, "TRUE", _detail("row_count", "_rows"), None))
     rows += [_check_row(c, params) for c in checks]
-    out = m.select("_rows", F.inline(F.array(*rows)))
-    out = out.where(F.col("_when_empty").isNull() | (F.col("_when_empty") == (F.col("_rows") == 0)))
-    return out.select(*REPORT_COLUMNS)
+    return _explode(m, rows)
 
 
 ACT_SKIP_ORDER, CHK_SKIP_ORDER, RULE_SKIP_ORDER = 11, 21, 23
@@ -184,17 +186,15 @@ def commute_section(checks_df: DataFrame | None, employees: DataFrame, checks=CH
         n_anom = commute_anomalies(checks_df, employees, params).agg(
             F.count(F.lit(1)).alias(RULE_CHECK.key))
         m = _merge_one_row(m, n_anom)
-    rows = [_row(CHK_SKIP_ORDER, CHK_SKIP, F.lit(True), F.lit(CHK_EMPTY), True)]
+    rows = [_row(CHK_SKIP_ORDER, CHK_SKIP, "TRUE", _sql(CHK_EMPTY), True)]
     if with_rule:
-        rows.append(_row(RULE_SKIP_ORDER, RULE_SKIP, F.lit(True), F.lit(RULE_EMPTY), True))
+        rows.append(_row(RULE_SKIP_ORDER, RULE_SKIP, "TRUE", _sql(RULE_EMPTY), True))
     if with_row_count:
-        rows.append(_row(CHK_ROWS_ORDER, CHK_ROWS_NAME, F.lit(True), _detail("row_count", F.col("_rows")), None))
+        rows.append(_row(CHK_ROWS_ORDER, CHK_ROWS_NAME, "TRUE", _detail("row_count", "_rows"), None))
     rows += [_check_row(c, params) for c in checks]
     if with_rule:
         rows.append(_check_row(RULE_CHECK, params))
-    out = m.select("_rows", F.inline(F.array(*rows)))
-    out = out.where(F.col("_when_empty").isNull() | (F.col("_when_empty") == (F.col("_rows") == 0)))
-    return out.select(*REPORT_COLUMNS)
+    return _explode(m, rows)
 
 
 def _missing_rows(spark, rows) -> DataFrame:

@@ -31,6 +31,18 @@ OTHER_SPORT_TYPE = "swimming"
 ORPHAN_OFFSET = 1_000_000
 
 
+def memo(fn):
+    """Reuse the lazy DataFrame built for the same tables and arguments."""
+    def wrapper(t: Tables, *args, **kwargs):
+        key = (fn.__name__, args, tuple(sorted(kwargs.items())))
+        if key not in t.memo:
+            t.memo[key] = fn(t, *args, **kwargs)
+        return t.memo[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def _pick(key: Column, modulus: int, values) -> Column:
     """``values[key % modulus]`` as a CASE expression (NULL entries stay NULL)."""
     m = key % modulus
@@ -41,6 +53,7 @@ def _pick(key: Column, modulus: int, values) -> Column:
     return expr
 
 
+@memo
 def _customers(t: Tables) -> DataFrame:
     """customer JOIN nation (25 rows, broadcast by size) with the columns used here."""
     cust = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -54,6 +67,7 @@ def _home_address(k: Column) -> Column:
             .otherwise(F.concat(F.col("n_name"), F.lit(" "), F.col("c_mktsegment"))))
 
 
+@memo
 def employees(t: Tables) -> DataFrame:
     """B.1 ``clean.employees`` shape (14 columns)."""
     k = F.col("c_custkey")
@@ -86,6 +100,7 @@ def _sport_type() -> Column:
     return expr.otherwise(F.lit(OTHER_SPORT_TYPE))
 
 
+@memo
 def activities(t: Tables) -> DataFrame:
     """B.2 ``clean.activities`` from ``events`` (start shifted back 0/200/400 days)."""
     eid = F.col("event_id")
@@ -104,6 +119,7 @@ def activities(t: Tables) -> DataFrame:
     )
 
 
+@memo
 def commute_checks(t: Tables) -> DataFrame:
     """B.3 ``raw.commute_distance_checks`` from ``orders`` (exact decimal distances)."""
     ok = F.col("o_orderkey")
@@ -126,6 +142,7 @@ def commute_checks(t: Tables) -> DataFrame:
     )
 
 
+@memo
 def hr_sheet(t: Tables, only_mod5: bool = False) -> DataFrame:
     """B.4 HR spreadsheet contents with its original (French) headers, all text."""
     k = F.col("c_custkey")
@@ -161,6 +178,7 @@ def hr_sheet(t: Tables, only_mod5: bool = False) -> DataFrame:
     )
 
 
+@memo
 def hr_raw(t: Tables) -> DataFrame:
     """B.4 raw HR history: an early partial load and a later full load."""
     first = ingest_hr_snapshot(hr_sheet(t, only_mod5=True), HR_SNAPSHOT_TS[0])
@@ -168,6 +186,7 @@ def hr_raw(t: Tables) -> DataFrame:
     return first.unionByName(second)
 
 
+@memo
 def sport_sheet(t: Tables) -> DataFrame:
     """B.5 sport survey contents with original headers."""
     k = F.col("c_custkey")
@@ -180,6 +199,7 @@ def sport_sheet(t: Tables) -> DataFrame:
                     _pick(k, 4, SPORT_PROFILE_BY_MOD4).alias("Pratique d'un sport")))
 
 
+@memo
 def sport_raw(t: Tables) -> DataFrame:
     """B.5 raw sport survey, one load."""
     return ingest_sport_snapshot(sport_sheet(t), SPORT_SNAPSHOT_TS)
@@ -188,6 +208,7 @@ def sport_raw(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # B.6 dirty variants for the quality gate
 # ---------------------------------------------------------------------------
+@memo
 def dirty_employees(t: Tables) -> DataFrame:
     e = employees(t)
     k = F.col("employee_id")
@@ -201,6 +222,7 @@ def dirty_employees(t: Tables) -> DataFrame:
     return e.select(*[dirty.get(c, F.col(c)).alias(c) for c in e.columns])
 
 
+@memo
 def dirty_activities(t: Tables) -> DataFrame:
     a = activities(t)
     i = F.col("activity_id")
@@ -224,6 +246,7 @@ def dirty_activities(t: Tables) -> DataFrame:
     )
 
 
+@memo
 def dirty_commute_checks(t: Tables) -> DataFrame:
     c = commute_checks(t)
     i = F.col("check_id")
