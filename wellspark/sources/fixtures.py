@@ -228,7 +228,7 @@ def dirty_activities(t: Tables) -> DataFrame:
     i = F.col("activity_id")
     start = F.when(i % 67 == 0, F.lit(None).cast(a.schema["start_ts"].dataType)).otherwise(F.col("start_ts"))
     end = (F.when(i % 71 == 0, F.lit(None).cast(a.schema["end_ts"].dataType))
-           .when(i % 89 == 0, start - F.make_dt_interval(F.lit(0), F.lit(1), F.lit(0), F.lit(0)))
+           .when(i % 89 == 0, F.col("start_ts") - F.make_dt_interval(F.lit(0), F.lit(1), F.lit(0), F.lit(0)))
            .otherwise(F.col("end_ts")))
     emp = (F.when(i % 61 == 0, F.lit(None).cast("bigint"))
            .when(i % 83 == 0, F.col("employee_id") + ORPHAN_OFFSET)
