@@ -84,4 +84,14 @@ def rebuild_table(df: DataFrame, path: str, schema: T.StructType | None = None,
     staging = scratch_path(spark, "staging")
     out.write.mode("overwrite").format(fmt).save(staging)
     staged = spark.read.format(fmt).load(staging)
-    return full_refresh(staged, path, validators, fmt=fmt)
+    try:
+        result = full_refresh(staged, path, validators, fmt=fmt)
+    finally:
+        _delete(spark, staging)  # our own staging copy, whatever the outcome
+    return result
+
+
+def _delete(spark, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
