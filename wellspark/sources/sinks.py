@@ -73,7 +73,8 @@ def cascade_refresh(children: DataFrame, parents: DataFrame, child_col: str = "e
 
 
 def rebuild_table(df: DataFrame, path: str, schema: T.StructType | None = None,
-                  validators: list[Callable[[DataFrame], DataFrame]] = (), fmt: str = "parquet") -> DataFrame:
+                  validators: list[Callable[[DataFrame], DataFrame]] = (), fmt: str = "parquet",
+                  partition_by: list[str] | None = None) -> DataFrame:
     """Drop-and-recreate semantics without a window where the table is gone.
 
     The new content is written to a staging folder first (it may read the
@@ -85,7 +86,7 @@ def rebuild_table(df: DataFrame, path: str, schema: T.StructType | None = None,
     out.write.mode("overwrite").format(fmt).save(staging)
     staged = spark.read.format(fmt).load(staging)
     try:
-        result = full_refresh(staged, path, validators, fmt=fmt)
+        result = full_refresh(staged, path, validators, partition_by=partition_by, fmt=fmt)
     finally:
         _delete(spark, staging)  # our own staging copy, whatever the outcome
     return result
