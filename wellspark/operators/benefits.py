@@ -45,7 +45,11 @@ def activity_year_counts(activities: DataFrame, as_of_year: int,
     in_year = _in_year(activities, as_of_year)
     valid = in_year & rules.valid_sport_activity(F.col("sport_type"), F.col("distance_m"),
                                                  F.col("elapsed_s"))
-    src = activities.where(in_year) if prefilter else activities
+    src = activities
+    if prefilter:
+        src = activities.where(in_year)
+        if "activity_year" in activities.columns:  # year-partitioned table: read one partition
+            src = src.where(F.col("activity_year") == F.lit(as_of_year))
     return src.groupBy("employee_id").agg(
         F.count_if(in_year).alias("nb_activities_year"),
         F.count_if(valid).alias("nb_sport_activities_year"),

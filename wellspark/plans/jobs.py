@@ -28,7 +28,7 @@ from ..operators import constraints as V
 from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators import reports as R
-from ..operators.config import Params
+from ..operators.config import Params, config_parameters, config_typed, load_params
 from ..session import shared_dir
 from ..sources import ingest as I
 from ..sources import sinks as S
@@ -157,6 +157,18 @@ def run_all(spark: SparkSession, wh: Warehouse, hr_sheet: DataFrame, sport_sheet
             "benefit_rows": benefits.count()}
 
 
+def seed_parameters(spark: SparkSession, wh: Warehouse, effective_from: datetime) -> DataFrame:
+    """Write the seeded parameter table (overwrite: re-running the seed is safe)."""
+    return S.full_refresh(config_parameters(spark, effective_from), wh.path("meta", "config_parameters"),
+                          [_pk("config_parameters")])
+
+
+def current_params(spark: SparkSession, wh: Warehouse, as_of: datetime) -> Params:
+    """The parameter values valid at ``as_of``; defaults when the table is missing."""
+    cfg = wh.read(spark, "meta", "config_parameters")
+    return Params() if cfg is None else load_params(config_typed(cfg, as_of))
+
+
 def main(argv=None) -> None:
     from ..session import local_session
     from ..sources import fixtures as fx
@@ -171,8 +183,10 @@ def main(argv=None) -> None:
     spark = local_session(a.cores)
     wh = Warehouse(a.warehouse or f"{shared_dir(spark).rstrip('/')}/warehouse")
     t = Tables(spark, a.sf_dir)
+    seed_parameters(spark, wh, datetime(2024, 1, 1))
+    params = current_params(spark, wh, fx.LOAD_TS)
     result = run_all(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), fx.commute_checks(t),
-                     fx.LOAD_TS, fx.AS_OF_YEAR, enforce_gate=a.enforce_gate)
+                     fx.LOAD_TS, fx.AS_OF_YEAR, params=params, enforce_gate=a.enforce_gate)
     print({"warehouse": wh.root, **result})
 
 
