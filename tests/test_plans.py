@@ -84,3 +84,16 @@ def test_changed_rate_changes_bonus(spark, tables_small):
     a = base.agg(F.sum("sport_prime_eur")).first()[0]
     b = doubled.agg(F.sum("sport_prime_eur")).first()[0]
     assert abs(b - 2 * a) <= Decimal("0.01") * base.where("sport_prime_eur > 0").count()
+
+
+def test_latest_snapshot_prunes_to_newest_partition(spark, tables_small):
+    from wellspark.sources.ingest import latest_snapshot
+    path = tempfile.mkdtemp(prefix="ws-plan-") + "/raw"
+    fx.hr_raw(tables_small).withColumn("ingest_date", F.to_date("ingested_ts")) \
+        .write.partitionBy("ingest_date").parquet(path)
+    raw = spark.read.parquet(path)
+    out = latest_snapshot(raw, partition_col="ingest_date")
+    assert "ingest_date" not in out.columns
+    assert out.count() == 150
+    assert "PartitionFilters: [isnotnull(ingest_date" in _formatted(out)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, latest_snapshot(fx.hr_raw(tables_small)).collect()))

@@ -1,11 +1,10 @@
 """Blocking quality gate (Q1-Q21).
 
-Each table is scanned once. All its NOT NULL / range checks are ``count_if``
-aggregates; when the table has a key-uniqueness check the rows are first
-grouped by the key (map-side partial aggregation keeps a hot key to one row per
-task) and the per-key counters are summed in a second, global aggregate -- so
-one shuffle of (key, counters) yields every check of the table. The one-row
-result is turned into report rows with ``inline(array(struct...))``.
+All NOT NULL / range checks of a table are ``count_if`` columns of one global
+aggregate (no shuffle beyond one partial row per task). Key uniqueness is one
+``groupBy(key).count()`` -- the only shuffle, carrying (key, count) pairs, with
+a map-side partial aggregate so a hot key shrinks to one row per task. The
+one-row results become report rows with ``inline(array(named_struct(...)))``.
 
 Report schema: ``check_order int, check_name string, ok boolean, details string``.
 Check names and detail formats are the reference's, verbatim (fixed values).
@@ -94,16 +93,23 @@ REPORT_COLUMNS = ("check_order", "check_name", "ok", "details")
 # Fused per-table aggregate
 # ---------------------------------------------------------------------------
 def table_metrics(df: DataFrame, checks, key: str | None) -> DataFrame:
-    """One row: ``_rows`` plus one counter per check (``dup_keys`` -> duplicated keys)."""
+    """One row: ``_rows`` plus one counter per check (``dup_keys`` -> duplicated keys).
+
+    The ``count_if`` counters are a global aggregate (each task ships one partial
+    row, no shuffle). Key uniqueness is a separate ``groupBy(key).count()`` whose
+    shuffle carries only (key, count) -- not the counters -- and whose partial
+    aggregate collapses a hot key inside each task. Parquet is columnar, so the
+    two passes read disjoint columns. The two one-row results are merged without
+    a join.
+    """
     preds = {c.key: F.expr(c.predicate) for c in checks if c.kind == "count_if"}
-    if any(c.kind == "dup_keys" for c in checks):
-        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
-                                      *[F.count_if(p).alias(k) for k, p in preds.items()])
-        aggs = [F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows")]
-        aggs += [F.count_if(F.col("_n") > 1).alias(c.key) for c in checks if c.kind == "dup_keys"]
-        aggs += [F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in preds]
-        return per_key.agg(*aggs)
-    return df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(p).alias(k) for k, p in preds.items()])
+    counters = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(p).alias(k) for k, p in preds.items()])
+    dups = [c.key for c in checks if c.kind == "dup_keys"]
+    if not dups:
+        return counters
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    dup_row = per_key.agg(*[F.count_if(F.col("_n") > 1).alias(k) for k in dups])
+    return _merge_one_row(counters, dup_row)
 
 
 def _sql(text: str) -> str:

@@ -81,8 +81,8 @@ def build_clean_employees(spark: SparkSession, wh: Warehouse, load_ts: datetime,
 
     ``cascade`` decides what happens to dependent activities (I6).
     """
-    hr = I.latest_snapshot(wh.read(spark, "raw", "rh_employees_snapshot").drop("ingest_date"))
-    sp = I.latest_snapshot(wh.read(spark, "raw", "sport_profile_snapshot").drop("ingest_date"))
+    hr = I.latest_snapshot(wh.read(spark, "raw", "rh_employees_snapshot"), partition_col="ingest_date")
+    sp = I.latest_snapshot(wh.read(spark, "raw", "sport_profile_snapshot"), partition_col="ingest_date")
     emp = C.clean_employees(hr, sp, load_ts)
     written = S.full_refresh(emp, wh.path("clean", "employees"), [_pk("employees"), _not_null("employees")])
     acts = wh.read(spark, "clean", "activities")

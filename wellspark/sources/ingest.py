@@ -82,14 +82,22 @@ def stamp_snapshot(df: DataFrame, ingested_ts: datetime) -> DataFrame:
     )
 
 
-def latest_snapshot(raw: DataFrame, ts_col: str = "ingested_ts") -> DataFrame:
+def latest_snapshot(raw: DataFrame, ts_col: str = "ingested_ts",
+                    partition_col: str | None = None) -> DataFrame:
     """I4: rows of the most recent load only; an empty table gives no rows.
 
     Written as an uncorrelated scalar subquery, so Spark evaluates ``max`` once
-    and offers the value to the scan as a filter.
+    and offers the value to the scan as a filter. When the history is
+    partitioned by load date (``partition_col``), the newest partition is
+    selected first: the subquery result becomes a partition filter, so the
+    timestamp max and the rows are read from that partition only.
     """
+    if partition_col is not None and partition_col in raw.columns:
+        newest = raw.select(F.max(partition_col)).scalar()
+        raw = raw.where(F.col(partition_col) == newest)
     latest = raw.select(F.max(ts_col)).scalar()
-    return raw.where(F.col(ts_col) == latest)
+    out = raw.where(F.col(ts_col) == latest)
+    return out.drop(partition_col) if partition_col is not None and partition_col in raw.columns else out
 
 
 def require_non_empty(df: DataFrame, name: str) -> DataFrame:
