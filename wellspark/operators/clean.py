@@ -44,9 +44,19 @@ def join_sport_profile(hr: DataFrame, sport: DataFrame) -> DataFrame:
 
     Many-to-many on purpose: a duplicated survey id duplicates the HR row, which
     the primary-key validator then reports (it is not silently de-duplicated).
+
+    Written as inner join + unmatched rows (left-anti against the distinct
+    survey ids) instead of one LEFT OUTER join: adaptive execution can split a
+    skewed partition on either side of an inner join, but only the left side of
+    an outer join, so a survey id holding a large share of the rows would
+    otherwise be joined by a single task.
     """
+    h = coerce_employee_id(hr)
     sp = coerce_employee_id(sport).select("employee_id", "sport_practice_raw")
-    return coerce_employee_id(hr).join(sp, "employee_id", "left")
+    matched = h.join(sp, "employee_id", "inner")
+    unmatched = (h.join(sp.select("employee_id").distinct(), "employee_id", "left_anti")
+                 .withColumn("sport_practice_raw", F.lit(None).cast("string")))
+    return matched.unionByName(unmatched)
 
 
 def clean_employees(hr_latest: DataFrame, sport_latest: DataFrame, load_ts: datetime) -> DataFrame:

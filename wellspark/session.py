@@ -72,3 +72,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-path of the shared folder for one staged table."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/wellspark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(shuffle_bytes_estimate: int, executor_cores_total: int,
+               target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings sized for a large cluster (e.g. ~100 TB input, ~1000 executors).
+
+    * initial shuffle partitions ~ shuffle bytes / target size, at least 3x the
+      cores so every wave keeps all cores busy; AQE coalesces small ones;
+    * input splits of 512 MB so a scan task reads a sizeable, but spill-free,
+      slice of parquet;
+    * skew handling: a partition 5x the median and above 1 GB is split.
+    """
+    n = max(3 * executor_cores_total, shuffle_bytes_estimate // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 ** 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 ** 3),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        **{k: v for k, v in RECOMMENDED_CONF.items() if k != "spark.ui.enabled"},
+    }
