@@ -99,7 +99,7 @@ def test_hot_key_latest_and_dedup_reduce_map_side(spark, hot_checks):
                                F.lit("r").alias("rule_name"), F.lit(None).cast("string").alias("anomaly_reason"),
                                F.lit("P").alias("api_provider"), F.lit("OK").alias("api_status"))
     latest = {r.employee_id: r.last_computed_ts for r in K.commute_validation(checks).collect()}
-    assert latest[7] == datetime(2024, 1, 1) + timedelta(hours=2997)
+    assert latest[7] == datetime(2024, 1, 1) + timedelta(minutes=2997)
     acts = hot_checks.select(F.when(F.col("check_id") % 3 == 0, F.lit(1)).otherwise(F.col("check_id")).alias("activity_id"),
                              F.col("employee_id"), F.col("computed_ts").alias("start_ts"),
                              F.col("computed_ts").alias("end_ts"), F.lit("running").alias("sport_type"),
