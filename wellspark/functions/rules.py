@@ -7,6 +7,7 @@ reproduced, word for word (including accents), for results to match.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,18 +57,13 @@ MOCK_REPAIR_OTHER_KM = "22.000"
 # Predicates
 # ---------------------------------------------------------------------------
 def commute_eligible(mode: Column) -> Column:
-    """R1. NULL or blank -> false; contains a sporty word -> true; else false.
+    """A non-blank mode containing a sporty word; NULL or blank is false.
 
     ``btrim`` strips spaces only (as in SQL); accents are matched as written.
     """
     low = F.lower(mode)
-    sporty = None
-    for word in SPORTY_COMMUTE_SUBSTRINGS:
-        hit = low.contains(word)
-        sporty = hit if sporty is None else (sporty | hit)
-    return (F.when(mode.isNull() | (F.btrim(mode) == F.lit("")), F.lit(False))
-            .when(sporty, F.lit(True))
-            .otherwise(F.lit(False)))
+    sporty = reduce(lambda a, b: a | b, [low.contains(w) for w in SPORTY_COMMUTE_SUBSTRINGS])
+    return F.coalesce((F.btrim(mode) != F.lit("")) & sporty, F.lit(False))
 
 
 def is_walk_run_mode(mode: Column) -> Column:
@@ -77,23 +73,19 @@ def is_walk_run_mode(mode: Column) -> Column:
 
 def commute_limit_km(mode: Column, walk_run_km=DEFAULT_WALK_RUN_MAX_KM,
                      other_km=DEFAULT_BIKE_SCOOTER_MAX_KM) -> Column:
-    """Maximum plausible commute for the mode; NULL mode has no limit (never flagged)."""
+    """Maximum plausible commute for the mode; a NULL mode has no limit (NULL)."""
     walk = is_walk_run_mode(mode)
-    return (F.when(walk, F.lit(walk_run_km))
-            .when(~walk, F.lit(other_km)))
+    return F.when(walk, F.lit(walk_run_km)).when(~walk, F.lit(other_km))
 
 
 def commute_anomaly(mode: Column, distance_km: Column, walk_run_km=DEFAULT_WALK_RUN_MAX_KM,
                     other_km=DEFAULT_BIKE_SCOOTER_MAX_KM) -> Column:
-    """K1 predicate: distance present and strictly above the mode's limit.
+    """K1 predicate: the distance is strictly above the mode's limit.
 
-    Three-valued like SQL: a NULL mode yields NULL (treated as "not an anomaly"
-    by ``filter``), strict ``>`` so exactly 15.000 / 25.000 pass.
+    Three-valued like SQL: a NULL distance or a NULL mode yields NULL, which
+    ``filter`` treats as "not an anomaly"; exactly 15.000 / 25.000 pass.
     """
-    walk = is_walk_run_mode(mode)
-    return (distance_km.isNotNull()
-            & ((walk & (distance_km > F.lit(walk_run_km)))
-               | (~walk & (distance_km > F.lit(other_km)))))
+    return distance_km > commute_limit_km(mode, walk_run_km, other_km)
 
 
 def valid_sport_activity(sport_type: Column, distance_m: Column, elapsed_s: Column) -> Column:

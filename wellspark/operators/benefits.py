@@ -102,10 +102,9 @@ def with_wellness_days(df: DataFrame, params: Params = DEFAULT_PARAMS) -> DataFr
 
 def with_eligibility_status(df: DataFrame) -> DataFrame:
     """B7 (R8-R10): inactive -> NON_ELIGIBLE; any eligibility -> ELIGIBLE; else NON_ELIGIBLE."""
-    status = (F.when(~_active(), F.lit(rules.NON_ELIGIBLE))
-              .when(F.coalesce(F.col("eligible_commute"), F.lit(False))
-                    | F.coalesce(F.col("eligible_wellness"), F.lit(False)), F.lit(rules.ELIGIBLE))
-              .otherwise(F.lit(rules.NON_ELIGIBLE)))
+    any_rule = F.coalesce(F.col("eligible_commute"), F.lit(False)) | \
+        F.coalesce(F.col("eligible_wellness"), F.lit(False))
+    status = F.when(_active() & any_rule, F.lit(rules.ELIGIBLE)).otherwise(F.lit(rules.NON_ELIGIBLE))
     return df.withColumn("eligibility_status", status)
 
 
