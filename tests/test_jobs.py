@@ -47,3 +47,18 @@ def test_second_load_and_cascade(spark, tables_small):
     acts = spark.read.parquet(wh.path("clean", "activities"))
     orphans = acts.join(emp, "employee_id", "left_anti").count()
     assert orphans == 0
+
+
+def test_reports_run_log_and_fail_pass(spark, tables_small):
+    wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
+    t = tables_small
+    jobs.run_all(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), None, fx.LOAD_TS, fx.AS_OF_YEAR)
+    for name in ("report_wellness_days", "report_practices", "report_activity_volume", "report_flow_breaks",
+                 "kpi_pipeline_daily", "report_benefit_cost"):
+        assert spark.read.parquet(wh.path("analytics", name)).count() > 0, name
+    log = {r.task_id: (r.rows_in, r.rows_out) for r in spark.read.parquet(wh.path("meta", "pipeline_task_run")).collect()}
+    assert log["ingest_hr"] == (150, 150) and log["build_clean_employees"] == (150, 141)
+    res = jobs.commute_fail_pass(spark, wh, fx.LOAD_TS)
+    assert res["rule_ok_after_seed"] is False and res["rule_ok_after_repair"] is True
+    # two of the first 15 employees have no address (id % 13 == 0), and some no mode
+    assert res["seed_not_null_violations"]["home_address"] >= 1

@@ -56,8 +56,11 @@ def shared_dir(spark: SparkSession) -> str:
     app = sc.applicationId
     if app in _SHARED:
         return _SHARED[app]
-    current = sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors "
+                               "(HDFS, S3, ABFS, ...) when running on a cluster")
         current = tempfile.mkdtemp(prefix="wellspark-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
