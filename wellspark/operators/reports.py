@@ -1,8 +1,8 @@
 """Dashboard figures (RP1-RP6) computed as Spark aggregates.
 
 All are small grouped outputs over the benefit, employee, activity and anomaly
-tables. Shares use a one-row total joined back through a broadcast of that
-single row (a proven size), never a window without partitioning.
+tables. Shares divide by a total computed once as a scalar subquery -- never a
+window without partitioning and never a join.
 """
 
 from __future__ import annotations
@@ -16,11 +16,9 @@ from .config import Params
 
 
 def _with_share(counts: DataFrame, n_col: str) -> DataFrame:
-    total = counts.agg(F.sum(n_col).alias("_total")).withColumn("_k", F.lit(1))
-    return (counts.withColumn("_k", F.lit(1))
-            .join(F.broadcast(total), "_k")
-            .withColumn("share", F.col(n_col) / F.col("_total"))
-            .drop("_k", "_total"))
+    """Share of the total: the total is an uncorrelated scalar subquery (computed once), no join."""
+    total = counts.select(F.sum(n_col)).scalar()
+    return counts.withColumn("share", F.col(n_col) / total)
 
 
 def report_wellness_days(employees: DataFrame, activities: DataFrame, as_of_year: int,
