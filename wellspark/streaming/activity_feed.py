@@ -4,11 +4,13 @@ The batch job (``plans.jobs.load_activities``) rebuilds clean.activities from
 the whole feed. This module keeps it current as new feed files arrive:
 
 * ``start_clean_activities`` -- each micro-batch is de-duplicated by
-  ``activity_id`` (same ``min(struct)`` rule as the batch operator), then
-  left-anti-joined against the ids already written *for the batch's activity
-  years only* (the target is partitioned by year, so the join prunes files),
-  and appended. No watermark: a late activity is still written, never dropped.
-  An id seen in an earlier batch keeps its first written version.
+  ``activity_id`` (same ``min(struct)`` rule as the batch operator). The
+  target's partitions for the batch's years are pruned by a literal year list;
+  the ids written there are semi-joined with the batch's keys (the batch side is
+  the small, broadcast one), and the batch is anti-joined with that result and
+  appended. No watermark: a late activity is still written, never dropped. An
+  id seen in an earlier batch keeps its first written version; a retried batch
+  finds its own rows and writes nothing twice.
 * ``start_daily_volume`` -- activities per day as a running aggregate (one
   state row per calendar day, so the state is bounded by the calendar, not by
   the data), written in ``complete`` mode to a memory or foreachBatch sink.
@@ -39,16 +41,27 @@ def read_activity_feed(spark: SparkSession, path: str, max_files_per_trigger: in
 
 def _append_new(batch: DataFrame, batch_id: int, target: str) -> None:
     spark = batch.sparkSession
-    fresh = clean_activities(batch).withColumn("activity_year", F.year("start_ts"))
-    existing = optional_source(spark, target)
-    if existing is not None:
-        # activities without a start have a NULL year: match years null-safely
-        years = fresh.select(F.col("activity_year").alias("_y")).distinct()
-        seen = (existing.join(years, existing["activity_year"].eqNullSafe(years["_y"]), "left_semi")
-                .select(F.col("activity_year").alias("_sy"), F.col("activity_id").alias("_sid")))
-        fresh = fresh.join(seen, (fresh["activity_id"] == seen["_sid"])
-                           & fresh["activity_year"].eqNullSafe(seen["_sy"]), "left_anti")
-    fresh.write.mode("append").partitionBy("activity_year").parquet(target)
+    fresh = clean_activities(batch).withColumn("activity_year", F.year("start_ts")).persist()
+    try:
+        existing = optional_source(spark, target)
+        if existing is not None:
+            # Years in one batch are bounded by the calendar: a literal list gives static
+            # partition pruning of the target. Activities without a start have a NULL year.
+            years = [r[0] for r in fresh.select("activity_year").distinct().collect()]
+            in_years = F.col("activity_year").isin([y for y in years if y is not None])
+            if None in years:
+                in_years = in_years | F.col("activity_year").isNull()
+            keys = fresh.select(F.col("activity_year").alias("_y"), F.col("activity_id").alias("_id"))
+            # existing ids that the batch also has: the (small) batch side is the one broadcast
+            seen = (existing.where(in_years).select("activity_year", "activity_id")
+                    .join(keys, (F.col("activity_id") == F.col("_id"))
+                          & F.col("activity_year").eqNullSafe(F.col("_y")), "left_semi")
+                    .select(F.col("activity_year").alias("_sy"), F.col("activity_id").alias("_sid")))
+            fresh = fresh.join(seen, (fresh["activity_id"] == seen["_sid"])
+                               & fresh["activity_year"].eqNullSafe(seen["_sy"]), "left_anti")
+        fresh.write.mode("append").partitionBy("activity_year").parquet(target)
+    finally:
+        fresh.unpersist()
 
 
 def start_clean_activities(feed: DataFrame, target: str, checkpoint: str | None = None,
