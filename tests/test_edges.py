@@ -36,7 +36,7 @@ def test_date_money_leave_coercion(spark):
     assert [r.d for r in out] == [date(1990, 5, 12), date(1990, 5, 12), None, None, None]
     assert [r.s for r in out] == [Decimal("100.10"), Decimal("0.00"), Decimal("0.00"), Decimal("0.30"),
                                   Decimal("0.00")]
-    assert [r.l for r in out] == [26, 24, None, 25, None]  # half to even, like an integer column
+    assert [r.l for r in out] == [26, 25, None, 25, None]  # half away from zero, like an integer column
 
 
 @pytest.mark.parametrize("mode,expected", [

@@ -84,3 +84,10 @@ def test_cascade_modes(spark, tables_small):
     pruned = S.cascade_refresh(acts, emp, mode="prune")
     assert V.fk_orphans(pruned, emp, "employee_id").count() == 0
     assert pruned.where("employee_id IS NULL").count() == 0
+
+
+def test_observed_write_counts_rows_in_the_write(spark, tables_small):
+    path = tempfile.mkdtemp(prefix="ws-sink-") + "/acts"
+    seen = []
+    out = S.full_refresh(fx.activities(tables_small), path, on_written=seen.append)
+    assert seen == [1000] and out.count() == 1000

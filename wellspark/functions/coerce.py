@@ -38,8 +38,9 @@ def to_money(text: Column, default: int | None = 0) -> Column:
 
 
 def to_int_rounded(text: Column) -> Column:
-    """Number stored in an integer column: rounded half to even (25.5 -> 26, 24.5 -> 24)."""
-    return F.bround(to_number(text), 0).try_cast("int")
+    """Number stored in an integer column: rounded half away from zero (25.5 -> 26, 24.5 -> 25),
+    as a numeric value assigned to an integer column is; a plain cast would truncate."""
+    return F.round(to_number(text), 0).try_cast("int")
 
 
 def to_date_lenient(text: Column) -> Column:

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,22 +33,35 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def full_refresh(df: DataFrame, path: str, validators: list[Callable[[DataFrame], DataFrame]] = (),
-                 partition_by: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
+                 partition_by: list[str] | None = None, fmt: str = "parquet",
+                 on_written: Callable[[int], None] | None = None) -> DataFrame:
     """Validate, then replace the target's content; returns the written table.
 
     Each validator returns violating rows; any row stops the job before the
     target is touched (unlike TRUNCATE-then-INSERT, which can leave it empty).
+    ``on_written`` receives the row count observed while writing (M7 run log).
     """
     for v in validators:
         bad = v(df)
         if not bad.isEmpty():
             raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: "
                                   f"{[r.asDict() for r in bad.limit(5).collect()]}")
-    w = df.write.mode("overwrite").format(fmt)
+    rows = observed_write(df, path, "overwrite", partition_by, fmt)
+    if on_written is not None:
+        on_written(rows)
+    return df.sparkSession.read.format(fmt).load(path)
+
+
+def observed_write(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
+                   fmt: str = "parquet") -> int:
+    """Write and return the number of rows written, counted by ``observe`` during the write
+    itself (no second pass over the data)."""
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    return int(obs.get["rows"])
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
