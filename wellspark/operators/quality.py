@@ -18,7 +18,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import rules
 from .commute import commute_anomalies
 from .config import Params
 
