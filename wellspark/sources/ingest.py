@@ -39,9 +39,12 @@ SPORT_SOURCE_FILE = "Données Sportive.xlsx"
 
 
 def read_sheet(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """A tabular export of a spreadsheet. CSV is read as text (no inference)."""
+    """A tabular export of a spreadsheet. CSV is read as text, cells kept exactly
+    (no type inference, no trimming: ``' 12 '`` stays as written)."""
     if fmt == "csv":
-        return spark.read.option("header", True).option("inferSchema", False).csv(path)
+        return (spark.read.option("header", True).option("inferSchema", False)
+                .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+                .csv(path))
     return spark.read.format(fmt).load(path)
 
 
