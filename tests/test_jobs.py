@@ -62,3 +62,26 @@ def test_reports_run_log_and_fail_pass(spark, tables_small):
     assert res["rule_ok_after_seed"] is False and res["rule_ok_after_repair"] is True
     # two of the first 15 employees have no address (id % 13 == 0), and some no mode
     assert res["seed_not_null_violations"]["home_address"] >= 1
+
+
+def test_bucketed_catalog_tables_join_without_shuffle(spark, tables_small):
+    """Employees and activities bucketed alike: the flagship groups and joins with no exchange."""
+    from wellspark.operators import benefits as B
+    from tests.test_skew import conf
+    t = tables_small
+    wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"), database="ws_bucketed", buckets=4)
+    wh.prepare(spark)
+    jobs.ingest_snapshots(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.LOAD_TS)
+    jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
+    jobs.load_activities(spark, wh, fx.activities(t))
+    emp, acts = wh.read(spark, "clean", "employees"), wh.read(spark, "clean", "activities")
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        df = B.employee_benefits(emp, acts, fx.AS_OF_YEAR, fx.LOAD_TS)
+        rows = sorted(map(tuple, df.collect()))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    flat = B.employee_benefits(spark.read.parquet(wh.path("clean", "employees")),
+                               spark.read.parquet(wh.path("clean", "activities")), fx.AS_OF_YEAR, fx.LOAD_TS)
+    assert rows == sorted(map(tuple, flat.collect()))
+    spark.sql("DROP DATABASE ws_bucketed CASCADE")

@@ -8,7 +8,12 @@ are partitioned by activity year so the benefit job's year filter prunes files.
 
 Command line (runs every job on one driver-table directory)::
 
-    python -m wellspark.plans.jobs --sf-dir /root/testdata/sf0.01 --warehouse <shared path>
+    python -m wellspark.plans.jobs --sf-dir /root/testdata/sf0.01 --warehouse <shared path> \
+        [--database zones --buckets 512]
+
+With a catalog database and buckets, employees, activities and benefits are
+bucketed by ``employee_id`` alike, so the benefit job aggregates and joins
+them without any shuffle (``tests/test_jobs.py`` checks the plan).
 """
 
 from __future__ import annotations
@@ -36,17 +41,49 @@ from ..sources import sinks as S
 DAG_ID = "wellspark_daily"
 
 
+# Tables keyed by employee: bucketed alike so the benefit job joins and groups them without a shuffle.
+EMPLOYEE_KEYED = {("clean", "employees"), ("clean", "activities"), ("analytics", "employee_benefits")}
+
+
 @dataclass(frozen=True)
 class Warehouse:
-    """Zone tables under one root on shared storage (raw / clean / analytics / meta)."""
+    """Zone tables under one root on shared storage (raw / clean / analytics / meta).
+
+    With ``database`` set, written tables are also registered in the Spark
+    catalog as external tables, and with ``buckets`` > 0 the employee-keyed
+    tables are bucketed by ``employee_id`` into that many buckets.
+    """
     root: str
+    database: str | None = None
+    buckets: int = 0
 
     def path(self, zone: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{zone}/{table}"
 
+    def table_name(self, zone: str, table: str) -> str | None:
+        return f"{self.database}.{zone}_{table}" if self.database else None
+
     def read(self, spark: SparkSession, zone: str, table: str) -> DataFrame | None:
+        name = self.table_name(zone, table)
+        if name is not None and spark.catalog.tableExists(name):
+            return spark.table(name)
         return I.optional_source(spark, self.path(zone, table))
 
+    def sink(self, zone: str, table: str) -> dict:
+        """Extra arguments for the sinks: catalog name and bucketing of this table."""
+        name = self.table_name(zone, table)
+        if name is None:
+            return {}
+        out = {"table": name}
+        if self.buckets and (zone, table) in EMPLOYEE_KEYED:
+            out.update(bucket_by="employee_id", num_buckets=self.buckets)
+        return out
+
+    def prepare(self, spark: SparkSession) -> None:
+        if self.database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} "
+                      f"LOCATION '{self.root.rstrip('/')}/_catalog'")
+
 
 def _pk(table: str):
     keys = schemas.PRIMARY_KEYS[table]
@@ -84,11 +121,13 @@ def build_clean_employees(spark: SparkSession, wh: Warehouse, load_ts: datetime,
     hr = I.latest_snapshot(wh.read(spark, "raw", "rh_employees_snapshot"), partition_col="ingest_date")
     sp = I.latest_snapshot(wh.read(spark, "raw", "sport_profile_snapshot"), partition_col="ingest_date")
     emp = C.clean_employees(hr, sp, load_ts)
-    written = S.full_refresh(emp, wh.path("clean", "employees"), [_pk("employees"), _not_null("employees")])
+    written = S.full_refresh(emp, wh.path("clean", "employees"), [_pk("employees"), _not_null("employees")],
+        **wh.sink("clean", "employees"))
     acts = wh.read(spark, "clean", "activities")
     if acts is not None:
         kept = S.cascade_refresh(acts, written, mode=cascade)
-        S.rebuild_table(kept, wh.path("clean", "activities"), partition_by=["activity_year"])
+        S.rebuild_table(kept, wh.path("clean", "activities"), partition_by=["activity_year"],
+            **wh.sink("clean", "activities"))
     return written
 
 
@@ -98,7 +137,7 @@ def load_activities(spark: SparkSession, wh: Warehouse, feed: DataFrame) -> Data
     I.require_non_empty(emp, "clean.employees")
     acts = C.clean_activities(feed).withColumn("activity_year", F.year("start_ts"))
     return S.full_refresh(acts, wh.path("clean", "activities"), [_pk("activities")],
-                          partition_by=["activity_year"])
+                          partition_by=["activity_year"], **wh.sink("clean", "activities"))
 
 
 def quality_gate(spark: SparkSession, wh: Warehouse, params: Params = Params(),
@@ -110,7 +149,7 @@ def quality_gate(spark: SparkSession, wh: Warehouse, params: Params = Params(),
     acts = wh.read(spark, "clean", "activities")
     checks = wh.read(spark, "raw", "commute_distance_checks")
     report = Q.quality_report(emp, acts.drop("activity_year") if acts is not None else None, checks, params)
-    written = S.full_refresh(report, wh.path("meta", "quality_report"))
+    written = S.full_refresh(report, wh.path("meta", "quality_report"), **wh.sink("meta", "quality_report"))
     if enforce:
         Q.enforce_gate(written)
     return written
@@ -123,21 +162,28 @@ def build_benefits(spark: SparkSession, wh: Warehouse, as_of_year: int, computed
     acts = wh.read(spark, "clean", "activities")
     benefits = B.employee_benefits(emp, acts, as_of_year, computed_ts, params)
     out = S.rebuild_table(benefits, wh.path("analytics", "employee_benefits"), schemas.EMPLOYEE_BENEFITS,
-                          [_pk("employee_benefits")])
-    S.full_refresh(M.dim_employee(emp), wh.path("analytics", "dim_employee"), [_pk("dim_employee")])
+                          [_pk("employee_benefits")], **wh.sink("analytics", "employee_benefits"))
+    S.full_refresh(M.dim_employee(emp), wh.path("analytics", "dim_employee"), [_pk("dim_employee")],
+        **wh.sink("analytics", "dim_employee"))
     S.full_refresh(M.fact_activity(acts.drop("activity_year")).withColumn("activity_year", F.year("activity_date")),
-                   wh.path("analytics", "fact_activity"), partition_by=["activity_year"])
+                   wh.path("analytics", "fact_activity"), partition_by=["activity_year"],
+                       **wh.sink("analytics", "fact_activity"))
     S.full_refresh(M.fact_sport_bonus(emp, acts, as_of_year, computed_ts, params),
-                   wh.path("analytics", "fact_sport_bonus"), [_pk("fact_sport_bonus")])
+                   wh.path("analytics", "fact_sport_bonus"), [_pk("fact_sport_bonus")],
+                       **wh.sink("analytics", "fact_sport_bonus"))
     S.full_refresh(M.fact_wellness_days(emp, acts, computed_ts, params),
-                   wh.path("analytics", "fact_wellness_days"), [_pk("fact_wellness_days")])
+                   wh.path("analytics", "fact_wellness_days"), [_pk("fact_wellness_days")],
+                       **wh.sink("analytics", "fact_wellness_days"))
     checks = wh.read(spark, "raw", "commute_distance_checks")
     if checks is not None:
         S.full_refresh(M.fact_declaration_anomalies(checks, emp, params),
-                       wh.path("analytics", "fact_declaration_anomalies"))
+                       wh.path("analytics", "fact_declaration_anomalies"),
+                           **wh.sink("analytics", "fact_declaration_anomalies"))
         S.full_refresh(K.commute_validation(K.assess_commute(checks, emp, params)),
-                       wh.path("clean", "commute_validation"), [_pk("commute_validation")])
-    S.full_refresh(R.report_benefit_cost(emp, acts, as_of_year, params), wh.path("analytics", "report_benefit_cost"))
+                       wh.path("clean", "commute_validation"), [_pk("commute_validation")],
+                           **wh.sink("clean", "commute_validation"))
+    S.full_refresh(R.report_benefit_cost(emp, acts, as_of_year, params), wh.path("analytics", "report_benefit_cost"),
+        **wh.sink("analytics", "report_benefit_cost"))
     return out
 
 
@@ -145,11 +191,13 @@ def run_all(spark: SparkSession, wh: Warehouse, hr_sheet: DataFrame, sport_sheet
             activity_feed: DataFrame, commute_checks: DataFrame | None, load_ts: datetime,
             as_of_year: int, params: Params = Params(), enforce_gate: bool = False) -> dict:
     """Every job in order; returns the gate outcome and the benefit row count."""
+    wh.prepare(spark)
     ingest_snapshots(spark, wh, hr_sheet, sport_sheet, load_ts)
     build_clean_employees(spark, wh, load_ts)
     load_activities(spark, wh, activity_feed)
     if commute_checks is not None:
-        S.full_refresh(commute_checks, wh.path("raw", "commute_distance_checks"))
+        S.full_refresh(commute_checks, wh.path("raw", "commute_distance_checks"),
+            **wh.sink("raw", "commute_distance_checks"))
     report = quality_gate(spark, wh, params, enforce=enforce_gate)
     gate = Q.quality_gate(report).first()
     benefits = build_benefits(spark, wh, as_of_year, load_ts, params)
@@ -188,7 +236,7 @@ def build_reports(spark: SparkSession, wh: Warehouse, as_of_year: int, params: P
         out["kpi_pipeline_daily"] = M.kpi_pipeline_daily(hr.drop("ingest_date"), sp.drop("ingest_date"), acts,
                                                         anomalies, DAG_ID)
     for name, df in out.items():
-        S.full_refresh(df, wh.path("analytics", name))
+        S.full_refresh(df, wh.path("analytics", name), **wh.sink("analytics", name))
 
 
 def record_run(spark: SparkSession, wh: Warehouse, run_id: int, tasks: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
@@ -218,10 +266,10 @@ def commute_fail_pass(spark: SparkSession, wh: Warehouse, computed_ts: datetime,
     null_cols = V.not_null_violations(seeded, ("home_address", "commute_mode"), "commute_distance_checks")
     not_null = {r.column_name: r.null_count for r in null_cols.collect()}
     target = wh.path("raw", "commute_distance_checks")
-    S.full_refresh(seeded, target)
+    S.full_refresh(seeded, target, **wh.sink("raw", "commute_distance_checks"))
     before = {r.check_name: r.ok for r in quality_gate(spark, wh, params, enforce=False).collect()}
     current = wh.read(spark, "raw", "commute_distance_checks")
-    S.rebuild_table(K.repair_commute_checks(current), target)
+    S.rebuild_table(K.repair_commute_checks(current), target, **wh.sink("raw", "commute_distance_checks"))
     after = {r.check_name: r.ok for r in quality_gate(spark, wh, params, enforce=False).collect()}
     rule = Q.RULE_CHECK.name
     return {"rule_ok_after_seed": before[rule], "rule_ok_after_repair": after[rule],
@@ -231,7 +279,7 @@ def commute_fail_pass(spark: SparkSession, wh: Warehouse, computed_ts: datetime,
 def seed_parameters(spark: SparkSession, wh: Warehouse, effective_from: datetime) -> DataFrame:
     """Write the seeded parameter table (overwrite: re-running the seed is safe)."""
     return S.full_refresh(config_parameters(spark, effective_from), wh.path("meta", "config_parameters"),
-                          [_pk("config_parameters")])
+                          [_pk("config_parameters")], **wh.sink("meta", "config_parameters"))
 
 
 def current_params(spark: SparkSession, wh: Warehouse, as_of: datetime) -> Params:
@@ -250,9 +298,11 @@ def main(argv=None) -> None:
     ap.add_argument("--warehouse", default=None, help="root of the zone tables (default: under spark.checkpoint.dir)")
     ap.add_argument("--cores", default="*")
     ap.add_argument("--enforce-gate", action="store_true")
+    ap.add_argument("--database", default=None, help="register zone tables in this catalog database")
+    ap.add_argument("--buckets", type=int, default=0, help="bucket employee-keyed tables (needs --database)")
     a = ap.parse_args(argv)
     spark = local_session(a.cores)
-    wh = Warehouse(a.warehouse or f"{shared_dir(spark).rstrip('/')}/warehouse")
+    wh = Warehouse(a.warehouse or f"{shared_dir(spark).rstrip('/')}/warehouse", a.database, a.buckets)
     t = Tables(spark, a.sf_dir)
     seed_parameters(spark, wh, datetime(2024, 1, 1))
     params = current_params(spark, wh, fx.LOAD_TS)

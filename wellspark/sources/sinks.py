@@ -34,33 +34,45 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def full_refresh(df: DataFrame, path: str, validators: list[Callable[[DataFrame], DataFrame]] = (),
                  partition_by: list[str] | None = None, fmt: str = "parquet",
-                 on_written: Callable[[int], None] | None = None) -> DataFrame:
+                 on_written: Callable[[int], None] | None = None, table: str | None = None,
+                 bucket_by: str | None = None, num_buckets: int = 0) -> DataFrame:
     """Validate, then replace the target's content; returns the written table.
 
     Each validator returns violating rows; any row stops the job before the
     target is touched (unlike TRUNCATE-then-INSERT, which can leave it empty).
     ``on_written`` receives the row count observed while writing (M7 run log).
+    With ``table`` the data is also registered in the catalog (an external
+    table at ``path``), which is what allows ``bucket_by``: tables bucketed
+    the same way on a join key are joined and grouped without a shuffle.
     """
     for v in validators:
         bad = v(df)
         if not bad.isEmpty():
             raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: "
                                   f"{[r.asDict() for r in bad.limit(5).collect()]}")
-    rows = observed_write(df, path, "overwrite", partition_by, fmt)
+    rows = observed_write(df, path, "overwrite", partition_by, fmt, table, bucket_by, num_buckets)
     if on_written is not None:
         on_written(rows)
+    if table is not None:
+        return df.sparkSession.table(table)
     return df.sparkSession.read.format(fmt).load(path)
 
 
 def observed_write(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-                   fmt: str = "parquet") -> int:
+                   fmt: str = "parquet", table: str | None = None, bucket_by: str | None = None,
+                   num_buckets: int = 0) -> int:
     """Write and return the number of rows written, counted by ``observe`` during the write
     itself (no second pass over the data)."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    if table is not None:
+        if bucket_by and num_buckets:
+            w = w.bucketBy(num_buckets, bucket_by).sortBy(bucket_by)
+        w.option("path", path).saveAsTable(table)
+    else:
+        w.save(path)
     return int(obs.get["rows"])
 
 
@@ -89,7 +101,8 @@ def cascade_refresh(children: DataFrame, parents: DataFrame, child_col: str = "e
 
 def rebuild_table(df: DataFrame, path: str, schema: T.StructType | None = None,
                   validators: list[Callable[[DataFrame], DataFrame]] = (), fmt: str = "parquet",
-                  partition_by: list[str] | None = None) -> DataFrame:
+                  partition_by: list[str] | None = None, table: str | None = None,
+                  bucket_by: str | None = None, num_buckets: int = 0) -> DataFrame:
     """Drop-and-recreate semantics without a window where the table is gone.
 
     The new content is written to a staging folder first (it may read the
@@ -101,7 +114,8 @@ def rebuild_table(df: DataFrame, path: str, schema: T.StructType | None = None,
     out.write.mode("overwrite").format(fmt).save(staging)
     staged = spark.read.format(fmt).load(staging)
     try:
-        result = full_refresh(staged, path, validators, partition_by=partition_by, fmt=fmt)
+        result = full_refresh(staged, path, validators, partition_by=partition_by, fmt=fmt,
+                              table=table, bucket_by=bucket_by, num_buckets=num_buckets)
     finally:
         _delete(spark, staging)  # our own staging copy, whatever the outcome
     return result
