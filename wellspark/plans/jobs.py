@@ -304,6 +304,7 @@ def main(argv=None) -> None:
     spark = local_session(a.cores)
     wh = Warehouse(a.warehouse or f"{shared_dir(spark).rstrip('/')}/warehouse", a.database, a.buckets)
     t = Tables(spark, a.sf_dir)
+    wh.prepare(spark)
     seed_parameters(spark, wh, datetime(2024, 1, 1))
     params = current_params(spark, wh, fx.LOAD_TS)
     result = run_all(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), fx.commute_checks(t),
