@@ -42,7 +42,8 @@ DAG_ID = "wellspark_daily"
 
 
 # Tables keyed by employee: bucketed alike so the benefit job joins and groups them without a shuffle.
-EMPLOYEE_KEYED = {("clean", "employees"), ("clean", "activities"), ("analytics", "employee_benefits")}
+EMPLOYEE_KEYED = {("clean", "employees"), ("clean", "activities"), ("analytics", "employee_benefits"),
+                  ("raw", "commute_distance_checks"), ("clean", "commute_validation")}
 
 
 @dataclass(frozen=True)
