@@ -91,3 +91,17 @@ def test_observed_write_counts_rows_in_the_write(spark, tables_small):
     seen = []
     out = S.full_refresh(fx.activities(tables_small), path, on_written=seen.append)
     assert seen == [1000] and out.count() == 1000
+
+
+def test_rebuild_rejected_keeps_target_and_leaves_no_staging(spark):
+    import os
+    root = tempfile.mkdtemp(prefix="ws-sink-")
+    path = root + "/t"
+    spark.range(5).write.parquet(path)
+    dup = spark.range(5).union(spark.range(1))
+    with pytest.raises(S.ValidationError):
+        S.rebuild_table(dup, path, validators=[lambda df: V.pk_violations(df, ("id",))])
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4]
+    S.rebuild_table(spark.range(3), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2]
+    assert os.listdir(root) == ["t"]  # no staging or previous copies left behind

@@ -106,21 +106,61 @@ def rebuild_table(df: DataFrame, path: str, schema: T.StructType | None = None,
     """Drop-and-recreate semantics without a window where the table is gone.
 
     The new content is written to a staging folder first (it may read the
-    target itself), validated there, then copied over the target.
+    target itself) and validated there. A path table is then swapped in by
+    renaming directories (staging sits next to the target, on the same file
+    system), rolled back if the second rename fails. A catalog table is
+    rewritten from the staged copy (bucketing needs the catalog writer); if that
+    write fails the validated staging copy is kept and its path reported.
     """
     spark = df.sparkSession
     out = conform(df, schema) if schema is not None else df
-    staging = scratch_path(spark, "staging")
-    out.write.mode("overwrite").format(fmt).save(staging)
+    staging = (f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}" if table is None
+               else scratch_path(spark, "staging"))
+    w = out.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(staging)
     staged = spark.read.format(fmt).load(staging)
+    for v in validators:
+        bad = v(staged)
+        if not bad.isEmpty():
+            _delete(spark, staging)
+            raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: "
+                                  f"{[r.asDict() for r in bad.limit(5).collect()]}")
+    if table is None:
+        _swap(spark, staging, path)
+        return spark.read.format(fmt).load(path)
     try:
-        result = full_refresh(staged, path, validators, partition_by=partition_by, fmt=fmt,
-                              table=table, bucket_by=bucket_by, num_buckets=num_buckets)
-    finally:
-        _delete(spark, staging)  # our own staging copy, whatever the outcome
+        result = full_refresh(staged, path, partition_by=partition_by, fmt=fmt, table=table,
+                              bucket_by=bucket_by, num_buckets=num_buckets)
+    except Exception as exc:
+        raise RuntimeError(f"rewrite of {table} failed; validated content kept at {staging}") from exc
+    _delete(spark, staging)
     return result
 
 
+def _fs(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _swap(spark, staging: str, target: str) -> None:
+    """Replace ``target`` by ``staging``: two directory renames, rolled back on failure."""
+    fs, t = _fs(spark, target)
+    _, st = _fs(spark, staging)
+    backup = _fs(spark, f"{target.rstrip('/')}.__previous-{uuid.uuid4().hex[:12]}")[1]
+    had_target = fs.exists(t)
+    if had_target and not fs.rename(t, backup):
+        raise OSError(f"could not move {target} aside")
+    if not fs.rename(st, t):
+        if had_target:
+            fs.rename(backup, t)
+        raise OSError(f"could not move {staging} to {target}; previous content restored")
+    if had_target:
+        fs.delete(backup, True)
+
+
 def _delete(spark, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
