@@ -124,9 +124,9 @@ def rebuild_table(df: DataFrame, path: str, schema: T.StructType | None = None,
     for v in validators:
         bad = v(staged)
         if not bad.isEmpty():
+            sample = [r.asDict() for r in bad.limit(5).collect()]
             _delete(spark, staging)
-            raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: "
-                                  f"{[r.asDict() for r in bad.limit(5).collect()]}")
+            raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: {sample}")
     if table is None:
         _swap(spark, staging, path)
         return spark.read.format(fmt).load(path)
