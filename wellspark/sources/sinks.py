@@ -1,10 +1,11 @@
 """Sinks (I5-I7): validated overwrite, cascade handling and staged rebuild.
 
 Writes go to paths (or catalog tables) on shared storage. A job that fails
-half-way never leaves a truncated target: validation runs before the write, and
-a rebuild first materialises the new content in a staging folder under
-``spark.checkpoint.dir``. Writing a table also cuts the lineage, so a lost
-executor re-reads the written files instead of recomputing upstream stages.
+half-way never leaves a truncated target: new content is first written to a
+staging folder (next to the target, or under ``spark.checkpoint.dir`` for
+catalog tables), validated there, and only then swapped in. Writing a table
+also cuts the lineage, so a lost executor re-reads the written files instead of
+recomputing upstream stages.
 """
 
 from __future__ import annotations
@@ -36,26 +37,41 @@ def full_refresh(df: DataFrame, path: str, validators: list[Callable[[DataFrame]
                  partition_by: list[str] | None = None, fmt: str = "parquet",
                  on_written: Callable[[int], None] | None = None, table: str | None = None,
                  bucket_by: str | None = None, num_buckets: int = 0) -> DataFrame:
-    """Validate, then replace the target's content; returns the written table.
-
-    Each validator returns violating rows; any row stops the job before the
-    target is touched (unlike TRUNCATE-then-INSERT, which can leave it empty).
-    ``on_written`` receives the row count observed while writing (M7 run log).
-    With ``table`` the data is also registered in the catalog (an external
-    table at ``path``), which is what allows ``bucket_by``: tables bucketed
-    the same way on a join key are joined and grouped without a shuffle.
+    """Replace the target's content with validated data; returns the written table.
+
+    The data is computed once, into a staging folder (rows counted while
+    writing, for the M7 run log via ``on_written``). Validators read the staged
+    files -- not the upstream plan again -- and any violating row stops the job
+    with the target untouched (unlike TRUNCATE-then-INSERT, which can leave it
+    empty). A path table is then swapped in by renaming directories; a catalog
+    table (``table``, needed for ``bucket_by``: tables bucketed alike on a key
+    are joined and grouped without a shuffle) is rewritten from the staged copy.
+    Because the target is only touched at the end, the input may read it.
     """
+    spark = df.sparkSession
+    staging = (f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}" if table is None
+               else scratch_path(spark, "staging"))
+    rows = observed_write(df, staging, "overwrite", partition_by, fmt)
+    staged = spark.read.format(fmt).load(staging)
     for v in validators:
-        bad = v(df)
+        bad = v(staged)
         if not bad.isEmpty():
-            raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: "
-                                  f"{[r.asDict() for r in bad.limit(5).collect()]}")
-    rows = observed_write(df, path, "overwrite", partition_by, fmt, table, bucket_by, num_buckets)
+            sample = [r.asDict() for r in bad.limit(5).collect()]
+            _delete(spark, staging)
+            raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: {sample}")
+    if table is None:
+        _swap(spark, staging, path)
+        result = spark.read.format(fmt).load(path)
+    else:
+        try:
+            observed_write(staged, path, "overwrite", partition_by, fmt, table, bucket_by, num_buckets)
+        except Exception as exc:
+            raise RuntimeError(f"rewrite of {table} failed; validated content kept at {staging}") from exc
+        _delete(spark, staging)
+        result = spark.table(table)
     if on_written is not None:
         on_written(rows)
-    if table is not None:
-        return df.sparkSession.table(table)
-    return df.sparkSession.read.format(fmt).load(path)
+    return result
 
 
 def observed_write(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
@@ -103,40 +119,11 @@ def rebuild_table(df: DataFrame, path: str, schema: T.StructType | None = None,
                   validators: list[Callable[[DataFrame], DataFrame]] = (), fmt: str = "parquet",
                   partition_by: list[str] | None = None, table: str | None = None,
                   bucket_by: str | None = None, num_buckets: int = 0) -> DataFrame:
-    """Drop-and-recreate semantics without a window where the table is gone.
-
-    The new content is written to a staging folder first (it may read the
-    target itself) and validated there. A path table is then swapped in by
-    renaming directories (staging sits next to the target, on the same file
-    system), rolled back if the second rename fails. A catalog table is
-    rewritten from the staged copy (bucketing needs the catalog writer); if that
-    write fails the validated staging copy is kept and its path reported.
-    """
-    spark = df.sparkSession
+    """Drop-and-recreate with the declared schema (columns in order, cast), and
+    no window where the table is gone: staged, validated, then swapped in."""
     out = conform(df, schema) if schema is not None else df
-    staging = (f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}" if table is None
-               else scratch_path(spark, "staging"))
-    w = out.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(staging)
-    staged = spark.read.format(fmt).load(staging)
-    for v in validators:
-        bad = v(staged)
-        if not bad.isEmpty():
-            sample = [r.asDict() for r in bad.limit(5).collect()]
-            _delete(spark, staging)
-            raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: {sample}")
-    if table is None:
-        _swap(spark, staging, path)
-        return spark.read.format(fmt).load(path)
-    try:
-        result = full_refresh(staged, path, partition_by=partition_by, fmt=fmt, table=table,
-                              bucket_by=bucket_by, num_buckets=num_buckets)
-    except Exception as exc:
-        raise RuntimeError(f"rewrite of {table} failed; validated content kept at {staging}") from exc
-    _delete(spark, staging)
-    return result
+    return full_refresh(out, path, validators, partition_by, fmt, table=table, bucket_by=bucket_by,
+                        num_buckets=num_buckets)
 
 
 def _fs(spark, path: str):
