@@ -85,3 +85,14 @@ def test_bucketed_catalog_tables_join_without_shuffle(spark, tables_small):
                                spark.read.parquet(wh.path("clean", "activities")), fx.AS_OF_YEAR, fx.LOAD_TS)
     assert rows == sorted(map(tuple, flat.collect()))
     spark.sql("DROP DATABASE ws_bucketed CASCADE")
+
+
+def test_ingest_rerun_is_idempotent(spark, tables_small):
+    wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
+    t = tables_small
+    for _ in range(2):
+        jobs.ingest_snapshots(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.LOAD_TS)
+    assert spark.read.parquet(wh.path("raw", "rh_employees_snapshot")).count() == 150
+    assert spark.read.parquet(wh.path("raw", "sport_profile_snapshot")).count() == 125
+    emp = jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
+    assert emp.count() == 141

@@ -106,11 +106,20 @@ def _not_null(table: str):
 
 def ingest_snapshots(spark: SparkSession, wh: Warehouse, hr_sheet: DataFrame, sport_sheet: DataFrame,
                      load_ts: datetime) -> None:
-    """Entry 1a: append one load of each spreadsheet to the raw zone."""
+    """Entry 1a: append one load of each spreadsheet to the raw zone.
+
+    Re-running the same load appends nothing: ``snapshot_id`` hashes the load
+    time and the row, so rows already present in that load date's partition
+    (pruned by a literal date) are skipped with a left-anti join.
+    """
     for table, df in (("rh_employees_snapshot", I.ingest_hr_snapshot(hr_sheet, load_ts)),
                       ("sport_profile_snapshot", I.ingest_sport_snapshot(sport_sheet, load_ts))):
-        S.append(df.withColumn("ingest_date", F.to_date("ingested_ts")), wh.path("raw", table),
-                 partition_by=["ingest_date"])
+        df = df.withColumn("ingest_date", F.to_date("ingested_ts"))
+        existing = wh.read(spark, "raw", table)
+        if existing is not None:
+            seen = existing.where(F.col("ingest_date") == F.lit(load_ts.date())).select("snapshot_id")
+            df = df.join(seen, "snapshot_id", "left_anti")
+        S.append(df, wh.path("raw", table), partition_by=["ingest_date"])
 
 
 def build_clean_employees(spark: SparkSession, wh: Warehouse, load_ts: datetime,
