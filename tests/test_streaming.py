@@ -45,3 +45,19 @@ def test_stream_daily_volume_equals_batch(spark, tables_small):
     got = sorted(tuple(r) for r in spark.table("ws_daily_test").collect())
     want = sorted(tuple(r) for r in SF.daily_volume(feed).collect())
     assert got == want
+
+
+def test_restart_from_checkpoint_processes_only_new_files(spark, tables_small):
+    feed = fx.activities(tables_small)
+    src = tempfile.mkdtemp(prefix="ws-feed-")
+    target = tempfile.mkdtemp(prefix="ws-clean-") + "/activities"
+    ckpt = tempfile.mkdtemp(prefix="ws-ck-")
+    first, second = feed.where("activity_id < 500"), feed.where("activity_id >= 500")
+    first.coalesce(2).write.parquet(f"{src}/drop=0")
+    SF.start_clean_activities(SF.read_activity_feed(spark, f"{src}/*"), target, checkpoint=ckpt).awaitTermination(300)
+    assert spark.read.parquet(target).count() == 500
+    # the query is gone (as after a driver restart); new files arrive; the same checkpoint resumes
+    second.coalesce(2).write.parquet(f"{src}/drop=1")
+    SF.start_clean_activities(SF.read_activity_feed(spark, f"{src}/*"), target, checkpoint=ckpt).awaitTermination(300)
+    out = spark.read.parquet(target)
+    assert out.count() == 1000 and out.select("activity_id").distinct().count() == 1000
