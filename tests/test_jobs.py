@@ -1,6 +1,7 @@
 """End to end: every job on sf0.001 into a fresh warehouse; outputs equal the queries."""
 
 import tempfile
+from datetime import datetime
 
 from tests.conftest import SF_SMALL
 from wellspark.plans import jobs
@@ -96,3 +97,21 @@ def test_ingest_rerun_is_idempotent(spark, tables_small):
     assert spark.read.parquet(wh.path("raw", "sport_profile_snapshot")).count() == 125
     emp = jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
     assert emp.count() == 141
+
+
+def test_duplicate_survey_id_stops_the_clean_write(spark, tables_small):
+    import pytest
+    from pyspark.sql import functions as F
+    from wellspark.sources.sinks import ValidationError
+    wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
+    t = tables_small
+    jobs.ingest_snapshots(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.LOAD_TS)
+    before = jobs.build_clean_employees(spark, wh, fx.LOAD_TS).count()
+    # a later survey answers twice for employee 7
+    sport = fx.sport_sheet(t).unionByName(
+        spark.createDataFrame([("7", "Tennis")], "`ID salarié` string, `Pratique d'un sport` string"))
+    later = datetime(2024, 3, 1)
+    jobs.ingest_snapshots(spark, wh, fx.hr_sheet(t), sport, later)
+    with pytest.raises(ValidationError, match="pk_employees"):
+        jobs.build_clean_employees(spark, wh, later)
+    assert spark.read.parquet(wh.path("clean", "employees")).count() == before  # previous table intact
