@@ -36,6 +36,14 @@ def report_practices(employees: DataFrame) -> DataFrame:
     return _with_share(counts, "n_employees")
 
 
+def report_activity_practices(activities: DataFrame) -> DataFrame:
+    """RP2 (activity side): split of practised sports in the activity feed, count and share."""
+    counts = activities.groupBy(F.lower("sport_type").alias("sport_type")).agg(
+        F.count(F.lit(1)).alias("n_activities"),
+        F.count_distinct("employee_id").alias("n_employees"))
+    return _with_share(counts, "n_activities")
+
+
 def report_benefit_cost(employees: DataFrame, activities: DataFrame, as_of_year: int,
                         params: Params = DEFAULT_PARAMS) -> DataFrame:
     """RP3: estimated bonus cost per business unit plus the grand total (ROLLUP)."""

@@ -404,6 +404,11 @@ def q_report_practices(spark, sf_dir):
     return R.report_practices(fx.employees(_t(spark, sf_dir)))
 
 
+@query("report_activity_practices")
+def q_report_activity_practices(spark, sf_dir):
+    return R.report_activity_practices(fx.activities(_t(spark, sf_dir)))
+
+
 @query("report_benefit_cost")
 def q_report_benefit_cost(spark, sf_dir):
     t = _t(spark, sf_dir)
