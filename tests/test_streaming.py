@@ -61,3 +61,14 @@ def test_restart_from_checkpoint_processes_only_new_files(spark, tables_small):
     SF.start_clean_activities(SF.read_activity_feed(spark, f"{src}/*"), target, checkpoint=ckpt).awaitTermination(300)
     out = spark.read.parquet(target)
     assert out.count() == 1000 and out.select("activity_id").distinct().count() == 1000
+
+
+def test_daily_volume_table_sink(spark, tables_small):
+    feed = fx.activities(tables_small)
+    src = tempfile.mkdtemp(prefix="ws-feed-")
+    _write_batches(feed, src, 2)
+    target = tempfile.mkdtemp(prefix="ws-daily-") + "/daily"
+    SF.start_daily_volume_table(SF.read_activity_feed(spark, f"{src}/*", max_files_per_trigger=1), target,
+                                checkpoint=tempfile.mkdtemp(prefix="ws-ck-")).awaitTermination(300)
+    got = sorted(tuple(r) for r in spark.read.parquet(target).collect())
+    assert got == sorted(tuple(r) for r in SF.daily_volume(feed).collect())

@@ -11,9 +11,10 @@ the whole feed. This module keeps it current as new feed files arrive:
   appended. No watermark: a late activity is still written, never dropped. An
   id seen in an earlier batch keeps its first written version; a retried batch
   finds its own rows and writes nothing twice.
-* ``start_daily_volume`` -- activities per day as a running aggregate (one
-  state row per calendar day, so the state is bounded by the calendar, not by
-  the data), written in ``complete`` mode to a memory or foreachBatch sink.
+* ``start_daily_volume`` / ``start_daily_volume_table`` -- activities per day
+  as a running aggregate (one state row per calendar day, so the state is
+  bounded by the calendar, not by the data), in ``complete`` mode to a memory
+  sink (tests) or to a table replaced by a staged swap on every trigger.
 
 Checkpoints live under ``spark.checkpoint.dir`` so a restarted query resumes
 from its last committed batch.
@@ -91,3 +92,20 @@ def start_daily_volume(feed: DataFrame, query_name: str, checkpoint: str | None
          .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{query_name}")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def start_daily_volume_table(feed: DataFrame, target: str, checkpoint: str | None = None,
+                             available_now: bool = True) -> StreamingQuery:
+    """``daily_volume`` kept as a table: each trigger's complete result (one row per day)
+    replaces the target through the staged, validated swap of the batch sinks."""
+    from ..operators.constraints import pk_violations
+    from ..sources.sinks import full_refresh
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        full_refresh(batch, target, [lambda df: pk_violations(df, ("activity_date",))])
+
+    spark = feed.sparkSession
+    w = (daily_volume(feed).writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-daily-volume")))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
