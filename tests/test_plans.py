@@ -97,3 +97,13 @@ def test_latest_snapshot_prunes_to_newest_partition(spark, tables_small):
     assert out.count() == 150
     assert "PartitionFilters: [isnotnull(ingest_date" in _formatted(out)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, latest_snapshot(fx.hr_raw(tables_small)).collect()))
+
+
+def test_scale_conf_sizes_partitions():
+    from wellspark.session import scale_conf
+    tb = 1024 ** 4
+    c = scale_conf(shuffle_bytes_estimate=20 * tb, executor_cores_total=4000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 20 * tb // (256 * 1024 ** 2)  # 81,920 x 256 MB
+    assert c["spark.sql.adaptive.enabled"] == "true" and c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = scale_conf(shuffle_bytes_estimate=1024 ** 3, executor_cores_total=4000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 12000  # never fewer than 3 waves of cores
