@@ -40,7 +40,11 @@ class Tables:
     _instances: dict[tuple, "Tables"] = {}
 
     def __new__(cls, spark: SparkSession, sf_dir: str):
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # a Spark Connect session has no SparkContext
+            app = None
+        key = (app, id(spark), sf_dir.rstrip("/"))
         inst = cls._instances.get(key)
         if inst is None:
             inst = super().__new__(cls)
