@@ -33,3 +33,10 @@ def test_optional_and_status(spark, tables_small):
     st = {r.source_name: (r.present, r.row_count) for r in
           I.source_status({"events": tables_small.events, "gone": None}).collect()}
     assert st == {"events": (True, 1000), "gone": (False, None)}
+
+
+def test_require_non_empty(spark, tables_small):
+    import pytest
+    assert I.require_non_empty(tables_small.nation, "nation") is not None
+    with pytest.raises(RuntimeError, match="clean.employees is empty"):
+        I.require_non_empty(tables_small.nation.limit(0), "clean.employees")
