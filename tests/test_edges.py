@@ -145,3 +145,14 @@ def test_check_violations_null_passes(spark):
     got = sorted((r.activity_id, r.constraint_name) for r in
                  check_violations(df, schemas.CHECKS["activities"], ("activity_id",)).collect())
     assert got == [(2, "distance_m_non_negative"), (2, "elapsed_s_non_negative")]
+
+
+def test_seed_checks_first_15_by_id_and_negative_remainders(spark):
+    emp = spark.createDataFrame([(i, "addr", "Marche") for i in list(range(-4, 30, 2))],
+                                "employee_id bigint, home_address string, commute_mode string")
+    out = {r.employee_id: r for r in K.seed_commute_checks(emp, datetime(2024, 2, 1)).collect()}
+    assert sorted(out) == list(range(-4, 26, 2))                     # 15 smallest ids
+    assert out[-4].distance_km == Decimal("20.000")                  # -4 % 3 = -1 -> default branch
+    assert out[0].distance_km == Decimal("50.000") and out[4].distance_km == Decimal("10.000")
+    assert out[0].anomaly_reason == rules.COMMUTE_ANOMALY_REASON and out[4].anomaly_reason is None
+    assert sorted(r.check_id for r in out.values()) == list(range(1, 16))
