@@ -19,7 +19,7 @@ them without any shuffle (``tests/test_jobs.py`` checks the plan).
 from __future__ import annotations
 
 import argparse
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -310,6 +310,8 @@ def main(argv=None) -> None:
     ap.add_argument("--enforce-gate", action="store_true")
     ap.add_argument("--database", default=None, help="register zone tables in this catalog database")
     ap.add_argument("--buckets", type=int, default=0, help="bucket employee-keyed tables (needs --database)")
+    ap.add_argument("--min-activities-rows", type=int, default=None,
+                    help="volume threshold of the activity gate (default 2000)")
     a = ap.parse_args(argv)
     spark = local_session(a.cores)
     wh = Warehouse(a.warehouse or f"{shared_dir(spark).rstrip('/')}/warehouse", a.database, a.buckets)
@@ -317,6 +319,8 @@ def main(argv=None) -> None:
     wh.prepare(spark)
     seed_parameters(spark, wh, datetime(2024, 1, 1))
     params = current_params(spark, wh, fx.LOAD_TS)
+    if a.min_activities_rows is not None:
+        params = replace(params, min_activities_rows=a.min_activities_rows)
     result = run_all(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), fx.commute_checks(t),
                      fx.LOAD_TS, fx.AS_OF_YEAR, params=params, enforce_gate=a.enforce_gate)
     print({"warehouse": wh.root, **result})
