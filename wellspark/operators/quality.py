@@ -246,10 +246,14 @@ def quality_gate(report: DataFrame) -> DataFrame:
 
 
 def enforce_gate(report: DataFrame) -> bool:
-    """Raise when the gate fails (the blocking behaviour); reads one row."""
-    row = quality_gate(report).first()
-    if not row.gate_ok:
-        failed = report.where(~F.col("ok")).select("check_name", "details").limit(50).collect()
+    """Raise when the gate fails (the blocking behaviour).
+
+    The report has one row per check (about 25, whatever the data size), so it
+    is collected once: the underlying scans run a single time.
+    """
+    rows = report.select("check_name", "ok", "details").collect()
+    failed = [r for r in rows if not r.ok]
+    if failed:
         raise QualityGateError(failed)
     return True
 
