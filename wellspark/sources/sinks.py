@@ -2,10 +2,10 @@
 
 Writes go to paths (or catalog tables) on shared storage. A job that fails
 half-way never leaves a truncated target: new content is first written to a
-staging folder (next to the target, or under ``spark.checkpoint.dir`` for
-catalog tables), validated there, and only then swapped in. Writing a table
-also cuts the lineage, so a lost executor re-reads the written files instead of
-recomputing upstream stages.
+fresh location next to the target, validated there, and only then swapped in
+by metadata operations (directory renames, or a catalog drop + rename).
+Writing a table also cuts the lineage, so a lost executor re-reads the written
+files instead of recomputing upstream stages.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
 
 
 class ValidationError(RuntimeError):
@@ -39,41 +38,81 @@ def full_refresh(df: DataFrame, path: str, validators: list[Callable[[DataFrame]
                  bucket_by: str | None = None, num_buckets: int = 0) -> DataFrame:
     """Replace the target's content with validated data; returns the written table.
 
-    The data is computed once, into a staging folder (rows counted while
-    writing, for the M7 run log via ``on_written``). Validators read the staged
-    files -- not the upstream plan again -- and any violating row stops the job
-    with the target untouched (unlike TRUNCATE-then-INSERT, which can leave it
-    empty). A path table is then swapped in by renaming directories; a catalog
-    table (``table``, needed for ``bucket_by``: tables bucketed alike on a key
-    are joined and grouped without a shuffle) is rewritten from the staged copy.
+    The data is computed once, into a new location (rows counted while
+    writing, for the M7 run log via ``on_written``). Validators read those
+    written files -- not the upstream plan again -- and any violating row stops
+    the job with the target untouched (unlike TRUNCATE-then-INSERT, which can
+    leave it empty). Then the new version replaces the old one by metadata
+    operations only:
+
+    * a path table: the staging directory is renamed over the target (the old
+      directory is moved aside first and restored if the second rename fails);
+    * a catalog table (``table``, needed for ``bucket_by``: tables bucketed
+      alike on a key are joined and grouped without a shuffle): the new version
+      is written as a temporary external table at a fresh location; with a
+      persistent metastore the old table entry is dropped (its files stay) and
+      the temporary one renamed to the real name, the old files removed last.
+      With the session-only in-memory catalog the path must stay the source of
+      truth, so the validated copy is rewritten over the fixed location.
+
     Because the target is only touched at the end, the input may read it.
     """
     spark = df.sparkSession
-    staging = (f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}" if table is None
-               else scratch_path(spark, "staging"))
-    rows = observed_write(df, staging, "overwrite", partition_by, fmt)
-    staged = spark.read.format(fmt).load(staging)
+    new_loc = f"{path.rstrip('/')}.__next-{uuid.uuid4().hex[:12]}"
+    temp = None
+    if table is not None:
+        temp = f"{table}__next_{uuid.uuid4().hex[:12]}"
+        rows = observed_write(df, new_loc, "overwrite", partition_by, fmt, temp, bucket_by, num_buckets)
+        staged = spark.table(temp)
+    else:
+        rows = observed_write(df, new_loc, "overwrite", partition_by, fmt)
+        staged = spark.read.format(fmt).load(new_loc)
     for v in validators:
         bad = v(staged)
         if not bad.isEmpty():
             sample = [r.asDict() for r in bad.limit(5).collect()]
-            _delete(spark, staging)
+            if temp is not None:
+                spark.sql(f"DROP TABLE IF EXISTS {temp}")
+            _delete(spark, new_loc)
             raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: {sample}")
     if table is None:
-        _swap(spark, staging, path)
+        _swap(spark, new_loc, path)
         result = spark.read.format(fmt).load(path)
+    elif _persistent_catalog(spark):
+        old_loc = _location(spark, table) if spark.catalog.tableExists(table) else None
+        if old_loc is not None:
+            spark.sql(f"DROP TABLE {table}")            # external: the files stay until the end
+        spark.sql(f"ALTER TABLE {temp} RENAME TO {table}")
+        if old_loc is not None and old_loc.rstrip("/") != new_loc.rstrip("/"):
+            _delete(spark, old_loc)
+        result = spark.table(table)
     else:
+        # Session-only catalog: the path stays the source of truth (later sessions read it),
+        # so the validated copy is written over the fixed location; kept if that write fails.
         try:
             observed_write(staged, path, "overwrite", partition_by, fmt, table, bucket_by, num_buckets)
         except Exception as exc:
-            raise RuntimeError(f"rewrite of {table} failed; validated content kept at {staging}") from exc
-        _delete(spark, staging)
+            raise RuntimeError(f"rewrite of {table} failed; validated content kept at {new_loc}") from exc
+        spark.sql(f"DROP TABLE IF EXISTS {temp}")
+        _delete(spark, new_loc)
         result = spark.table(table)
     if on_written is not None:
         on_written(rows)
     return result
 
 
+def _persistent_catalog(spark) -> bool:
+    """A metastore that outlives the session (Hive); the default in-memory one does not."""
+    return spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive"
+
+
+def _location(spark, table: str) -> str | None:
+    """Storage location of a catalog table (one row of its extended description)."""
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect():
+        return r.data_type
+    return None
+
+
 def observed_write(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
                    fmt: str = "parquet", table: str | None = None, bucket_by: str | None = None,
                    num_buckets: int = 0) -> int:
