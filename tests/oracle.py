@@ -46,6 +46,22 @@ def rows_of(columns, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# Spark simpleString -> DuckDB type name, for the schema part of the comparison.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(spark_schema, duck_types: dict) -> list[str]:
+    out = []
+    for f in spark_schema.fields:
+        st = f.dataType.simpleString()
+        want = SPARK_TO_DUCK.get(st, st.upper())
+        if duck_types.get(f.name) != want:
+            out.append(f"{f.name}: spark={st} duck={duck_types.get(f.name)}")
+    return out
+
+
 def compare(spark, con, name: str, sf_dir: str, fn, sql: str | None):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -54,6 +70,8 @@ def compare(spark, con, name: str, sf_dir: str, fn, sql: str | None):
     t1 = time.time()
     if sql is None:
         return {"name": name, "ok": None, "rows": len(s_rows), "spark_s": round(t1 - t0, 2)}
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
@@ -61,6 +79,10 @@ def compare(spark, con, name: str, sf_dir: str, fn, sql: str | None):
     if sorted(s_cols) != sorted(d_cols):
         out.update(ok=False, why=f"columns differ: spark={s_cols} duck={d_cols}")
         return out
+    bad_types = type_mismatches(sdf.schema, d_types)
+    if bad_types:
+        out.update(ok=False, why=f"types differ: {bad_types}")
+        return out
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
     if a != b:
         diff_a = [r for r in a if r not in set(b)][:3]
