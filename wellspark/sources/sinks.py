@@ -1,9 +1,11 @@
 """Sinks (I5-I7): validated overwrite, cascade handling and staged rebuild.
 
-Writes go to paths (or catalog tables) on shared storage. A job that fails
-half-way never leaves a truncated target: new content is first written to a
-fresh location next to the target, validated there, and only then swapped in
-by metadata operations (directory renames, or a catalog drop + rename).
+Writes go to paths (or catalog tables) on shared storage. New content is first
+written to a fresh location next to the target and validated there; only then
+does it replace the target: by directory renames for a path table, by a
+catalog drop + rename with a persistent metastore, or -- with the session-only
+catalog, where the path is the source of truth -- by rewriting the fixed path
+from the validated copy (kept, and reported, if that rewrite fails).
 Writing a table also cuts the lineage, so a lost executor re-reads the written
 files instead of recomputing upstream stages.
 """
