@@ -6,10 +6,11 @@ executor re-reads written files instead of recomputing earlier jobs. Raw zone
 tables are append-only histories partitioned by load date; clean activities
 are partitioned by activity year so the benefit job's year filter prunes files.
 
-Command line (runs every job on one driver-table directory)::
+Command line (every job, on the driver tables or on real exports)::
 
-    python -m wellspark.plans.jobs --sf-dir /root/testdata/sf0.01 --warehouse <shared path> \
-        [--database zones --buckets 512]
+    python -m wellspark --sf-dir /root/testdata/sf0.01 --warehouse <shared path> [--database zones --buckets 512]
+    python -m wellspark --hr-csv hr.csv --sport-csv sport.csv --activities feed/ [--checks checks/]
+        --load-ts 2024-02-01T00:00:00 --as-of-year 2024 --warehouse <shared path>
 
 With a catalog database and buckets, employees, activities and benefits are
 bucketed by ``employee_id`` alike, so the benefit job aggregates and joins
@@ -304,7 +305,15 @@ def main(argv=None) -> None:
     from ..sources.tables import Tables
 
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--sf-dir", required=True)
+    src = ap.add_argument_group("inputs: either --sf-dir (driver tables through the fixture mapping) "
+                                "or the four real sources")
+    src.add_argument("--sf-dir", default=None)
+    src.add_argument("--hr-csv", default=None, help="HR spreadsheet exported as CSV (original headers)")
+    src.add_argument("--sport-csv", default=None, help="sport survey exported as CSV (original headers)")
+    src.add_argument("--activities", default=None, help="activity feed (parquet, clean.activities columns)")
+    src.add_argument("--checks", default=None, help="commute distance checks (parquet), optional")
+    ap.add_argument("--load-ts", default=None, help="load time, ISO format (default: the fixture's)")
+    ap.add_argument("--as-of-year", type=int, default=None, help="benefit year (default: the fixture's)")
     ap.add_argument("--warehouse", default=None, help="root of the zone tables (default: under spark.checkpoint.dir)")
     ap.add_argument("--cores", default="*")
     ap.add_argument("--enforce-gate", action="store_true")
@@ -313,16 +322,28 @@ def main(argv=None) -> None:
     ap.add_argument("--min-activities-rows", type=int, default=None,
                     help="volume threshold of the activity gate (default 2000)")
     a = ap.parse_args(argv)
+    if bool(a.sf_dir) == bool(a.hr_csv):
+        ap.error("give either --sf-dir or --hr-csv/--sport-csv/--activities")
     spark = local_session(a.cores)
     wh = Warehouse(a.warehouse or f"{shared_dir(spark).rstrip('/')}/warehouse", a.database, a.buckets)
-    t = Tables(spark, a.sf_dir)
+    load_ts = datetime.fromisoformat(a.load_ts) if a.load_ts else fx.LOAD_TS
+    as_of_year = a.as_of_year or fx.AS_OF_YEAR
+    if a.sf_dir:
+        t = Tables(spark, a.sf_dir)
+        hr, sport, feed, checks = fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), fx.commute_checks(t)
+    else:
+        if not (a.sport_csv and a.activities):
+            ap.error("--hr-csv needs --sport-csv and --activities")
+        hr, sport = I.read_sheet(spark, a.hr_csv), I.read_sheet(spark, a.sport_csv)
+        feed = spark.read.parquet(a.activities)
+        checks = spark.read.parquet(a.checks) if a.checks else None
     wh.prepare(spark)
-    seed_parameters(spark, wh, datetime(2024, 1, 1))
-    params = current_params(spark, wh, fx.LOAD_TS)
+    seed_parameters(spark, wh, datetime(load_ts.year, 1, 1))
+    params = current_params(spark, wh, load_ts)
     if a.min_activities_rows is not None:
         params = replace(params, min_activities_rows=a.min_activities_rows)
-    result = run_all(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), fx.commute_checks(t),
-                     fx.LOAD_TS, fx.AS_OF_YEAR, params=params, enforce_gate=a.enforce_gate)
+    result = run_all(spark, wh, hr, sport, feed, checks, load_ts, as_of_year, params=params,
+                     enforce_gate=a.enforce_gate)
     print({"warehouse": wh.root, **result})
 
 
