@@ -89,16 +89,20 @@ def _pair(held: Column, x: Column, seed: Column) -> Column:
     return F.struct(ph.alias("ph"), px.alias("px"))
 
 
-ITEM = "struct<id:bigint,doc_id:bigint,size:bigint,ord:bigint,base:bigint,p:double>"
+ITEM = "struct<key:bigint,id:bigint,doc_id:bigint,size:bigint,ord:bigint,base:bigint,p:double>"
 
 
 def _with_p(item: Column, p: Column) -> Column:
-    return F.struct(item.id.alias("id"), item.doc_id.alias("doc_id"), item["size"].alias("size"),
+    return F.struct(item.key.alias("key"), item.id.alias("id"), item.doc_id.alias("doc_id"), item["size"].alias("size"),
                     item.ord.alias("ord"), item.base.alias("base"), p.alias("p")).cast(ITEM)
 
 
 def _fold(items: Column, level: int) -> Column:
-    """Pivot a group's documents one after the other: struct(done, held)."""
+    """Pivot a group's documents one after the other, the largest first: struct(done, held).
+
+    A large document is decided by the words of many smaller ones, so what a
+    group leaves undecided in the end is one of its smaller documents.
+    """
     none = F.lit(None).cast(ITEM)
     start = F.struct(F.array().cast(f"array<{ITEM}>").alias("done"), none.alias("held"))
     open_ = lambda p: (p > 0.0) & (p < 1.0)
@@ -139,7 +143,7 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = CYCLE, max_copies: float = MAX
             .withColumn("id", fingerprint(F.col("doc_id"), F.col("source"), F.col("size"), F.col("ord"), seed=seed))
             .withColumns({"base": F.floor(ratio).cast("long"), "p": ratio - F.floor(ratio)})
             .withColumn("grp", F.pmod(F.col("id"), n_groups)))
-    item = F.struct("id", "doc_id", "size", "ord", "base", "p").cast(ITEM).alias("item")
+    item = F.struct((-F.col("size")).alias("key"), "id", "doc_id", "size", "ord", "base", "p").cast(ITEM).alias("item")
     keys = ["source", "source_size", "target"]
     rows = rows.select(*keys, "grp", item)
     at_stake = (F.col("item.p") > 0) & (F.col("item.p") < 1) & (F.col("item.size") > 0)
