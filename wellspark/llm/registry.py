@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from .chat_format import OP9_SQL, op9_chat_formatting
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .mixing import op10_mixing
+from .token_counts import op8_token_counts
+from .topk_search import OP7_SQL, op7_exact_topk
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op7_exact_topk": op7_exact_topk,
+    "op8_token_counts": op8_token_counts,
+    "op9_chat_formatting": op9_chat_formatting,
     "op10_mixing": op10_mixing,
 }
 
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
+    "op7_exact_topk": OP7_SQL,
+    "op9_chat_formatting": OP9_SQL,
 }
