@@ -10,6 +10,8 @@ from ..session import scratch_path
 # The ASCII white space that separates words and is stripped from lines.
 WHITE = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+# Staged tables: zstd frees its native buffers with each file; snappy's wait for a garbage collection.
+CODEC = "zstd"
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -27,7 +29,7 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("errorifexists").option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import ASCII_LOWER, ASCII_UPPER, WHITE, ascii_lower, fingerprint, stage, table
+from .common import ASCII_LOWER, ASCII_UPPER, CODEC, WHITE, ascii_lower, fingerprint, stage, table
 
 
 def split_lines(text: Column) -> Column:
@@ -78,7 +78,7 @@ class LineRuns:
 
     def _write(self, counts: DataFrame, run: tuple[int, int, int]) -> None:
         (counts.select("h1", "h2", "docs").sortWithinPartitions("h1", "h2")
-         .write.mode("overwrite").parquet(f"{self.root}/L{run[0]}_{run[1]}_{run[2]}"))
+         .write.mode("overwrite").option("compression", CODEC).parquet(f"{self.root}/L{run[0]}_{run[1]}_{run[2]}"))
 
     def _merged(self, runs: list[tuple[int, int, int]]) -> DataFrame:
         out = self.spark.createDataFrame([], self.SCHEMA)

@@ -5,11 +5,15 @@ from __future__ import annotations
 from .chat_format import OP9_SQL, op9_chat_formatting
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .mixing import op10_mixing
+from .quality_knn import op4_quality
 from .token_counts import op8_token_counts
 from .topk_search import OP7_SQL, op7_exact_topk
+from .toxicity import op5_toxicity
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op4_quality": op4_quality,
+    "op5_toxicity": op5_toxicity,
     "op7_exact_topk": op7_exact_topk,
     "op8_token_counts": op8_token_counts,
     "op9_chat_formatting": op9_chat_formatting,

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import stage, table
+from .common import CODEC, stage, table
 
 TOKENIZER_DIR = "/opt/tokenizers"
 TOKENIZERS = ("byte_bpe_50k",)
@@ -119,7 +119,7 @@ class TokenRollup:
         for counts, sign in ((inserted, 1), (deleted, -1)):
             if counts is not None:
                 changes = changes.unionByName(signed(counts, sign))
-        self._sums(changes).write.mode("overwrite").parquet(f"{self.root}/batch-{batch_id}")
+        self._sums(changes).write.mode("overwrite").option("compression", CODEC).parquet(f"{self.root}/batch-{batch_id}")
         return True
 
     @staticmethod
@@ -145,8 +145,8 @@ class TokenRollup:
         old = self._committed("base-")
         n = max((int(b[5:]) for b in old), default=-1) + 1
         self.spark.createDataFrame([(b,) for b in batches], "batch string").coalesce(1) \
-            .write.mode("overwrite").parquet(f"{self.root}/held-{n}")
-        self._sums(deltas).write.mode("overwrite").parquet(f"{self.root}/base-{n}")
+            .write.mode("overwrite").option("compression", CODEC).parquet(f"{self.root}/held-{n}")
+        self._sums(deltas).write.mode("overwrite").option("compression", CODEC).parquet(f"{self.root}/base-{n}")
         path, fs = self._fs()
         for name in [*old, *[f"held-{b[5:]}" for b in old], *[f"batch-{b}" for b in batches]]:
             fs.delete(path(f"{self.root}/{name}"), True)
