@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat_format import OP9_SQL, op9_chat_formatting
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .mixing import op10_mixing
+from .near_dedup import op6_minhash_near_dedup
 from .quality_knn import op4_quality
 from .token_counts import op8_token_counts
 from .topk_search import OP7_SQL, op7_exact_topk
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_exact_topk": op7_exact_topk,
     "op8_token_counts": op8_token_counts,
     "op9_chat_formatting": op9_chat_formatting,

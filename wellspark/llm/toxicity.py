@@ -110,7 +110,7 @@ def compose(a: Transducer, b: Transducer) -> Transducer:
 
 
 GRAMMAR = compose(compose(negation(), reported_speech()), target())
-FEATURES = ("weight", "matches", "clauses", "largest", "aimed", "threats", "softened", "density")
+FEATURES = ("weight", "matches", "words", "clauses", "largest", "aimed", "threats", "softened", "density")
 
 
 def seed_lexicon() -> dict[str, tuple[int, float]]:
@@ -124,19 +124,19 @@ def seed_lexicon() -> dict[str, tuple[int, float]]:
 @dataclass
 class ToxicityModel:
     lexicon: dict[str, tuple[int, float]] = field(default_factory=seed_lexicon)
-    weights: np.ndarray = field(default_factory=lambda: np.array([0.6, 0.2, 0.2, 0.3, 0.2, 0.2, -0.2, 0.0, -3.0]))
+    weights: np.ndarray = field(default_factory=lambda: np.array([0.6, 0.2, 0.2, 0.2, 0.3, 0.2, 0.2, -0.2, 0.0, -3.0]))
 
     def __post_init__(self):
         self.triggers = {w for w, (s, _) in self.lexicon.items() if s in (INSULT, THREAT)}
 
-    def clause(self, words: list[str]) -> list[tuple[int, float]]:
-        """The matches of one clause: (symbol after composition, weight)."""
+    def clause(self, words: list[str]) -> list[tuple[int, float, str]]:
+        """The matches of one clause: (symbol after composition, weight, word)."""
         state, out = 0, []
         for w in words:
             symbol, weight = self.lexicon.get(w, (OTHER, 0.0))
             state, symbol = GRAMMAR.step(state, symbol)
             if symbol in CONTEXT:
-                out.append((symbol, weight * CONTEXT[symbol]))
+                out.append((symbol, weight * CONTEXT[symbol], w))
         return out
 
     def features(self, text: str | None) -> tuple[float, ...]:
@@ -145,10 +145,11 @@ class ToxicityModel:
         if self.triggers.isdisjoint(words):
             return (0.0,) * len(FEATURES)
         matched = [m for c in CLAUSE.split(low) if (m := self.clause(WORD.findall(c)))]
-        each = [sum(w for _, w in m) for m in matched]
-        kinds = Counter(s for m in matched for s, _ in m)
+        each = [sum(weight for _, weight, _ in m) for m in matched]
+        kinds = Counter(s for m in matched for s, _, _ in m)
         total = sum(each)
-        return (math.log1p(total), math.log1p(sum(kinds.values())), math.log1p(len(matched)), max(each, default=0.0),
+        return (math.log1p(total), math.log1p(sum(kinds.values())), math.log1p(len({w for m in matched for _, _, w in m})),
+                math.log1p(len(matched)), math.log1p(max(each, default=0.0)),
                 math.log1p(kinds[AIMED_INSULT] + kinds[AIMED_THREAT]),
                 math.log1p(kinds[THREAT] + kinds[AIMED_THREAT]),
                 math.log1p(kinds[SOFT_INSULT] + kinds[QUOTED_INSULT] + kinds[SOFT_THREAT] + kinds[QUOTED_THREAT]),
