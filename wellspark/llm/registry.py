@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat_format import OP9_SQL, op9_chat_formatting
+from .decontaminate import op2_decontamination
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .mixing import op10_mixing
 from .near_dedup import op6_minhash_near_dedup
@@ -13,6 +14,7 @@ from .toxicity import op5_toxicity
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_decontamination": op2_decontamination,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
