@@ -125,7 +125,10 @@ def _fold(items: Column, level: int) -> Column:
 
 def mix(docs: DataFrame, cycle: tuple[int, ...] = CYCLE, max_copies: float = MAX_COPIES, group: int = GROUP,
         seed: int = 0) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken), one row per row of ``docs``."""
+    """(doc_id, source, size, ord, source_size, target, copies, taken), one row per row of ``docs``.
+
+    ``ord`` numbers rows that are alike in doc_id, source and size from 1.
+    """
     # Equal rows are interchangeable: count them and hand out ordinals, so that the
     # grouping below is by value, stable on recomputation and even for repeated rows.
     sized = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source",
@@ -165,11 +168,28 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = CYCLE, max_copies: float = MAX
     for p in parts[1:]:
         out = out.unionByName(p)
     copies = F.col("item.base") + F.when(F.col("item.p") >= 1.0, 1).otherwise(0)
-    return out.select("item.doc_id", "source", "item.size", "source_size", "target",
+    return out.select("item.doc_id", "source", "item.size", "item.ord", "source_size", "target",
                       copies.cast("long").alias("copies"),
                       (copies * F.col("item.size")).cast("long").alias("taken"))
 
 
+def mix_documents(docs: DataFrame, **options) -> DataFrame:
+    """All rows and columns of ``docs`` plus size, source_size, target, copies and taken.
+
+    ``copies`` is how often the mix holds the document, 0 if it does not. Columns of
+    these names that are there already are replaced.
+    """
+    new = ["size", "source_size", "target", "copies", "taken"]
+    mixed = mix(docs, **options).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
+                                        F.col("ord").alias("__ord"), *new)
+    docs = docs.drop(*new)
+    alike = Window.partitionBy(F.col("doc_id").cast("long"), "source", "__size").orderBy("text")
+    docs = docs.withColumn("__size", n_words(F.col("text"))).withColumn("__n", F.row_number().over(alike))
+    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
+            & (F.col("__size") == F.col("size")) & (F.col("__n") == F.col("__ord")))
+    return docs.join(mixed, same).select(*[c for c in docs.columns if c not in ("__size", "__n")], *new)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")

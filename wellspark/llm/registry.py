@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat_format import OP9_SQL, op9_chat_formatting
 from .decontaminate import op2_decontamination
 from .line_dedup import OP1_SQL, op1_line_dedup
+from .lm_scoring import OP3_SQL, op3_lm_scoring
 from .mixing import op10_mixing
 from .near_dedup import op6_minhash_near_dedup
 from .quality_knn import op4_quality
@@ -15,6 +16,7 @@ from .toxicity import op5_toxicity
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
@@ -26,6 +28,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
+    "op3_lm_scoring": OP3_SQL,
     "op7_exact_topk": OP7_SQL,
     "op9_chat_formatting": OP9_SQL,
 }
