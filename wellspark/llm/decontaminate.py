@@ -99,7 +99,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     ``key`` is the fingerprint of doc_id and text (``document_key``).
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text")).alias("h"))
-    items = stage(items.filter(F.size("h") > 0).distinct().withColumn("n", F.size("h")), "items")
+    items = (items.filter(F.size("h") > 0).distinct()
+             .withColumns({"n": F.size("h"), "iid": fingerprint(F.col("item_id"), F.xxhash64("h"))}))
+    items = stage(items, "items")
     slim = docs.select(document_key(docs).alias("key"), F.col("doc_id").cast("long").alias("doc_id"),
                        word_hashes(F.col("text")).alias("h"))
     lengths = [r.k for r in items.select(F.least("n", F.lit(SIZE)).alias("k")).distinct().collect()]  # at most SIZE
@@ -134,22 +136,22 @@ def _with_shingles_of(slim: DataFrame, items: DataFrame, k: int, threshold: floa
 
     bags = windows.select("wid", "n", "win").distinct().withColumn("shingles", _shingles(F.col("win"), k))
     bags = stage(bags.select("wid", "n", "shingles"), "window-shingles")
-    win_counts, item_counts = _counted(bags, "wid"), _counted(items, "item_id")
+    win_counts, item_counts = _counted(bags, "wid"), _counted(items, "iid")
     prints = simhash(win_counts, "wid").join(bags.select("wid", "n"), "wid")
-    item_prints = simhash(item_counts, "item_id").join(items.select("item_id", "n"), "item_id")
+    item_prints = simhash(item_counts, "iid").join(items.select("iid", "item_id", "n"), "iid")
     keyed = lambda f, *cols: f.select(*cols, "n", F.explode(blocks(F.col("simhash"), radius)).alias("b")) \
         .select(*cols, "n", "b.no", "b.value")
     left = keyed(prints.withColumnsRenamed({"simhash": "simhash_w", "weight": "weight_w"})
                  .withColumn("simhash", F.col("simhash_w")), "wid", "simhash_w", "weight_w")
     right = keyed(item_prints.withColumnsRenamed({"simhash": "simhash_i", "weight": "weight_i"})
-                  .withColumn("simhash", F.col("simhash_i")), "item_id", "simhash_i", "weight_i")
+                  .withColumn("simhash", F.col("simhash_i")), "iid", "item_id", "simhash_i", "weight_i")
     hamming = F.bit_count(F.col("simhash_w").bitwiseXOR(F.col("simhash_i")))
     near = (left.join(right, ["n", "no", "value"]).withColumn("hamming", hamming).filter(F.col("hamming") <= radius)
-            .select("wid", "item_id", "weight_w", "weight_i", "hamming").distinct())
+            .select("wid", "iid", "item_id", "weight_w", "weight_i", "hamming").distinct())
     near = stage(near, "window-candidates")
 
-    common = (near.join(win_counts, "wid").join(item_counts.withColumnRenamed("c", "ci"), ["item_id", "sh"])
-              .groupBy("wid", "item_id", "weight_w", "weight_i", "hamming")
+    common = (near.join(win_counts, "wid").join(item_counts.withColumnRenamed("c", "ci"), ["iid", "sh"])
+              .groupBy("wid", "iid", "item_id", "weight_w", "weight_i", "hamming")
               .agg(F.sum(F.least("c", "ci")).alias("common")))
     similar = common.withColumn("similarity", F.col("common") / (F.col("weight_w") + F.col("weight_i") - F.col("common")))
     similar = stage(similar.filter(F.col("similarity") >= threshold)

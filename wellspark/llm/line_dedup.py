@@ -131,7 +131,16 @@ def _identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 3,
                doc_id: str = "doc_id", text: str = "text", runs_root: str | None = None) -> DataFrame:
-    """All rows and columns of ``docs`` plus n_lines, n_dropped and kept_text."""
+    """All rows and columns of ``docs`` plus n_lines, n_dropped and kept_text (replacing columns of these names)."""
+    marked = _marked(docs, min_docs, min_chars, batches, fanout, doc_id, text, runs_root)
+    new = ["n_lines", "n_dropped", "kept_text"]
+    return marked.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new],
+                         *[F.col(f"__{c}").alias(c) for c in new])
+
+
+def _marked(docs: DataFrame, min_docs: int, min_chars: int, batches: int, fanout: int,
+            doc_id: str, text: str, runs_root: str | None) -> DataFrame:
+    """``docs`` plus __n_lines, __n_dropped and __kept_text."""
     spark = docs.sparkSession
     hashed = F.transform(line_keys(F.col("text")), lambda k: F.when(
         F.char_length(k) >= F.lit(max(min_chars, 1)),
@@ -163,17 +172,18 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches:
             F.get(F.col("__ends"), k + 1) - F.get(F.col("__ends"), k) - 1))))
     return (marked.withColumn("__ends", ends)
             .select(*[F.col(f"`{c}`") for c in docs.columns],
-                    F.size("__lines").cast("long").alias("n_lines"),
-                    F.size("__drop").cast("long").alias("n_dropped"),
-                    F.array_join(kept, "\n").alias("kept_text")))
+                    F.size("__lines").cast("long").alias("__n_lines"),
+                    F.size("__drop").cast("long").alias("__n_dropped"),
+                    F.array_join(kept, "\n").alias("__kept_text")))
 
 
-def drop_frequent_lines(docs: DataFrame, **options) -> DataFrame:
+def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4,
+                        fanout: int = 3) -> DataFrame:
     """``docs`` with the frequent lines gone from ``text`` (and ``n_chars`` following, where present)."""
-    out = line_dedup(docs.drop("n_lines", "n_dropped", "kept_text"), **options)
-    new = {"text": F.col("kept_text")}
+    new = {"text": F.col("__kept_text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.char_length("kept_text").cast("long")
+        new["n_chars"] = F.char_length("__kept_text").cast("long")
+    out = _marked(docs, min_docs, min_chars, batches, fanout, "doc_id", "text", None)
     return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
