@@ -6,7 +6,8 @@ from decimal import Decimal
 import pytest
 
 from wellspark import schemas
-from wellspark.operators import constraints as V
+from wellspark.functions import rules
+from wellspark.operators import constraints as V, quality as Q
 from wellspark.operators.config import Params, config_parameters, config_typed, load_params
 from wellspark.sources import sinks as S
 
@@ -28,15 +29,27 @@ def test_typed_values_and_bad_text(spark):
     t0 = datetime(2024, 1, 1)
     cfg = _cfg(spark, [("min_activities_year", " 12 ", "int", "count", None, t0, None),
                        ("company_address", "Somewhere", "text", None, None, t0, None),
-                       ("max_wellbeing_days", "many", "int", "days", None, t0, None),
                        ("unknown_flag", "true", "bool", None, None, t0, None)])
     p = load_params(config_typed(cfg, t0))
     assert p.min_activities_year == 12 and p.company_address == "Somewhere"
-    assert p.max_wellbeing_days == Params().max_wellbeing_days   # unparsable -> default kept
+    assert p.max_wellbeing_days == Params().max_wellbeing_days   # not in the table: the default
+    for text, kind in (("many", "int"), ("0,06", "float"), ("maybe", "bool")):
+        bad = _cfg(spark, [("prime_rate", text, kind, None, None, t0, None)])
+        with pytest.raises(ValueError, match="no value of its type"):
+            load_params(config_typed(bad, t0))
     rows = {r.param_name: r for r in config_typed(cfg, t0).collect()}
     assert rows["unknown_flag"].value_bool is True
 
 
+def test_trace_texts_follow_the_parameters():
+    assert rules.rule_prime_text("0.05") == rules.RULE_PRIME_TEXT
+    assert rules.rule_wellness_text(15, 5) == rules.RULE_WELLNESS_TEXT
+    assert "7.5% salaire" in rules.rule_prime_text("0.075") and "10% salaire" in rules.rule_prime_text("0.10")
+    assert ">=12 activités" in rules.rule_wellness_text(12, 6) and "6 jours" in rules.rule_wellness_text(12, 6)
+    suffix = Q.rule_detail_suffix(Params(max_distance_walk_run_km=10))
+    assert suffix == " (walk/run<=10km; bike/scooter/other<=25km)"
+
+
 def test_two_valid_versions_are_an_error(spark):
     t0 = datetime(2024, 1, 1)
     cfg = _cfg(spark, [("prime_rate", "0.05", "float", None, None, t0, None),

@@ -39,7 +39,7 @@ def test_commute_counts(tables_mid):
     checks, emp = fx.commute_checks(tables_mid), fx.employees(tables_mid)
     assert K.commute_anomalies(checks, emp).count() == 7231
     assert checks.where("distance_km IS NULL").count() == 883
-    assert K.commute_validation(K.assess_commute(checks, emp)).count() == 1500
+    assert K.commute_validation(K.assess_commute(checks, emp), emp).count() == 1500
 
 
 def test_clean_counts(spark):
@@ -51,8 +51,8 @@ def test_clean_counts(spark):
     assert emp.where("paid_leave_days = 26").count() == 202
     assert emp.where("paid_leave_days IS NULL").count() == 202
     sport = fx.sport_raw(__import__("wellspark.sources.tables", fromlist=["Tables"]).Tables(spark, SF_MID))
-    assert sport.count() == 1250
-    assert sport.where("sport_practice_raw IS NOT NULL").count() == 1000
+    assert sport.count() == 1500
+    assert sport.where("sport_practice_raw IS NOT NULL").count() == 1125
     assert sport.where("employee_id_raw = 'inconnu'").count() == 30
 
 

@@ -1,5 +1,6 @@
 """Quality gate SKIP/blocking behaviour and the safety of the sinks."""
 
+import os
 import tempfile
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from wellspark import schemas
 from wellspark.operators import constraints as V, quality as Q
 from wellspark.sources import fixtures as fx, sinks as S
+from wellspark.sources.ingest import optional_source
 
 
 def _report(df):
@@ -43,10 +45,60 @@ def test_gate_blocks_and_passes(spark, tables_small):
     assert Q.enforce_gate(good)
 
 
-def test_gate_single_pass_per_table(spark, tables_small):
-    """All employee checks come from one scan and one shuffle."""
+def test_gate_one_key_shuffle_per_table(spark, tables_small):
+    """Whatever the number of checks: one scan for the counters, one for the keys, and one shuffle, of keys."""
     plan = Q.employee_section(fx.employees(tables_small))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 1
+    assert plan.count("FileScan") <= 4  # customer and nation, each for the counters and for the keys
+
+
+@pytest.mark.parametrize("emp", ["full", "empty"])
+@pytest.mark.parametrize("act", ["full", "empty", "missing"])
+@pytest.mark.parametrize("chk", ["full", "empty", "missing"])
+def test_gate_on_every_mix_of_empty_and_missing(spark, tables_small, emp, act, chk):
+    pick = lambda df, how: None if how == "missing" else df.limit(0) if how == "empty" else df
+    t = tables_small
+    report = Q.quality_report(pick(fx.employees(t), emp), pick(fx.activities(t), act), pick(fx.commute_checks(t), chk))
+    rep = _report(report)
+    assert rep["clean.employees row_count > 0"] == (emp == "full", f"row_count={150 if emp == 'full' else 0}")
+    assert sum(n.startswith("clean.employees") for n in rep) == 7
+    assert (Q.ACT_SKIP in rep) == (act != "full") and (Q.CHK_SKIP in rep) == (chk != "full") == (Q.RULE_SKIP in rep)
+    if emp == "empty":
+        assert Q.quality_gate(report).first().gate_ok is False
+
+
+def test_empty_tables_pass_through_the_sinks(spark, tables_small):
+    root = tempfile.mkdtemp(prefix="ws-sink-")
+    acts = fx.activities(tables_small).withColumn("activity_year", F.year("start_ts"))
+    out = S.full_refresh(acts.limit(0), root + "/t", partition_by=["activity_year"])
+    assert out.count() == 0 and set(out.columns) == set(acts.columns)
+    again = optional_source(spark, root + "/t")
+    assert again.count() == 0 and again.schema["start_ts"].dataType == acts.schema["start_ts"].dataType
+    assert S.full_refresh(acts, root + "/t", partition_by=["activity_year"]).count() == 1000
+    assert optional_source(spark, root + "/none") is None
+    with pytest.raises(Exception):
+        S.full_refresh(acts.withColumn("boom", F.raise_error(F.lit("x"))), root + "/t")
+    assert S.read_table(spark, root + "/t").count() == 1000 and os.listdir(root) == ["t"]
+
+
+def test_crash_between_the_renames_is_repaired(spark):
+    root = tempfile.mkdtemp(prefix="ws-sink-")
+    S.full_refresh(spark.range(4), root + "/t")
+    os.rename(root + "/t", root + "/t.__previous-abc")  # the job died here
+    assert optional_source(spark, root + "/t").count() == 4
+    assert os.listdir(root) == ["t"]
+
+
+def test_bucketed_write_makes_few_files(spark, tables_small):
+    root = tempfile.mkdtemp(prefix="ws-sink-")
+    spark.sql("CREATE DATABASE IF NOT EXISTS ws_files")
+    acts = fx.activities(tables_small).repartition(7).withColumn("activity_year", F.year("start_ts"))
+    out = S.full_refresh(acts, root + "/t", partition_by=["activity_year"], table="ws_files.acts",
+                         bucket_by="employee_id", num_buckets=4)
+    years = acts.select("activity_year").distinct().count()
+    files = [f for _, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")]
+    assert out.count() == 1000 and len(files) <= 4 * years
+    spark.sql("DROP DATABASE ws_files CASCADE")
 
 
 def test_full_refresh_validates_before_writing(spark, tables_small):
@@ -94,7 +146,6 @@ def test_observed_write_counts_rows_in_the_write(spark, tables_small):
 
 
 def test_rebuild_rejected_keeps_target_and_leaves_no_staging(spark):
-    import os
     root = tempfile.mkdtemp(prefix="ws-sink-")
     path = root + "/t"
     spark.range(5).write.parquet(path)

@@ -6,6 +6,7 @@ from datetime import datetime
 from tests.conftest import SF_SMALL
 from wellspark.plans import jobs
 from wellspark.plans.catalog import QUERIES
+from wellspark.plans.runlog import read_task_log, utc_run_id
 from wellspark.sources import fixtures as fx
 
 
@@ -17,7 +18,7 @@ def test_run_all_end_to_end(spark, tables_small):
     wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
     t = tables_small
     res = jobs.run_all(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), fx.commute_checks(t),
-                       fx.LOAD_TS, fx.AS_OF_YEAR)
+                       fx.LOAD_TS, fx.AS_OF_YEAR, enforce_gate=False)
     assert res["gate_ok"] is False  # fixture salaries of 0 and blank modes fail the gate
     emp = spark.read.parquet(wh.path("clean", "employees"))
     assert _rows(emp) == _rows(QUERIES["clean_employees"](spark, SF_SMALL))
@@ -53,12 +54,19 @@ def test_second_load_and_cascade(spark, tables_small):
 def test_reports_run_log_and_fail_pass(spark, tables_small):
     wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
     t = tables_small
-    jobs.run_all(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), None, fx.LOAD_TS, fx.AS_OF_YEAR)
+    jobs.run_all(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), None, fx.LOAD_TS, fx.AS_OF_YEAR,
+                 enforce_gate=False)
     for name in ("report_wellness_days", "report_practices", "report_activity_volume", "report_flow_breaks",
                  "kpi_pipeline_daily", "report_benefit_cost"):
         assert spark.read.parquet(wh.path("analytics", name)).count() > 0, name
-    log = {r.task_id: (r.rows_in, r.rows_out) for r in spark.read.parquet(wh.path("meta", "pipeline_task_run")).collect()}
+    rows = read_task_log(spark, wh.path("meta", "pipeline_task_run")).collect()
+    log = {r.task_id: (r.rows_in, r.rows_out) for r in rows}
     assert log["ingest_hr"] == (150, 150) and log["build_clean_employees"] == (150, 141)
+    status = {r.task_id: r.status for r in rows}
+    assert status.pop("load_commute_checks") == "skipped" and set(status.values()) == {"success"}
+    assert all(r.started_ts <= r.ended_ts for r in rows)
+    kpi = spark.read.parquet(wh.path("analytics", "kpi_pipeline_daily"))
+    assert {r.status for r in kpi.select("status").distinct().collect()} == {"failed"}  # the gate's verdict
     res = jobs.commute_fail_pass(spark, wh, fx.LOAD_TS)
     assert res["rule_ok_after_seed"] is False and res["rule_ok_after_repair"] is True
     # two of the first 15 employees have no address (id % 13 == 0), and some no mode
@@ -88,11 +96,12 @@ def test_bucketed_catalog_tables_join_without_shuffle(spark, tables_small):
         flat_rows = sorted(map(tuple, flat.collect()))
         assert "Exchange" in flat._jdf.queryExecution().executedPlan().toString()
     assert rows == flat_rows
+    n_acts = acts.count()
     # a rebuild swaps catalog entries: still bucketed, still one table, old files gone
     jobs.load_activities(spark, wh, fx.activities(t))
     assert spark.catalog.tableExists("ws_bucketed.clean_activities")
     assert [tb.name for tb in spark.catalog.listTables("ws_bucketed") if "__next_" in tb.name] == []
-    assert wh.read(spark, "clean", "activities").count() == 1000
+    assert wh.read(spark, "clean", "activities").count() == n_acts > 0
     spark.sql("DROP DATABASE ws_bucketed CASCADE")
 
 
@@ -102,7 +111,7 @@ def test_ingest_rerun_is_idempotent(spark, tables_small):
     for _ in range(2):
         jobs.ingest_snapshots(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.LOAD_TS)
     assert spark.read.parquet(wh.path("raw", "rh_employees_snapshot")).count() == 150
-    assert spark.read.parquet(wh.path("raw", "sport_profile_snapshot")).count() == 125
+    assert spark.read.parquet(wh.path("raw", "sport_profile_snapshot")).count() == 150
     emp = jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
     assert emp.count() == 141
 
@@ -133,7 +142,7 @@ def test_cli_on_real_exports(spark, tables_small, capsys):
          .option("ignoreTrailingWhiteSpace", False).csv(f"{d}/{name}"))
     fx.activities(t).write.parquet(f"{d}/feed")
     jobs.main(["--hr-csv", f"{d}/hr.csv", "--sport-csv", f"{d}/sport.csv", "--activities", f"{d}/feed",
-               "--load-ts", "2024-02-01T00:00:00", "--as-of-year", "2024", "--warehouse", f"{d}/wh"])
+               "--load-ts", "2024-02-01T00:00:00", "--as-of-year", "2024", "--no-enforce-gate", "--warehouse", f"{d}/wh"])
     out = capsys.readouterr().out
     assert "'benefit_rows': 141" in out
     emp = spark.read.parquet(f"{d}/wh/clean/employees")
@@ -141,3 +150,86 @@ def test_cli_on_real_exports(spark, tables_small, capsys):
     norm = lambda df: [tuple(None if v == "" else v for v in r) for r in df.collect()]
     key = lambda r: tuple((v is None, str(v)) for v in r)
     assert sorted(norm(emp), key=key) == sorted(norm(QUERIES["clean_employees"](spark, SF_SMALL)), key=key)
+
+
+def test_gate_blocks_by_default_and_the_run_log_tells(spark, tables_small):
+    import pytest
+    from wellspark.operators.quality import QualityGateError
+    wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
+    t = tables_small
+    args = (spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), fx.commute_checks(t), fx.LOAD_TS, fx.AS_OF_YEAR)
+    for _ in range(2):  # a re-run replaces its rows
+        with pytest.raises(QualityGateError):
+            jobs.run_all(*args)
+    assert wh.read(spark, "analytics", "employee_benefits") is None
+    rows = {r.task_id: r for r in read_task_log(spark, wh.path("meta", "pipeline_task_run")).collect()}
+    assert rows["quality_gate"].status == "failed" and "quality gate failed" in rows["quality_gate"].error_message
+    assert rows["build_benefits"].status == "skipped" and rows["load_activities"].status == "success"
+    run = spark.read.parquet(wh.path("meta", "pipeline_run")).collect()
+    assert [(r.run_id, r.status) for r in run] == [(utc_run_id(fx.LOAD_TS), "failed")]
+
+
+def test_reload_with_a_null_swapped_row_keeps_both(spark, tables_small):
+    wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
+    hr, sport = fx.hr_sheet(tables_small).limit(0), fx.sport_sheet(tables_small).limit(0)
+    blank = [None] * (len(hr.columns) - 3)
+    texts = ", ".join(f"`{c}` string" for c in hr.columns)
+    one = spark.createDataFrame([("5", "Dupont", None, *blank)], texts)
+    two = one.unionByName(spark.createDataFrame([("5", None, "Dupont", *blank)], texts))
+    for sheet in (one, two, two):
+        jobs.ingest_snapshots(spark, wh, sheet, sport, fx.LOAD_TS)
+    raw = wh.read(spark, "raw", "rh_employees_snapshot")
+    assert raw.count() == 2 and raw.select("snapshot_id").distinct().count() == 2
+
+
+def test_bad_activities_are_quarantined_with_their_reasons(spark, tables_small):
+    wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
+    t = tables_small
+    jobs.ingest_snapshots(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.LOAD_TS)
+    emp = jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
+    feed = fx.dirty_activities(t)
+    acts = jobs.load_activities(spark, wh, jobs.land_activities(spark, wh, feed, fx.LOAD_TS).drop("generated_ts"))
+    bad = spark.read.parquet(wh.path("quarantine", "activities"))
+    known = emp.select("employee_id")
+    assert acts.join(known, "employee_id", "left_anti").count() == 0
+    assert acts.where("elapsed_s < 0 OR distance_m < 0 OR start_ts IS NULL OR end_ts IS NULL").count() == 0
+    reasons = {r[0] for r in bad.selectExpr("explode(reject_reasons)").distinct().collect()}
+    assert {"unknown_employee_id", "null_activity_id", "null_start_ts", "elapsed_s_non_negative"} <= reasons
+    good = feed.count() - bad.count()
+    assert acts.count() == acts.select("activity_id").distinct().count() <= good
+    assert spark.read.parquet(wh.path("raw", "activities_feed")).count() == feed.count()
+    assert spark.read.parquet(wh.path("quarantine", "employees")).count() == 9
+
+
+def test_truncate_cascade_empty_feed_and_lasting_parameters(spark, tables_small):
+    from wellspark.sources import sinks as S
+    wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
+    t = tables_small
+    jobs.ingest_snapshots(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.LOAD_TS)
+    jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
+    assert jobs.load_activities(spark, wh, fx.activities(t).limit(0)).count() == 0
+    assert jobs.load_activities(spark, wh, fx.activities(t)).count() > 0
+    jobs.build_clean_employees(spark, wh, fx.LOAD_TS, cascade="truncate")
+    assert wh.read(spark, "clean", "activities").count() == 0
+    t0 = datetime(2024, 1, 1)
+    jobs.seed_parameters(spark, wh, t0)
+    cfg = wh.read(spark, "meta", "config_parameters")
+    from pyspark.sql import functions as F
+    edited = cfg.withColumn("param_value_text", F.when(F.col("param_name") == "prime_rate", "0.10")
+                            .otherwise(F.col("param_value_text")))
+    S.full_refresh(edited, wh.path("meta", "config_parameters"))
+    jobs.seed_parameters(spark, wh, t0)  # the next run seeds nothing
+    assert str(jobs.current_params(spark, wh, fx.LOAD_TS).prime_rate) == "0.1"
+
+
+def test_oversized_salary_goes_to_quarantine(spark, tables_small):
+    from pyspark.sql import functions as F
+    wh = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
+    t = tables_small
+    hr = fx.hr_sheet(t).withColumn("Salaire brut", F.when(F.col("ID salarié") == "7", F.lit("99999999999"))
+                                   .otherwise(F.col("Salaire brut")))
+    jobs.ingest_snapshots(spark, wh, hr, fx.sport_sheet(t), fx.LOAD_TS)
+    emp = jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
+    assert emp.count() == 140 and emp.where("employee_id = 7").count() == 0
+    bad = spark.read.parquet(wh.path("quarantine", "employees")).where("reject_reason = 'salary_out_of_range'")
+    assert [r.employee_id_raw for r in bad.collect()] == ["7"]

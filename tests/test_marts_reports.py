@@ -30,12 +30,21 @@ def test_kpi_null_when_source_absent_that_day(spark):
     sp = spark.createDataFrame([(datetime(2024, 1, 2),)], "ingested_ts timestamp_ntz")
     acts = _acts(spark, [(1, datetime(2024, 1, 2, 8), "running", 1, 1)])
     anomalies = spark.createDataFrame([], "computed_ts timestamp_ntz")
-    out = {r.kpi_date: r for r in M.kpi_pipeline_daily(hr, sp, acts, anomalies, "d").collect()}
+    out = {r.kpi_date: r for r in M.kpi_pipeline_daily(hr, sp, acts, anomalies, "d", True).collect()}
     assert out[date(2024, 1, 1)].rows_rh_ingested == 3 and out[date(2024, 1, 1)].rows_sport_ingested is None
     assert out[date(2024, 1, 2)].rows_rh_ingested is None and out[date(2024, 1, 2)].rows_activities_generated == 1
     assert all(r.status == "success" and r.anomalies_count is None for r in out.values())
 
 
+def test_kpi_status_is_the_gate(spark):
+    hr = spark.createDataFrame([(datetime(2024, 1, 1),)], "ingested_ts timestamp_ntz")
+    none = spark.createDataFrame([], "computed_ts timestamp_ntz")
+    for ok, want in ((True, "success"), (False, "failed"), (None, "failed")):
+        gate = spark.createDataFrame([(ok,)], "gate_ok boolean")
+        got = M.kpi_pipeline_daily(hr, hr.limit(0), _acts(spark, []), none, "d", gate).collect()
+        assert [r.status for r in got] == [want]
+
+
 def test_wellness_facts_per_year_and_known_employees(spark):
     emp = spark.createDataFrame([(1,), (2,)], "employee_id bigint")
     rows = [(1, datetime(2023, 5, 1), "running", 1000, 700)] * 15 + \

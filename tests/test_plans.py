@@ -38,15 +38,26 @@ def test_top5_is_take_ordered(spark, tables_small):
     assert "TakeOrderedAndProject" in _plan(top)
 
 
-def test_latest_and_dedup_are_aggregates_not_windows(spark, tables_small):
-    k6 = K.commute_validation(K.assess_commute(fx.commute_checks(tables_small), fx.employees(tables_small)))
+def test_latest_and_dedup_limit_each_key_before_the_shuffle(spark, tables_small):
+    emp = fx.employees(tables_small)
+    k6 = K.commute_validation(K.assess_commute(fx.commute_checks(tables_small), emp), emp)
     c6 = C.clean_activities(fx.dirty_activities(tables_small))
-    for df, fn in ((k6, "max"), (c6, "min")):
+    for df in (k6, c6):
         p = _plan(df)
-        # a map-side partial aggregate runs before the shuffle (hot keys shrink per task);
-        # struct buffers make it a SortAggregate rather than a HashAggregate
-        assert f"partial_{fn}(struct(" in p
-        assert "Window [" not in p
+        assert "SortAggregate" not in p
+        final, partial = p.index(", Final"), p.index(", Partial")  # top down: the partial limit is below
+        assert final < partial and "Exchange hashpartitioning" in p[final:partial]
+
+
+def test_survey_join_is_one_left_join(spark, tables_small):
+    path = tempfile.mkdtemp(prefix="ws-plan-")
+    fx.hr_raw(tables_small).write.parquet(path + "/hr")
+    fx.sport_raw(tables_small).write.parquet(path + "/sp")
+    with_conf = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    from tests.test_skew import conf
+    with conf(spark, **with_conf):
+        p = _plan(C.join_sport_profile(spark.read.parquet(path + "/hr"), spark.read.parquet(path + "/sp")))
+    assert p.count("Exchange") == 2 and p.count("SortMergeJoin") == 1 and p.count("FileScan") == 2
 
 
 def test_benefits_read_one_year_partition(spark, tables_small):

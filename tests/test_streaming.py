@@ -63,6 +63,24 @@ def test_restart_from_checkpoint_processes_only_new_files(spark, tables_small):
     assert out.count() == 1000 and out.select("activity_id").distinct().count() == 1000
 
 
+def test_an_id_is_written_once_whatever_its_year_and_retries(spark):
+    import datetime as dt
+    from wellspark import schemas
+    target = tempfile.mkdtemp(prefix="ws-clean-") + "/activities"
+    row = lambda i, y: (i, 1, dt.datetime(y, 1, 1), dt.datetime(y, 1, 1, 1), "running", 1, 1, None)
+    frame = lambda *rows: spark.createDataFrame(list(rows), schemas.ACTIVITIES)
+    ids = lambda: sorted((r.activity_id, r.activity_year) for r in spark.read.parquet(target).collect())
+    SF._append_new(frame(), 0, target)  # an empty first batch
+    SF._append_new(frame(row(7, 2023), row(8, 2023)), 1, target)
+    SF._append_new(frame(row(7, 2024), row(9, 2024)), 2, target)
+    assert ids() == [(7, 2023), (8, 2023), (9, 2024)]
+    SF._append_new(frame(row(7, 2024), row(9, 2024)), 2, target)  # the batch is retried
+    assert ids() == [(7, 2023), (8, 2023), (9, 2024)]
+    SF.compact_ids(spark, target)
+    SF._append_new(frame(row(8, 2025), row(10, 2025)), 3, target)
+    assert ids() == [(7, 2023), (8, 2023), (9, 2024), (10, 2025)]
+
+
 def test_daily_volume_table_sink(spark, tables_small):
     feed = fx.activities(tables_small)
     src = tempfile.mkdtemp(prefix="ws-feed-")

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 # fraction or a bare fraction, optional exponent).
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 WIDE_DECIMAL = "decimal(38,10)"
+# The accepted date syntax: an ISO day, optionally with a time of day.
+DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?)?$"
 
 
 def to_number(text: Column) -> Column:
@@ -30,11 +32,14 @@ def to_bigint_id(text: Column) -> Column:
 
 
 def to_money(text: Column, default: int | None = 0) -> Column:
-    """Salary text -> decimal(12,2); missing/invalid -> ``default`` (0 by the reference rule)."""
+    """Salary text -> decimal(12,2); missing/invalid -> ``default`` (0 by the reference rule).
+
+    A number too large for the column becomes NULL; the job quarantines its row.
+    """
     num = to_number(text)
     if default is not None:
         num = F.coalesce(num, F.lit(default).cast(WIDE_DECIMAL))
-    return num.cast("decimal(12,2)")
+    return num.try_cast("decimal(12,2)")
 
 
 def to_int_rounded(text: Column) -> Column:
@@ -44,5 +49,9 @@ def to_int_rounded(text: Column) -> Column:
 
 
 def to_date_lenient(text: Column) -> Column:
-    """'yyyy-mm-dd[ hh:mm:ss]' -> DATE, anything else (e.g. '31/12/1990', 'n/a') -> NULL."""
-    return F.trim(text.cast("string")).try_cast("date")
+    """'yyyy-mm-dd[ hh:mm:ss]' -> DATE, anything else (e.g. '31/12/1990', '1990-05-12 x') -> NULL.
+
+    The pattern comes first: a cast alone ignores whatever follows the day.
+    """
+    t = F.trim(text.cast("string"))
+    return F.when(t.rlike(DATE_PATTERN), t.try_cast("date"))

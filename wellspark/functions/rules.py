@@ -7,6 +7,7 @@ reproduced, word for word (including accents), for results to match.
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -33,6 +34,18 @@ COMPANY_ADDRESS = "1362 Av. des Platanes, 34970 Lattes"
 # Trace texts written next to every benefit row.
 RULE_PRIME_TEXT = "R1+R2+R3: commute_mode sportif => 5% salaire brut annuel, actif requis"
 RULE_WELLNESS_TEXT = "R4+R5+R6+R7: >=15 activités sportives valides/an => 5 jours, actif requis"
+
+
+def rule_prime_text(rate) -> str:
+    """The bonus trace with the rate that was applied."""
+    return RULE_PRIME_TEXT.replace("5%", f"{(Decimal(rate) * 100).normalize():f}%")
+
+
+def rule_wellness_text(minimum: int, days: int) -> str:
+    """The wellness trace with the minimum and the days that were applied."""
+    return RULE_WELLNESS_TEXT.replace(">=15", f">={minimum}").replace("5 jours", f"{days} jours")
+
+
 # Commute-check verdict texts.
 COMMUTE_RULE_NAME = "MAX_COMMUTE_DISTANCE_BY_MODE"
 COMMUTE_ANOMALY_REASON = "Distance incohérente par rapport au mode de transport"

@@ -108,13 +108,6 @@ def with_eligibility_status(df: DataFrame) -> DataFrame:
     return df.withColumn("eligibility_status", status)
 
 
-BENEFIT_COLUMNS = (
-    "employee_id", "eligibility_status", "eligible_commute", "eligible_wellness",
-    "sport_prime_eur", "wellness_days", "commute_mode", "sport_profile", "gross_salary",
-    "nb_activities_year", "nb_sport_activities_year", "rule_prime", "rule_wellness", "computed_ts",
-)
-
-
 def rules_applied(employees: DataFrame, activities: DataFrame, as_of_year: int,
                   params: Params = DEFAULT_PARAMS, extra_cols=()) -> DataFrame:
     """B2-B7 chained (the CTE chain before projection); ``extra_cols`` ride along from employees."""
@@ -136,7 +129,7 @@ def employee_benefits(employees: DataFrame, activities: DataFrame, as_of_year: i
         "sport_prime_eur", "wellness_days", "commute_mode", "sport_profile",
         F.col("gross_salary").cast("decimal(12,2)").alias("gross_salary"),
         "nb_activities_year", "nb_sport_activities_year",
-        F.lit(rules.RULE_PRIME_TEXT).alias("rule_prime"),
-        F.lit(rules.RULE_WELLNESS_TEXT).alias("rule_wellness"),
+        F.lit(rules.rule_prime_text(params.prime_rate)).alias("rule_prime"),
+        F.lit(rules.rule_wellness_text(params.min_activities_year, params.max_wellbeing_days)).alias("rule_wellness"),
         ts_literal(computed_ts).alias("computed_ts"),
     )

@@ -1,24 +1,22 @@
 """Clean zone (C1-C9): typing, key repair, the sport-survey join and dedup.
 
 Everything is a projection or filter over the raw snapshot except two steps:
-the HR x survey join on the coerced id (C3), and activity dedup (C6), which is a
-grouped ``min(struct(...))`` so a hot key never lands whole in one task.
+the HR x survey join on the coerced id (C3), and activity dedup (C6), a
+``row_number() = 1`` whose per-task limit runs before the shuffle, so a hot key
+sends one row per task.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import coerce, rules
 from ..functions.keys import MAX_BIGINT_KEY, bounded_key
 from ..functions.rules import ts_literal
 
-EMPLOYEE_COLUMNS = ("employee_id", "last_name", "first_name", "birth_date", "bu", "hire_date",
-                    "gross_salary", "contract_type", "paid_leave_days", "home_address",
-                    "commute_mode", "sport_profile", "is_active", "updated_ts")
 ACTIVITY_COLUMNS = ("activity_id", "employee_id", "start_ts", "end_ts", "sport_type",
                     "distance_m", "elapsed_s", "comment_text")
 
@@ -45,18 +43,20 @@ def join_sport_profile(hr: DataFrame, sport: DataFrame) -> DataFrame:
     Many-to-many on purpose: a duplicated survey id duplicates the HR row, which
     the primary-key validator then reports (it is not silently de-duplicated).
 
-    Written as inner join + unmatched rows (left-anti against the distinct
-    survey ids) instead of one LEFT OUTER join: adaptive execution can split a
-    skewed partition on either side of an inner join, but only the left side of
-    an outer join, so a survey id holding a large share of the rows would
-    otherwise be joined by a single task.
+    One left join: two scans, two shuffles. A hot HR id is split by adaptive
+    execution (left side of a left join); a survey id that repeats often would not
+    be, but the job rejects a survey with duplicate ids before it joins
+    (``duplicate_survey_ids``).
     """
     h = coerce_employee_id(hr)
     sp = coerce_employee_id(sport).select("employee_id", "sport_practice_raw")
-    matched = h.join(sp, "employee_id", "inner")
-    unmatched = (h.join(sp.select("employee_id").distinct(), "employee_id", "left_anti")
-                 .withColumn("sport_practice_raw", F.lit(None).cast("string")))
-    return matched.unionByName(unmatched)
+    return h.join(sp, "employee_id", "left")
+
+
+def duplicate_survey_ids(sport: DataFrame) -> DataFrame:
+    """Survey ids answered more than once, with their number of answers (partial counts before the shuffle)."""
+    return (coerce_employee_id(sport).groupBy("employee_id").agg(F.count(F.lit(1)).alias("n_rows"))
+            .where("n_rows > 1"))
 
 
 def clean_employees(hr_latest: DataFrame, sport_latest: DataFrame, load_ts: datetime) -> DataFrame:
@@ -90,13 +90,13 @@ def clean_activities(activities: DataFrame) -> DataFrame:
     (start_ts, employee_id, end_ts, sport_type, distance_m, elapsed_s, comment_text),
     NULLs first -- a deterministic "keep first".
 
-    ``min(struct)`` is an ordinary aggregate: partial results are computed
-    before the shuffle, so a heavily repeated id costs one row per task.
+    ``row_number() = 1`` plans with a group limit of one row on both sides of the
+    shuffle: a heavily repeated id costs one row per task.
     """
     order = ("start_ts", "employee_id", "end_ts", "sport_type", "distance_m", "elapsed_s", "comment_text")
-    first = F.min(F.struct(*[F.col(c) for c in order])).alias("_first")
-    return activities.groupBy("activity_id").agg(first).select(
-        "activity_id", *[F.col(f"_first.{c}").alias(c) for c in ACTIVITY_COLUMNS if c != "activity_id"])
+    first = Window.partitionBy("activity_id").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return (activities.select(*ACTIVITY_COLUMNS).withColumn("_rn", F.row_number().over(first))
+            .where("_rn = 1").drop("_rn"))
 
 
 ACTIVITY_NATURAL_KEY = ("employee_id", "start_ts", "end_ts", "sport_type", "distance_m", "elapsed_s")
@@ -112,6 +112,7 @@ def activity_id_report(activities: DataFrame) -> DataFrame:
     return activities.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("activity_id").alias("n_distinct_ids"),
+        F.count_distinct(F.struct(*ACTIVITY_NATURAL_KEY)).alias("n_natural_keys"),
         F.bool_and((F.col("activity_id") >= 0) & (F.col("activity_id") < F.lit(MAX_BIGINT_KEY)))
          .alias("all_in_range"),
     )

@@ -9,8 +9,8 @@ which reaches the parquet scan as a pushed filter; the employee side is
 projected to two columns. The join runs on ``employee_id``; adaptive execution
 turns it into a broadcast when the employee side is small at run time and
 splits a hot employee's partition when it is not. "Latest check per employee"
-is a ``max(struct)`` aggregate rather than a window, so a hot employee is
-reduced map-side instead of landing whole in one task.
+is a ``row_number() = 1``, whose group limit keeps one row per employee and task
+before the shuffle, so a hot employee never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -133,10 +133,16 @@ VALIDATION_PAYLOAD = ("distance_km", "commute_mode", "is_within_rule", "rule_nam
                       "anomaly_reason", "api_provider", "api_status")
 
 
-def commute_validation(assessed: DataFrame) -> DataFrame:
-    """K6: one row per employee -- the latest check (by time, then check id) and its verdict."""
-    latest = F.max(F.struct(F.col("computed_ts"), F.col("check_id"),
-                            *[F.col(c) for c in VALIDATION_PAYLOAD])).alias("latest")
-    agg = assessed.where(F.col("employee_id").isNotNull()).groupBy("employee_id").agg(latest)
-    return agg.select("employee_id", F.col("latest.computed_ts").alias("last_computed_ts"),
-                      *[F.col(f"latest.{c}").alias(c) for c in VALIDATION_PAYLOAD])
+def commute_validation(assessed: DataFrame, employees: DataFrame) -> DataFrame:
+    """K6: one row per known employee -- the latest check (by time, then check id) and its verdict.
+
+    Checks of unknown employees have no row here (the table's foreign key); the
+    semi-join runs after the latest check of each employee is found, on one row each.
+    """
+    recent = Window.partitionBy("employee_id").orderBy(F.col("computed_ts").desc_nulls_last(),
+                                                       F.col("check_id").desc_nulls_last())
+    latest = (assessed.where(F.col("employee_id").isNotNull())
+              .withColumn("_rn", F.row_number().over(recent)).where("_rn = 1"))
+    known = employees.select("employee_id").where("employee_id IS NOT NULL")
+    return (latest.join(known, "employee_id", "left_semi")
+            .select("employee_id", F.col("computed_ts").alias("last_computed_ts"), *VALIDATION_PAYLOAD))

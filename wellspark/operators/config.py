@@ -66,11 +66,15 @@ class Params:
 def load_params(typed: DataFrame) -> Params:
     """Read the typed parameter rows (at most one per known name) into ``Params``."""
     known = [f for f in Params.__dataclass_fields__]
-    rows = typed.where(F.col("param_name").isin(*known)).limit(len(known) * 2).collect()
+    mine = typed.where(F.col("param_name").isin(*known))
+    # At most one name per field of Params, whatever the size of the table.
+    repeated = mine.groupBy("param_name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").collect()
+    if repeated:
+        raise ValueError(f"more than one valid version of {sorted(r.param_name for r in repeated)}")
     values: dict = {}
-    for r in rows:
-        if r.param_name in values:
-            raise ValueError(f"parameter {r.param_name} has more than one valid version")
+    for r in mine.collect():
+        if all(v is None for v in (r.value_int, r.value_decimal, r.value_bool, r.value_text)):
+            raise ValueError(f"parameter {r.param_name} has no value of its type ({r.param_type})")
         if r.value_int is not None:
             values[r.param_name] = int(r.value_int)
         elif r.value_decimal is not None:

@@ -52,6 +52,22 @@ def check_violations(df: DataFrame, checks: dict[str, str], keys: tuple[str, ...
             .select(*keys, F.explode("_violated").alias("constraint_name")))
 
 
+def reject_reasons(df: DataFrame, not_null: tuple[str, ...], checks: dict[str, str], parent: DataFrame | None = None,
+                   column: str | None = None) -> DataFrame:
+    """All rows of ``df`` plus ``reject_reasons``: an array, empty for a row that breaks no constraint.
+
+    V2-V4 for a quarantine: one pass, and one join with the parent's distinct keys.
+    """
+    found = [F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in not_null]
+    found += [F.when(~F.coalesce(F.expr(cond), F.lit(True)), F.lit(name)) for name, cond in checks.items()]
+    if parent is not None:
+        keys = parent.select(F.col(column).alias("_parent_key")).where(F.col("_parent_key").isNotNull()).distinct()
+        df = df.join(keys, df[column] == keys["_parent_key"], "left")
+        found.append(F.when(F.col(column).isNotNull() & F.col("_parent_key").isNull(), F.lit(f"unknown_{column}")))
+    reasons = F.filter(F.array(*found), lambda x: x.isNotNull())
+    return df.withColumn("reject_reasons", reasons).drop("_parent_key")
+
+
 def not_null_violations(df: DataFrame, columns: tuple[str, ...] | list[str], table_name: str) -> DataFrame:
     """V4: NULL count per declared NOT NULL column, one global aggregate for all columns."""
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -92,13 +92,15 @@ def fact_declaration_anomalies(checks: DataFrame, employees: DataFrame,
 
 
 def kpi_pipeline_daily(hr_raw: DataFrame, sport_raw: DataFrame, activities: DataFrame,
-                       anomalies: DataFrame, dag_id: str) -> DataFrame:
-    """M6: per day, rows loaded per source and anomalies found.
+                       anomalies: DataFrame, dag_id: str, gate: DataFrame | bool) -> DataFrame:
+    """M6: per day, rows loaded per source, anomalies found and the run's status.
+
+    The status is the quality gate's (Q21): ``gate`` is its outcome, or the one-row
+    frame of ``quality_gate``, read as a scalar subquery. A gate without a verdict failed.
 
     A source without rows on a day has NULL for that day (full-outer-join
     semantics). All sources are tagged and unioned, then grouped once: one
-    shuffle of (day, tag) partial counts. Status (our rule): ``failed`` on a
-    day with anomalies, else ``success``.
+    shuffle of (day, tag) partial counts.
     """
     tagged = [
         hr_raw.select(F.to_date("ingested_ts").alias("kpi_date"), F.lit(1).alias("_src")),
@@ -113,8 +115,8 @@ def kpi_pipeline_daily(hr_raw: DataFrame, sport_raw: DataFrame, activities: Data
         *[F.nullif(F.count_if(F.col("_src") == i + 1), F.lit(0)).alias(n) for i, n in enumerate(names)])
     return daily.select(
         "kpi_date", F.lit(dag_id).alias("dag_id"), *names,
-        F.when(F.coalesce(F.col("anomalies_count"), F.lit(0)) > 0, F.lit("failed"))
-         .otherwise(F.lit("success")).alias("status"))
+        F.when(F.lit(gate) if isinstance(gate, bool) else gate.select("gate_ok").scalar(), F.lit("success"))
+         .otherwise(F.lit("failed")).alias("status"))
 
 
 def run_log(run_id: int, dag_id: str, tasks: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:

@@ -128,13 +128,13 @@ def q_seed_commute_checks(spark, sf_dir):
 
 @query("repair_commute_checks")
 def q_repair_commute_checks(spark, sf_dir):
-    return K.repair_commute_checks(K.seed_commute_checks(fx.employees(_t(spark, sf_dir)), fx.LOAD_TS))
+    return K.repair_commute_checks(fx.commute_checks(_t(spark, sf_dir)))
 
 
 @query("commute_validation")
 def q_commute_validation(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return K.commute_validation(K.assess_commute(fx.commute_checks(t), fx.employees(t)))
+    return K.commute_validation(K.assess_commute(fx.commute_checks(t), fx.employees(t)), fx.employees(t))
 
 
 # ---------------------------------------------------------------------------
@@ -173,6 +173,24 @@ def q_quality_report_clean(spark, sf_dir):
     return Q.quality_report(fx.employees(t), fx.activities(t), fx.commute_checks(t))
 
 
+def _no_employees(spark, sf_dir):
+    """A load that went wrong: no employee arrived, the other tables are full."""
+    t = _t(spark, sf_dir)
+    e = fx.employees(t)
+    return Q.quality_report(e.where(F.col("employee_id").isNull() & F.col("employee_id").isNotNull()),
+                            fx.activities(t), fx.commute_checks(t))
+
+
+@query("quality_report_no_employees")
+def q_quality_report_no_employees(spark, sf_dir):
+    return _no_employees(spark, sf_dir)
+
+
+@query("quality_gate_no_employees")
+def q_quality_gate_no_employees(spark, sf_dir):
+    return Q.quality_gate(_no_employees(spark, sf_dir))
+
+
 @query("commute_fail_pass")
 def q_commute_fail_pass(spark, sf_dir):
     e = fx.employees(_t(spark, sf_dir))
@@ -262,6 +280,16 @@ def q_cascade_refresh(spark, sf_dir):
     return S.cascade_refresh(fx.dirty_activities(t), fx.employees(t), mode="prune")
 
 
+@query("cascade_truncate")
+def q_cascade_truncate(spark, sf_dir):
+    """The reference's cascade: the children are emptied, and the empty table is written and read back."""
+    t = _t(spark, sf_dir)
+    empty = S.cascade_refresh(fx.dirty_activities(t), fx.employees(t), mode="truncate")
+    path = scratch_path(spark, "activities")
+    return S.full_refresh(empty.withColumn("activity_year", F.year("start_ts")), path,
+                          partition_by=["activity_year"]).drop("activity_year")
+
+
 @query("rebuild_table")
 def q_rebuild_table(spark, sf_dir):
     t = _t(spark, sf_dir)
@@ -321,7 +349,7 @@ def q_clean_activities(spark, sf_dir):
 
 @query("bounded_activity_id")
 def q_bounded_activity_id(spark, sf_dir):
-    return C.activity_id_report(C.bounded_activity_id(fx.activities(_t(spark, sf_dir))))
+    return C.activity_id_report(C.bounded_activity_id(fx.dirty_activities(_t(spark, sf_dir))))
 
 
 @query("derive_activity_window")
@@ -372,7 +400,8 @@ KPI_DAG_ID = "wellspark_daily"
 def q_kpi_pipeline_daily(spark, sf_dir):
     t = _t(spark, sf_dir)
     anomalies = K.commute_anomalies(fx.commute_checks(t), fx.employees(t))
-    return M.kpi_pipeline_daily(fx.hr_raw(t), fx.sport_raw(t), fx.activities(t), anomalies, KPI_DAG_ID)
+    gate = Q.quality_gate(Q.quality_report(fx.employees(t), fx.activities(t), fx.commute_checks(t)))
+    return M.kpi_pipeline_daily(fx.hr_raw(t), fx.sport_raw(t), fx.activities(t), anomalies, KPI_DAG_ID, gate)
 
 
 @query("run_log")

@@ -67,6 +67,53 @@ EMPLOYEE_BENEFITS = _schema(
     ("rule_prime", S, False), ("rule_wellness", S, False), ("computed_ts", TS, False),
 )
 
+DIM_EMPLOYEE = _schema(
+    ("employee_id", L, False), ("last_name", S, True), ("first_name", S, True), ("bu", S, True),
+    ("hire_date", D, True), ("gross_salary", MONEY, True), ("contract_type", S, True),
+    ("sport_profile", S, True), ("commute_mode", S, True),
+)
+
+FACT_ACTIVITY = _schema(
+    ("activity_id", L, False), ("employee_id", L, False), ("activity_date", D, False), ("sport_type", S, False),
+    ("distance_m", I, True), ("elapsed_s", I, True), ("comment_text", S, True),
+)
+
+FACT_SPORT_BONUS = _schema(
+    ("employee_id", L, False), ("year", I, False), ("gross_salary", MONEY, False), ("prime_rate", RATE, False),
+    ("prime_amount", MONEY, False), ("is_eligible", B, False), ("eligibility_reason", S, True),
+    ("computed_ts", TS, False),
+)
+
+FACT_WELLNESS_DAYS = _schema(
+    ("employee_id", L, False), ("year", I, False), ("activities_count", I, False), ("min_required", I, False),
+    ("max_days", I, False), ("days_granted", I, False), ("is_eligible", B, False), ("computed_ts", TS, False),
+)
+
+FACT_DECLARATION_ANOMALIES = _schema(
+    ("anomaly_id", L, False), ("employee_id", L, False), ("computed_ts", TS, False), ("commute_mode", S, True),
+    ("distance_km", KM, True), ("rule_name", S, False), ("anomaly_reason", S, True),
+)
+
+KPI_PIPELINE_DAILY = _schema(
+    ("kpi_date", D, False), ("dag_id", S, False), ("rows_rh_ingested", L, True), ("rows_sport_ingested", L, True),
+    ("rows_activities_generated", L, True), ("anomalies_count", L, True), ("status", S, False),
+)
+
+PIPELINE_RUN = _schema(
+    ("run_id", L, False), ("dag_id", S, False), ("status", S, False), ("started_ts", TS, False),
+    ("ended_ts", TS, True), ("error_message", S, True),
+)
+
+PIPELINE_TASK_RUN = _schema(
+    ("run_id", L, False), ("dag_id", S, False), ("task_id", S, False), ("status", S, False),
+    ("started_ts", TS, True), ("ended_ts", TS, True), ("rows_in", L, True), ("rows_out", L, True),
+    ("error_message", S, True),
+)
+
+QUALITY_REPORT = _schema(
+    ("check_order", I, False), ("check_name", S, False), ("ok", B, False), ("details", S, True),
+)
+
 CONFIG_PARAMETERS = _schema(
     ("param_name", S, False), ("param_value_text", S, False), ("param_type", S, False),
     ("unit", S, True), ("description", S, True), ("effective_from", TS, False),
@@ -108,3 +155,17 @@ NOT_NULL = {name: tuple(f.name for f in schema.fields if not f.nullable)
             for name, schema in {"employees": EMPLOYEES, "activities": ACTIVITIES,
                                  "commute_checks": COMMUTE_CHECKS,
                                  "employee_benefits": EMPLOYEE_BENEFITS}.items()}
+
+# What each job conforms its output to before it is written: (zone, table) -> schema.
+TABLES = {
+    ("raw", "rh_employees_snapshot"): RAW_HR_SNAPSHOT, ("raw", "sport_profile_snapshot"): RAW_SPORT_SNAPSHOT,
+    ("raw", "activities_feed"): ACTIVITIES, ("raw", "commute_distance_checks"): COMMUTE_CHECKS,
+    ("clean", "employees"): EMPLOYEES, ("clean", "activities"): ACTIVITIES,
+    ("clean", "commute_validation"): COMMUTE_VALIDATION,
+    ("analytics", "employee_benefits"): EMPLOYEE_BENEFITS, ("analytics", "dim_employee"): DIM_EMPLOYEE,
+    ("analytics", "fact_activity"): FACT_ACTIVITY, ("analytics", "fact_sport_bonus"): FACT_SPORT_BONUS,
+    ("analytics", "fact_wellness_days"): FACT_WELLNESS_DAYS,
+    ("analytics", "fact_declaration_anomalies"): FACT_DECLARATION_ANOMALIES,
+    ("analytics", "kpi_pipeline_daily"): KPI_PIPELINE_DAILY,
+    ("meta", "quality_report"): QUALITY_REPORT, ("meta", "config_parameters"): CONFIG_PARAMETERS,
+}

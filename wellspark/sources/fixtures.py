@@ -29,6 +29,7 @@ SPORT_TYPE_BY_EVENT = {"click": "Running", "view": "walking", "purchase": "CYCLI
                        "error": "yoga"}
 OTHER_SPORT_TYPE = "swimming"
 ORPHAN_OFFSET = 1_000_000
+UNKNOWN_SURVEY_OFFSET = 50_000_000_000
 
 
 def memo(fn):
@@ -55,10 +56,10 @@ def _pick(key: Column, modulus: int, values) -> Column:
 
 @memo
 def _customers(t: Tables) -> DataFrame:
-    """customer JOIN nation (25 rows, broadcast by size) with the columns used here."""
+    """customer JOIN nation with the columns used here (nation is broadcast if its size allows)."""
     cust = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return cust.join(F.broadcast(nat), "c_nationkey", "inner")
+    return cust.join(nat, "c_nationkey", "inner")
 
 
 def _home_address(k: Column) -> Column:
@@ -188,13 +189,15 @@ def hr_raw(t: Tables) -> DataFrame:
 
 @memo
 def sport_sheet(t: Tables) -> DataFrame:
-    """B.5 sport survey contents with original headers."""
+    """B.5 sport survey contents with original headers: every customer answers, every sixth
+    under an id that no employee has."""
     k = F.col("c_custkey")
     m50 = k % 50
-    emp_id = (F.when(m50 == 1, F.concat(k.cast("string"), F.lit(".0")))
+    emp_id = (F.when(k % 6 == 0, (k + UNKNOWN_SURVEY_OFFSET).cast("string"))
+              .when(m50 == 1, F.concat(k.cast("string"), F.lit(".0")))
               .when(m50 == 5, F.lit("inconnu"))
               .otherwise(k.cast("string")))
-    return (t.customer.select("c_custkey").where(k % 6 != 0)
+    return (t.customer.select("c_custkey")
             .select(emp_id.alias("ID salarié"),
                     _pick(k, 4, SPORT_PROFILE_BY_MOD4).alias("Pratique d'un sport")))
 

@@ -73,8 +73,10 @@ def ingest_sport_snapshot(sheet: DataFrame, ingested_ts: datetime,
 def stamp_snapshot(df: DataFrame, ingested_ts: datetime) -> DataFrame:
     """One ``ingested_ts`` per load plus a reproducible ``snapshot_id``.
 
-    The id hashes the load time and the row's content; it is stable across
-    re-runs and partitionings (identical rows of one load share an id).
+    The id hashes the load time and the row's content, NULLs included; it is stable
+    across re-runs and partitionings. It labels a row and does not identify it:
+    identical rows of one load share an id, and what was loaded before is told
+    by comparing whole rows.
     """
     data_cols = [c for c in df.columns]
     ts = ts_literal(ingested_ts)
@@ -111,13 +113,26 @@ def require_non_empty(df: DataFrame, name: str) -> DataFrame:
 
 
 def optional_source(spark: SparkSession, path: str) -> DataFrame | None:
-    """A missing table is tolerated (``None``) instead of failing the job."""
+    """A missing table is tolerated (``None``) instead of failing the job; an empty one is read as empty.
+
+    A folder without any data file and without a recorded schema holds no table: missing.
+    """
+    from .sinks import read_schema, read_table, recover
+
+    recover(spark, path)
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         return None
-    return spark.read.parquet(path)
+    if read_schema(spark, path) is None:
+        files = fs.listFiles(hpath, True)
+        while files.hasNext():
+            if files.next().getPath().getName()[0] not in "._":
+                break
+        else:
+            return None
+    return read_table(spark, path)
 
 
 def source_status(sources: dict[str, DataFrame | None]) -> DataFrame | None:

@@ -2,10 +2,8 @@
 
 Writes go to paths (or catalog tables) on shared storage. New content is first
 written to a fresh location next to the target and validated there; only then
-does it replace the target: by directory renames for a path table, by a
-catalog drop + rename with a persistent metastore, or -- with the session-only
-catalog, where the path is the source of truth -- by rewriting the fixed path
-from the validated copy (kept, and reported, if that rewrite fails).
+does it replace the target, by directory renames; a catalog entry is then made
+anew over the renamed directory.
 Writing a table also cuts the lineage, so a lost executor re-reads the written
 files instead of recomputing upstream stages.
 """
@@ -14,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation
@@ -21,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-
 class ValidationError(RuntimeError):
     pass
 
@@ -34,6 +32,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+SCHEMA_FILE = "_wellspark_schema.json"  # readers skip names that begin with an underscore
+
+
 def full_refresh(df: DataFrame, path: str, validators: list[Callable[[DataFrame], DataFrame]] = (),
                  partition_by: list[str] | None = None, fmt: str = "parquet",
                  on_written: Callable[[int], None] | None = None, table: str | None = None,
@@ -44,75 +45,86 @@ def full_refresh(df: DataFrame, path: str, validators: list[Callable[[DataFrame]
     writing, for the M7 run log via ``on_written``). Validators read those
     written files -- not the upstream plan again -- and any violating row stops
     the job with the target untouched (unlike TRUNCATE-then-INSERT, which can
-    leave it empty). Then the new version replaces the old one by metadata
-    operations only:
-
-    * a path table: the staging directory is renamed over the target (the old
-      directory is moved aside first and restored if the second rename fails);
-    * a catalog table (``table``, needed for ``bucket_by``: tables bucketed
-      alike on a key are joined and grouped without a shuffle): the new version
-      is written as a temporary external table at a fresh location; with a
-      persistent metastore the old table entry is dropped (its files stay) and
-      the temporary one renamed to the real name, the old files removed last.
-      With the session-only in-memory catalog the path must stay the source of
-      truth, so the validated copy is rewritten over the fixed location.
+    leave it empty); whatever fails, the new location is removed. Then the
+    directory is renamed over the target: no byte is written twice.
+
+    A schema file next to the data makes an empty table readable (a partitioned
+    write of no rows leaves no data files). With ``table`` the target is also a
+    catalog table (needed for ``bucket_by``: tables bucketed alike on a key are
+    joined and grouped without a shuffle): the catalog entry is created anew over
+    the renamed directory, with any catalog.
 
     Because the target is only touched at the end, the input may read it.
     """
     spark = df.sparkSession
+    recover(spark, path)
     new_loc = f"{path.rstrip('/')}.__next-{uuid.uuid4().hex[:12]}"
-    temp = None
-    if table is not None:
-        temp = f"{table}__next_{uuid.uuid4().hex[:12]}"
+    temp = f"{table}__next_{uuid.uuid4().hex[:12]}" if table is not None else None
+    try:
         rows = observed_write(df, new_loc, "overwrite", partition_by, fmt, temp, bucket_by, num_buckets)
-        staged = spark.table(temp)
-    else:
-        rows = observed_write(df, new_loc, "overwrite", partition_by, fmt)
-        staged = spark.read.format(fmt).load(new_loc)
-    for v in validators:
-        bad = v(staged)
-        if not bad.isEmpty():
-            sample = [r.asDict() for r in bad.limit(5).collect()]
-            if temp is not None:
-                spark.sql(f"DROP TABLE IF EXISTS {temp}")
-            _delete(spark, new_loc)
-            raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: {sample}")
-    if table is None:
+        _write_schema(spark, new_loc, df.schema)
+        staged = spark.read.schema(df.schema).format(fmt).load(new_loc)
+        for v in validators:
+            bad = v(staged)
+            if not bad.isEmpty():
+                sample = [r.asDict() for r in bad.limit(5).collect()]
+                raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: {sample}")
+        if temp is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {temp}")  # external: the files stay
         _swap(spark, new_loc, path)
-        result = spark.read.format(fmt).load(path)
-    elif _persistent_catalog(spark):
-        old_loc = _location(spark, table) if spark.catalog.tableExists(table) else None
-        if old_loc is not None:
-            spark.sql(f"DROP TABLE {table}")            # external: the files stay until the end
-        spark.sql(f"ALTER TABLE {temp} RENAME TO {table}")
-        if old_loc is not None and old_loc.rstrip("/") != new_loc.rstrip("/"):
-            _delete(spark, old_loc)
+    except BaseException:
+        if temp is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {temp}")
+        delete(spark, new_loc)
+        raise
+    if table is not None:
+        _register(spark, table, path, df.schema, partition_by, fmt, bucket_by, num_buckets)
         result = spark.table(table)
     else:
-        # Session-only catalog: the path stays the source of truth (later sessions read it),
-        # so the validated copy is written over the fixed location; kept if that write fails.
-        try:
-            observed_write(staged, path, "overwrite", partition_by, fmt, table, bucket_by, num_buckets)
-        except Exception as exc:
-            raise RuntimeError(f"rewrite of {table} failed; validated content kept at {new_loc}") from exc
-        spark.sql(f"DROP TABLE IF EXISTS {temp}")
-        _delete(spark, new_loc)
-        result = spark.table(table)
+        result = read_table(spark, path, fmt)
     if on_written is not None:
         on_written(rows)
     return result
 
 
-def _persistent_catalog(spark) -> bool:
-    """A metastore that outlives the session (Hive); the default in-memory one does not."""
-    return spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive"
+def _register(spark, table: str, path: str, schema: T.StructType, partition_by, fmt: str, bucket_by, num_buckets) -> None:
+    """A catalog entry over files that are already in place."""
+    parts = list(partition_by or [])
+    fields = [f for f in schema.fields if f.name not in parts] + [schema[p] for p in parts]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    ddl = f"CREATE TABLE {table} ({columns}) USING {fmt}"
+    if parts:
+        ddl += f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})"
+    if bucket_by and num_buckets:
+        ddl += f" CLUSTERED BY (`{bucket_by}`) SORTED BY (`{bucket_by}`) INTO {num_buckets} BUCKETS"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"{ddl} LOCATION '{path}'")
+    if parts:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
 
+def _write_schema(spark, path: str, schema: T.StructType) -> None:
+    fs, target = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    out = fs.create(target, True)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
 
-def _location(spark, table: str) -> str | None:
-    """Storage location of a catalog table (one row of its extended description)."""
-    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect():
-        return r.data_type
-    return None
+
+def read_schema(spark, path: str) -> T.StructType | None:
+    fs, target = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def read_table(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """A written table, empty or not: with the schema it was written with, where that is on record."""
+    schema = read_schema(spark, path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.format(fmt).load(path)
 
 
 def observed_write(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
@@ -121,6 +133,9 @@ def observed_write(df: DataFrame, path: str, mode: str = "overwrite", partition_
     """Write and return the number of rows written, counted by ``observe`` during the write
     itself (no second pass over the data)."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    if table is not None and bucket_by and num_buckets:
+        # one task per bucket and, for a hot key, its share of the rows: at most buckets x partitions files
+        df = df.repartition(num_buckets, bucket_by)
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -133,12 +148,12 @@ def observed_write(df: DataFrame, path: str, mode: str = "overwrite", partition_
     return int(obs.get["rows"])
 
 
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
-    """Raw-zone history: append one load (optionally partitioned by load date)."""
-    w = df.write.mode("append").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
+def append(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> int:
+    """Raw-zone history: append one load (optionally partitioned by load date); returns the rows appended."""
+    rows = observed_write(df, path, "append", partition_by, fmt)
+    if read_schema(df.sparkSession, path) is None:
+        _write_schema(df.sparkSession, path, df.schema)
+    return rows
 
 
 def cascade_refresh(children: DataFrame, parents: DataFrame, child_col: str = "employee_id",
@@ -161,7 +176,8 @@ def rebuild_table(df: DataFrame, path: str, schema: T.StructType | None = None,
                   partition_by: list[str] | None = None, table: str | None = None,
                   bucket_by: str | None = None, num_buckets: int = 0) -> DataFrame:
     """Drop-and-recreate with the declared schema (columns in order, cast), and
-    no window where the table is gone: staged, validated, then swapped in."""
+    staged, validated, then renamed in. Between the two renames the target is
+    missing for a moment; a crash just there is repaired by ``recover``."""
     out = conform(df, schema) if schema is not None else df
     return full_refresh(out, path, validators, partition_by, fmt, table=table, bucket_by=bucket_by,
                         num_buckets=num_buckets)
@@ -173,6 +189,18 @@ def _fs(spark, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
+def recover(spark, target: str) -> None:
+    """Put the previous version back if a crash between the two renames left no target."""
+    fs, t = _fs(spark, target)
+    parent = t.getParent()
+    if fs.exists(t) or parent is None or not fs.exists(parent):
+        return
+    for status in fs.listStatus(parent):
+        if status.getPath().getName().startswith(f"{t.getName()}.__previous-"):
+            fs.rename(status.getPath(), t)
+            return
+
+
 def _swap(spark, staging: str, target: str) -> None:
     """Replace ``target`` by ``staging``: two directory renames, rolled back on failure."""
     fs, t = _fs(spark, target)
@@ -189,7 +217,7 @@ def _swap(spark, staging: str, target: str) -> None:
         fs.delete(backup, True)
 
 
-def _delete(spark, path: str) -> None:
+def delete(spark, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -7,8 +7,6 @@ and filters are pushed into the parquet reader.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLE_NAMES = (
@@ -17,67 +15,31 @@ TABLE_NAMES = (
 )
 
 
-# Parquet footers are read once per path: later reads pass the schema, which
-# skips Spark's schema-inference job (a fixed cost per read, ~0.1 s locally).
-_SCHEMAS: dict[tuple, object] = {}
-
-
-def _mtime(path: str):
-    try:
-        return os.stat(path).st_mtime_ns if "://" not in path else None
-    except OSError:
-        return None
-
-
 class Tables:
     """Lazy accessor: ``Tables(spark, sf_dir).customer`` is a DataFrame.
 
     ``memo`` holds DataFrame *definitions* (lazy plans) derived from these
     tables, so a job that needs the same derived table twice builds its plan
-    once. No data is cached.
+    once. It lives and dies with the accessor: a new one sees the files as they
+    are then. No data is cached.
     """
 
-    _instances: dict[tuple, "Tables"] = {}
-
-    def __new__(cls, spark: SparkSession, sf_dir: str):
-        try:
-            app = spark.sparkContext.applicationId
-        except Exception:  # a Spark Connect session has no SparkContext
-            app = None
-        key = (app, id(spark), sf_dir.rstrip("/"))
-        inst = cls._instances.get(key)
-        if inst is None:
-            inst = super().__new__(cls)
-            inst.spark = spark
-            inst.sf_dir = sf_dir.rstrip("/")
-            inst.memo = {}
-            cls._instances[key] = inst
-        return inst
-
     def __init__(self, spark: SparkSession, sf_dir: str):
-        pass
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
+        self.memo: dict = {}
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
     def exists(self, name: str) -> bool:
-        path = self.path(name)
-        if "://" not in path:
-            return os.path.exists(path)
-        jvm = self.spark.sparkContext._jvm  # remote file systems: ask Hadoop
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(self.path(name))
         fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return bool(fs.exists(hpath))
 
     def read(self, name: str) -> DataFrame:
-        path = self.path(name)
-        key = (path, _mtime(path))
-        schema = _SCHEMAS.get(key)
-        if schema is None:
-            df = self.spark.read.parquet(path)
-            _SCHEMAS[key] = df.schema
-            return df
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.parquet(self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:

@@ -4,13 +4,12 @@ The batch job (``plans.jobs.load_activities``) rebuilds clean.activities from
 the whole feed. This module keeps it current as new feed files arrive:
 
 * ``start_clean_activities`` -- each micro-batch is de-duplicated by
-  ``activity_id`` (same ``min(struct)`` rule as the batch operator). The
-  target's partitions for the batch's years are pruned by a literal year list;
-  the ids written there are semi-joined with the batch's keys (the batch side is
-  the small, broadcast one), and the batch is anti-joined with that result and
-  appended. No watermark: a late activity is still written, never dropped. An
-  id seen in an earlier batch keeps its first written version; a retried batch
-  finds its own rows and writes nothing twice.
+  ``activity_id`` (the rule of the batch operator) and anti-joined with the ids
+  written so far. Those are kept in a table of their own, one long per activity
+  in folders by hash, so an id is recognised whatever its year and no batch reads
+  the activities again. No watermark: a late activity is still written, never
+  dropped. An id seen in an earlier batch keeps its first written version; a
+  retried batch writes nothing twice.
 * ``start_daily_volume`` / ``start_daily_volume_table`` -- activities per day
   as a running aggregate (one state row per calendar day, so the state is
   bounded by the calendar, not by the data), in ``complete`` mode to a memory
@@ -30,6 +29,7 @@ from .. import schemas
 from ..operators.clean import clean_activities
 from ..session import scratch_path
 from ..sources.ingest import optional_source
+from ..sources.sinks import append, full_refresh
 
 
 def read_activity_feed(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -40,38 +40,74 @@ def read_activity_feed(spark: SparkSession, path: str, max_files_per_trigger: in
     return r.parquet(path)
 
 
-def _append_new(batch: DataFrame, batch_id: int, target: str) -> None:
+ID_BUCKETS = 64
+
+
+def ids_path(target: str) -> str:
+    """The ids written to ``target`` so far: one long per activity, in folders by hash."""
+    return f"{target.rstrip('/')}__ids"
+
+
+def _id_bucket(col: str = "activity_id"):
+    return F.pmod(F.xxhash64(F.col(col).isNull(), F.col(col)), F.lit(ID_BUCKETS)).cast("int")
+
+
+def _append_new(batch: DataFrame, batch_id: int, target: str, source: str = "") -> None:
+    """Append the batch's activities whose id was never written, whatever the year.
+
+    The batch's ids are recorded first, marked with the batch. A retried batch
+    finds its own mark, ignores it, and looks for rows it has written already in
+    the years it writes to.
+    """
     spark = batch.sparkSession
-    fresh = clean_activities(batch).withColumn("activity_year", F.year("start_ts")).persist()
+    mark = f"{source}#{batch_id}"
+    fresh = clean_activities(batch).withColumns({"activity_year": F.year("start_ts"), "_bucket": _id_bucket()}).persist()
     try:
-        existing = optional_source(spark, target)
-        if existing is not None:
-            # Years in one batch are bounded by the calendar: a literal list gives static
-            # partition pruning of the target. Activities without a start have a NULL year.
-            years = [r[0] for r in fresh.select("activity_year").distinct().collect()]
-            in_years = F.col("activity_year").isin([y for y in years if y is not None])
-            if None in years:
-                in_years = in_years | F.col("activity_year").isNull()
-            keys = fresh.select(F.col("activity_year").alias("_y"), F.col("activity_id").alias("_id"))
-            # existing ids that the batch also has: the (small) batch side is the one broadcast
-            seen = (existing.where(in_years).select("activity_year", "activity_id")
-                    .join(keys, (F.col("activity_id") == F.col("_id"))
-                          & F.col("activity_year").eqNullSafe(F.col("_y")), "left_semi")
-                    .select(F.col("activity_year").alias("_sy"), F.col("activity_id").alias("_sid")))
-            fresh = fresh.join(seen, (fresh["activity_id"] == seen["_sid"])
-                               & fresh["activity_year"].eqNullSafe(seen["_sy"]), "left_anti")
-        fresh.write.mode("append").partitionBy("activity_year").parquet(target)
+        known = optional_source(spark, ids_path(target))
+        retried = False
+        if known is not None:
+            buckets = [r[0] for r in fresh.select("_bucket").distinct().collect()]  # ID_BUCKETS at most
+            here = known.where(F.col("bucket").isin(buckets))
+            retried = not here.where(F.col("mark") == mark).isEmpty()
+            seen = here.where(F.col("mark") != mark).select(F.col("activity_id").alias("_seen"))
+            fresh = fresh.join(seen, F.col("activity_id").eqNullSafe(F.col("_seen")), "left_anti")
+        if retried:
+            fresh = _not_yet_in(fresh, optional_source(spark, target))
+        else:
+            append(fresh.select("activity_id", F.lit(mark).alias("mark"), F.col("_bucket").alias("bucket"))
+                   .repartition("bucket"), ids_path(target), ["bucket"])
+        append(fresh.drop("_bucket"), target, ["activity_year"])
     finally:
         fresh.unpersist()
 
 
+def _not_yet_in(fresh: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """``fresh`` without the ids that the target holds in the same years (a literal list prunes its partitions)."""
+    if existing is None:
+        return fresh
+    years = [r[0] for r in fresh.select("activity_year").distinct().collect()]  # bounded by the calendar
+    in_years = F.col("activity_year").isin([y for y in years if y is not None])
+    if None in years:
+        in_years = in_years | F.col("activity_year").isNull()
+    written = existing.where(in_years).select(F.col("activity_id").alias("_written"))
+    return fresh.join(written, F.col("activity_id").eqNullSafe(F.col("_written")), "left_anti")
+
+
+def compact_ids(spark: SparkSession, target: str) -> None:
+    """Merge the small files that batches leave in the id table."""
+    known = optional_source(spark, ids_path(target))
+    if known is not None:
+        full_refresh(known.repartition("bucket"), ids_path(target), partition_by=["bucket"])
+
+
 def start_clean_activities(feed: DataFrame, target: str, checkpoint: str | None = None,
                            available_now: bool = True) -> StreamingQuery:
     """Append de-duplicated activities to the partitioned clean table, batch by batch."""
     spark = feed.sparkSession
+    ckpt = checkpoint or scratch_path(spark, "ckpt-clean-activities")
     w = (feed.writeStream
-         .foreachBatch(lambda df, bid: _append_new(df, bid, target))
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-clean-activities")))
+         .foreachBatch(lambda df, bid: _append_new(df, bid, target, ckpt))
+         .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
@@ -99,7 +135,6 @@ def start_daily_volume_table(feed: DataFrame, target: str, checkpoint: str | Non
     """``daily_volume`` kept as a table: each trigger's complete result (one row per day)
     replaces the target through the staged, validated swap of the batch sinks."""
     from ..operators.constraints import pk_violations
-    from ..sources.sinks import full_refresh
 
     def write(batch: DataFrame, batch_id: int) -> None:
         full_refresh(batch, target, [lambda df: pk_violations(df, ("activity_date",))])
