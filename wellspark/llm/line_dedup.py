@@ -100,10 +100,10 @@ class LineRuns:
         away: their fate is settled.
         """
         runs = self.live()
-        fresh = lines.select("d1", "d2", "h1", "h2").distinct()
-        if runs:
-            fresh = fresh.join(self.frequent(min_docs), ["h1", "h2"], "left_anti")
-        counts = fresh.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"))
+        counts = (lines.select("d1", "d2", "h1", "h2").distinct()
+                  .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs")))
+        if runs:  # counted first: a hot line meets the runs as one row
+            counts = counts.join(self.frequent(min_docs), ["h1", "h2"], "left_anti")
         seq = max((r[2] for r in runs), default=-1) + 1
         self._write(counts, (0, seq, seq))
         self.compact()
@@ -157,7 +157,9 @@ def _marked(docs: DataFrame, min_docs: int, min_chars: int, batches: int, fanout
     for b in range(batches):
         runs.add(lines.filter(F.col("batch") == b), min_docs)
 
-    dropped = (lines.join(runs.frequent(min_docs), ["h1", "h2"])
+    # Written before the join: between two plain exchanges a hot line's partition can be split.
+    frequent = stage(runs.frequent(min_docs), "line-frequent")
+    dropped = (lines.join(frequent, ["h1", "h2"])
                .groupBy("d1", "d2").agg(F.sort_array(F.collect_set("pos")).alias("__drop"))
                .withColumnsRenamed({"d1": "__d1", "d2": "__d2"}))
     marked = (_identified(docs, doc_id, text)
