@@ -22,7 +22,8 @@ Defined cases: words are runs of letters, digits and underscores, case ignored;
 NULL and empty texts have no words, score 0 and a NULL mean; any length is read
 whole; repeated rows count and are scored as often as they occur; n-grams do not
 cross documents; an empty table gives an empty result; other columns are ignored.
-n-grams are told apart by 64-bit hashes.
+n-grams are told apart by 64-bit hashes. Rows that repeat both doc_id and text
+are in one chunk.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from .shingles import mix, word_hashes, words
 ORDER = 2
 MIN_COUNT = 2
 BACKOFF = 0.4
-CHUNK_CHARS = 24_000_000    # texts of a chunk, about: the memory of one task
+CHUNK_CHARS = 10_000_000    # texts of a chunk, about: the memory of one task
 RANGE_WORDS = 1_000_000     # words of the corpus per hash range of the count table
 MICRO = 1_000_000
 _MUL = np.uint64(0xD6E8FEB86659FD93)
@@ -49,6 +50,7 @@ def _grams(texts: list[str | None], order: int):
     hashes = [word_hashes(words(t)) for t in texts]
     lens = np.array([len(h) for h in hashes], dtype=np.int64)
     h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    del hashes
     place = np.arange(len(h)) - np.repeat(np.cumsum(lens) - lens, lens)  # position in its document
     out = []
     for n in range(1, order + 1):
