@@ -31,14 +31,19 @@ PART = 1024
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
+def _hashed(conversations: DataFrame) -> DataFrame:
+    return conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text",
+                                fingerprint(F.col("role"), F.col("text"), seed=1).alias("t1"),
+                                fingerprint(F.col("role"), F.col("text"), seed=2).alias("t2"))
+
+
 def numbered_turns(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(conv_id, role, text, pos from 1, n_turns, p1, p2): turns with their rolling prefix hash."""
-    turns = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").distinct()
-    turns = turns.withColumns({
-        "t1": fingerprint(F.col("role"), F.col("text"), seed=1),
-        "t2": fingerprint(F.col("role"), F.col("text"), seed=2),
-        "block": F.coalesce(F.floor(F.col("turn") / F.lit(block)), F.lit(2 ** 62)).cast("long"),
-    })
+    """(conv_id, turn, t1, t2, pos from 1, n_turns, p1, p2): every turn once, with its rolling prefix hash.
+
+    Only hashes of role and text (t1, t2) are shuffled here, not the texts.
+    """
+    turns = _hashed(conversations).select("conv_id", "turn", "t1", "t2").distinct()
+    turns = turns.withColumn("block", F.coalesce(F.floor(F.col("turn") / F.lit(block)), F.lit(2 ** 62)).cast("long"))
     in_block = Window.partitionBy("conv_id", "block").orderBy(F.col("turn"), F.col("t1"), F.col("t2"))
     turns = stage(turns.withColumn("rn", F.row_number().over(in_block).cast("long")), "chat-turns")
 
@@ -50,20 +55,18 @@ def numbered_turns(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
              .select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "offset", "n_turns"))
     same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))
     placed = turns.join(sizes, same).drop("c", "b").withColumn("pos", F.col("offset") + F.col("rn"))
-    placed = stage(placed.select("conv_id", "block", "rn", "role", "text", "pos", "n_turns",
-                                 F.xxhash64("pos", "t1", "t2").alias("h1"),
-                                 F.xxhash64("t2", "t1", "pos").alias("h2")), "chat-placed")
+    placed = stage(placed.withColumns({"h1": F.xxhash64("pos", "t1", "t2"), "h2": F.xxhash64("t2", "t1", "pos")})
+                   .drop("offset"), "chat-placed")
     none = F.lit(0).cast("long")
     base = (placed.groupBy("conv_id", "block")
             .agg(F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"))
             .select(F.col("conv_id").alias("c"), F.col("block").alias("b"),
                     F.coalesce(F.bit_xor("x1").over(before), none).alias("b1"),
                     F.coalesce(F.bit_xor("x2").over(before), none).alias("b2")))
-    base = base.select("c", "b", "b1", "b2")
     rolling = (Window.partitionBy("conv_id", "block").orderBy("rn")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (placed.join(base, same)
-            .select("conv_id", "role", "text", "pos", "n_turns",
+            .select("conv_id", "turn", "t1", "t2", "pos", "n_turns",
                     F.col("b1").bitwiseXOR(F.bit_xor("h1").over(rolling)).alias("p1"),
                     F.col("b2").bitwiseXOR(F.bit_xor("h2").over(rolling)).alias("p2")))
 
@@ -85,12 +88,18 @@ def format_chats(conversations: DataFrame, part: int = PART, block: int = BLOCK)
     """
     turns = stage(numbered_turns(conversations, block), "chat-prefixes")
     best = maximal_conversations(turns).select(F.col("conv_id").alias("c"), "copies")
+    kept = (turns.join(best, F.col("conv_id").eqNullSafe(F.col("c")))
+            .select("c", F.col("turn").alias("__turn"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"),
+                    "pos", "n_turns", "copies"))
+    same = (F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("__turn"))
+            & (F.col("t1") == F.col("__t1")) & (F.col("t2") == F.col("__t2")))
     line = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("unknown")), F.lit("\n"),
                     F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")), F.lit(CLOSE + "\n"))
-    return (turns.join(best, F.col("conv_id").eqNullSafe(F.col("c")))
+    # The texts meet their places only now; a set, as a turn that is logged twice has one place.
+    return (_hashed(conversations).join(kept, same)
             .groupBy("conv_id", F.floor((F.col("pos") - 1) / F.lit(part)).alias("part"))
             .agg(F.first("n_turns").alias("n_turns"), F.first("copies").alias("copies"),
-                 F.array_sort(F.collect_list(F.struct("pos", line.alias("line")))).alias("lines"))
+                 F.array_sort(F.collect_set(F.struct("pos", line.alias("line")))).alias("lines"))
             .select("conv_id", "part", "n_turns", "copies",
                     F.array_join(F.transform("lines", lambda x: x["line"]), "").alias("rendered")))
 

@@ -15,8 +15,8 @@ position v, the upper bound is q+ . max(X, v) + q- . min(X, u).
 
 Queries and candidates meet block by block: every pair of a query block and a
 candidate block is one group of bounded size, and the k best of each group are
-merged by a window per query. The depths to which lists are read before bounds
-are compared are a setting; they change the work, not the result.
+merged by a window per query. The depths at which bounds are compared are a
+setting; they change the work, not the result.
 
 Defined cases: vectors that are NULL or hold NULL, NaN or infinite components
 take no part, neither do rows without a vec_id; shorter vectors count as padded
@@ -36,7 +36,7 @@ from .common import stage, table
 
 QUERY_BLOCK = 16_384
 CANDIDATE_BLOCK = 8_192
-DEPTHS = (0.15, 0.4)  # shares of every list that are read before bounds are compared
+DEPTHS = (0.1, 0.2, 0.4, 0.7)  # shares of every list that are read before bounds are compared again
 SLICE = 512
 
 
@@ -70,43 +70,37 @@ def _exact_type(x: np.ndarray, q: np.ndarray):
     return np.float32 if most < 2 ** 24 else np.float64 if most < 2 ** 53 else object
 
 
-def nra_block(q_ids, q, x_ids, x, k: int, depths=DEPTHS) -> tuple[np.ndarray, np.ndarray, list]:
+def nra_block(q_ids, q, x_ids, x, k: int, depths=DEPTHS) -> tuple[list, list, list]:
     """The k best candidates of the block for every query: (query ids, candidate ids, scores)."""
     kind = _exact_type(x, q)
     order = np.argsort(x_ids, kind="stable")
     x_ids, x = x_ids[order], x[order].astype(kind)
-    n = len(x_ids)
     q = q.astype(kind)
-    plus, minus = np.maximum(q, 0), np.minimum(q, 0)
-    lists = np.sort(x, axis=0)                      # every component's sorted list
-    low, high = lists[0], lists[-1]
+    n = len(x_ids)
     slack = k + int(np.unique(x_ids, return_counts=True)[1].max(initial=1))  # a query may meet its own rows
-    upper, lower = [], []
+    live = np.ones((len(q), n), dtype=bool)
     if kind is not object and n > 4 * slack:
+        plus, minus = np.maximum(q, 0), np.minimum(q, 0)
+        lists = np.sort(x, axis=0)                  # every component's sorted list
         for depth in depths:
-            at = min(n - 1, int(depth * n))
+            at = int(depth * n)
             v, u = lists[n - 1 - at], lists[at]     # reading positions from the top and from the bottom
-            top, bottom = x >= v, x <= u
-            upper.append((plus @ np.maximum(x, v).T, minus @ np.minimum(x, u).T))
-            lower.append((plus @ np.where(top, x, low).T, minus @ np.where(bottom, x, high).T))
+            lower = plus @ np.where(x >= v, x, lists[0]).T + minus @ np.where(x <= u, x, lists[-1]).T
+            upper = plus @ np.maximum(x, v).T + minus @ np.minimum(x, u).T
+            kth = np.partition(lower, n - slack, axis=1)[:, n - slack]
+            live &= upper >= kth[:, None]           # outsiders that cannot qualify any more
+            if live.sum(axis=1).max() <= 4 * slack:
+                break
     out_q, out_c, out_s = [], [], []
     for i in range(len(q)):
-        live = np.arange(n)
-        for (ua, ub), (la, lb) in zip(upper, lower):
-            if len(live) <= 4 * slack:
-                break
-            lb_i = (la[i] + lb[i])[live]
-            kth = np.partition(lb_i, len(lb_i) - slack)[len(lb_i) - slack]
-            live = live[(ua[i] + ub[i])[live] >= kth]
-        live = live[x_ids[live] != q_ids[i]]
-        score = x[live] @ q[i]                      # resolve what is left
-        if len(live) > k and kind is not object:    # ascending ids and a stable sort: ties to the smaller id
-            kth = np.partition(score, len(score) - k)[len(score) - k]
-            near = score >= kth
-            live, score = live[near], score[near]
-        best = sorted(range(len(live)), key=lambda j: (-score[j], live[j]))[:k]
+        some = np.flatnonzero(live[i] & (x_ids != q_ids[i]))
+        score = x[some] @ q[i]                      # resolve the final scores
+        if len(some) > k and kind is not object:
+            near = score >= np.partition(score, len(score) - k)[len(score) - k]
+            some, score = some[near], score[near]
+        best = sorted(range(len(some)), key=lambda j: (-score[j], some[j]))[:k]  # places follow the ids: ties to the smaller
         out_q += [q_ids[i]] * len(best)
-        out_c += [x_ids[live[j]] for j in best]
+        out_c += [x_ids[some[j]] for j in best]
         out_s += [max(-2 ** 63, min(2 ** 63 - 1, int(score[j]))) for j in best]
     return out_q, out_c, out_s
 
