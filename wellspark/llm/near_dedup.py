@@ -11,14 +11,16 @@ in the order of time and a process ends once it is later than every component,
 so a long text costs little more than one draw per shingle.
 
 Signatures are cut into bands. Texts that agree in a band are candidates, but
-never all pairs of a bucket: every member is compared with the bucket's leader
-(its smallest text id), and the exact overlap decides. Members far from their
-leader ("strays") still have to meet the members they may be close to; as one
-minus the weighted Jaccard similarity is a metric, those lie within the
-threshold's distance of the stray's own distance from the leader, and they must
-agree in a second band. What a large group of near copies costs is therefore one
-comparison a member and band leader. Linked texts are joined to classes by
-alternating large-star and small-star steps.
+never all pairs of a bucket: every member is compared with the bucket's most
+popular text, which of a group of near copies is one of the least altered, and
+the exact overlap decides. Linked texts are joined to classes (alternating
+large-star and small-star steps), and from then on only members outside the class
+of a text are compared with it: with a few more representatives of the bucket,
+and whoever is still apart then with all members it can be close to. Three
+bounds, none of which loses a link, say which those are: shingles that no other
+class has cannot overlap; sizes; and, one minus the weighted Jaccard similarity
+being a metric, the distances from the leader. (They must also agree in a second
+band.) A large group of near copies thus costs a few comparisons a member.
 
 Equal word sequences are one text from the start; nothing of them is paired.
 
@@ -40,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stage, table
@@ -50,7 +52,8 @@ SIZE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 42, 6
 TEXTS_AT_ONCE = 256
-KEPT_MULTISETS = 64
+KEPT_MULTISETS = 128
+REPRESENTATIVES = 4
 
 
 def _times_golden(k: int) -> np.uint64:
@@ -149,7 +152,7 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
         for b in batches:
             a_, b_, ta, tb = (b.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
-            sims = [weighted_jaccard(multiset(x, size), bag(n, y)) for x, n, y in zip(ta, b_, tb)]
+            sims = [weighted_jaccard(bag(m, x), bag(n, y)) for m, x, n, y in zip(a_, ta, b_, tb)]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(sims, pa.float64())],
                                              names=["a", "b", "sim"])
 
@@ -158,35 +161,122 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a bigint, b bigint, sim double")
 
 
-def links(nodes: DataFrame, texts_of, size: int = SIZE, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b): pairs of texts with an overlap of ``threshold`` or more that connect every class.
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """(bkey, node, n, pop) of the buckets with more than one text.
 
-    ``nodes`` has node, n and bands; ``texts_of(pairs)`` gives (node, text) for the nodes of pairs.
+    ``pop`` adds up the sizes of a text's buckets: of a group of near copies, the
+    least altered ones are in the largest buckets and so the most popular.
     """
     keyed = nodes.select("node", "n", F.explode("bands").alias("bkey"))
-    leaders = keyed.groupBy("bkey").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members")) \
-        .filter("members > 1").select("bkey", "leader")
-    members = stage(keyed.join(leaders, "bkey").filter("node <> leader"), "near-members")
-    first = members.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    texts = stage(texts_of(first), "near-texts")
-    sims = stage(_overlaps(first, texts, size), "near-leaders")
-    found = sims.filter(F.col("sim") >= threshold).select("a", "b")
-
-    # Strays of a bucket, and the members of the bucket that may still be close to them.
-    near = members.join(sims.withColumnsRenamed({"a": "node", "b": "leader"}), ["node", "leader"])
-    near = stage(near.select("bkey", "node", "n", "sim"), "near-distances")
-    gap = 1 - threshold
-    stray = near.filter(F.col("sim") < threshold).select("bkey", F.col("node").alias("a"), F.col("n").alias("na"),
-                                                          F.col("sim").alias("sa"))
-    other = near.select("bkey", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sim").alias("sb"))
-    reach = F.abs(F.col("sa") - F.col("sb")) <= gap + 1e-9
-    sizes = F.least("na", "nb") >= F.lit(threshold - 1e-9) * F.greatest("na", "nb")
-    once = (F.col("sb") >= threshold) | (F.col("a") > F.col("b"))
-    close = reach & sizes & once
-    again = (stray.join(other, "bkey").filter((F.col("a") != F.col("b")) & close)
-             .groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("shared")).filter("shared >= 2").select("a", "b"))
-    more = _overlaps(again, texts, size).filter(F.col("sim") >= threshold).select("a", "b")
-    return stage(found.unionByName(more), "near-links")
+    sizes = keyed.groupBy("bkey").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    members = stage(keyed.join(sizes, "bkey"), "near-members")
+    popular = members.groupBy("node").agg(F.sum("members").alias("pop"))
+    return stage(members.join(popular, "node").select("bkey", "node", "n", "pop"), "near-buckets")
+
+
+def _relabel(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) after more links (a, b): only the roots they connect are joined anew."""
+    if labels is None:
+        return components(links)
+    root = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    between = (links.join(root("a"), "a", "left").join(root("b"), "b", "left")
+               .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).filter("a <> b"))
+    moved = components(between).withColumnsRenamed({"node": "old", "root": "new"})
+    kept = (labels.join(moved, labels["root"] == moved["old"], "left")
+            .select("node", F.coalesce("new", "root").alias("root")))
+    first = moved.join(labels, moved["old"] == labels["node"], "left_anti").select(F.col("old").alias("node"),
+                                                                                 F.col("new").alias("root"))
+    return stage(kept.unionByName(first), "near-labels")
+
+
+def near_labels(nodes: DataFrame, texts_of, size: int = SIZE, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, root): texts that are connected by overlaps of ``threshold`` or more have the same root.
+
+    ``nodes`` has node, n and bands; ``texts_of(nodes)`` gives (node, text).
+    """
+    members = _buckets(nodes)
+    texts = stage(texts_of(members.select("node").distinct()), "near-texts")
+
+    # Every member with the most popular text of its bucket.
+    leaders = (members.groupBy("bkey").agg(F.max(F.struct("pop", "node")).alias("top"))
+               .select("bkey", F.col("top.node").alias("leader")))
+    led = stage(members.join(leaders, "bkey"), "near-led")
+    first = led.filter("node <> leader").select(F.greatest("node", "leader").alias("a"),
+                                                F.least("node", "leader").alias("b")).distinct()
+    compared = stage(_overlaps(first, texts, size), "near-compared")
+    labels = _relabel(None, compared.filter(F.col("sim") >= threshold).select("a", "b"))
+    of_leader = ((F.greatest("node", "leader") == F.col("a")) & (F.least("node", "leader") == F.col("b")))
+    led = (led.join(compared, of_leader, "left")
+           .select("bkey", "node", "n", F.coalesce("sim", F.lit(1.0)).alias("sim")))
+    led = stage(led, "near-distances")
+
+    def open_buckets(of: DataFrame) -> DataFrame:
+        """The buckets whose members are not in one class yet, with their classes."""
+        placed = of.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = placed.groupBy("bkey").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+        return stage(placed.join(mixed.select("bkey"), "bkey"), "near-open")
+
+    def link(pairs: DataFrame) -> None:
+        nonlocal compared, labels
+        new = stage(_overlaps(pairs.join(compared, ["a", "b"], "left_anti"), texts, size), "near-compared")
+        compared = compared.unionByName(new)
+        labels = _relabel(labels, new.filter(F.col("sim") >= threshold).select("a", "b"))
+
+    # Only shingles that another class has too can overlap with it: a bound for all that is still apart.
+    here = open_buckets(led)
+    led = stage(here.drop("root").join(_outside(here, texts, size), "node"), "near-bounded")
+    share = F.lit(threshold / (1 + threshold))  # an overlap of `threshold` takes this share of both sizes
+
+    def possible(x: str, y: str):
+        enough = F.least(f"out_{x}", f"out_{y}") >= share * (F.col(f"n_{x}") + F.col(f"n_{y}")) - 1e-9
+        return enough & (F.least(f"n_{x}", f"n_{y}") >= F.lit(threshold - 1e-9) * F.greatest(f"n_{x}", f"n_{y}"))
+
+    def side(frame: DataFrame, name: str, *more: str) -> DataFrame:
+        return frame.select("bkey", F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
+                            F.col("sim").alias(f"sim_{name}"), F.col("outside").alias(f"out_{name}"),
+                            F.col("root").alias(f"root_{name}"), *more)
+
+    # A few more representatives of each bucket, for the members outside their class.
+    here = open_buckets(led)
+    draw = Window.partitionBy("bkey").orderBy(F.xxhash64("node"), "node")
+    some = here.withColumn("_rn", F.row_number().over(draw)).filter(F.col("_rn") <= REPRESENTATIVES)
+    link(side(here, "x").join(side(some, "y"), "bkey").filter((F.col("root_x") != F.col("root_y")) & possible("x", "y"))
+         .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+
+    # Then every member outside its bucket's largest class with all members of other classes that it can
+    # be close to. A pair is taken from the first of the buckets it shares, so it comes up once.
+    here = open_buckets(led)
+    largest = (here.groupBy("bkey", "root").agg(F.count(F.lit(1)).alias("k"))
+               .groupBy("bkey").agg(F.max(F.struct("k", "root")).alias("top")).select("bkey", F.col("top.root").alias("main")))
+    here = stage(here.join(largest, "bkey").join(nodes.select("node", "bands"), "node"), "near-apart")
+    stray = side(here.filter("root <> main"), "x", F.col("bands").alias("bands_x"))
+    other = side(here, "y", F.col("bands").alias("bands_y"), (F.col("root") == F.col("main")).alias("in_main"))
+    reach = F.abs(F.col("sim_x") - F.col("sim_y")) <= 1 - threshold + 1e-9
+    once = F.col("in_main") | (F.col("x") > F.col("y"))
+    shared = F.array_intersect("bands_x", "bands_y")
+    twice = (F.size(shared) >= 2) & (F.array_min(shared) == F.col("bkey"))
+    link(stray.join(other, "bkey")
+         .filter((F.col("root_x") != F.col("root_y")) & once & reach & possible("x", "y") & twice)
+         .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+    return labels
+
+
+def _outside(here: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(node, outside): how many of a text's shingles are found in texts of other classes of ``here``, too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for node, root, text in zip(*(b.column(c).to_pylist() for c in ("node", "root", "text"))):
+                h, c = multiset(text, size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(h), node, np.int64)), pa.array(np.full(len(h), root, np.int64)),
+                     pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["node", "root", "sh", "c"])
+
+    rows = stage(here.select("node", "root").distinct().join(texts, "node").select("node", "root", "text")
+                 .mapInArrow(run, "node bigint, root bigint, sh bigint, c bigint"), "near-shingles")
+    spread = stage(rows.groupBy("sh").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                   .filter("lo <> hi").select("sh"), "near-spread")
+    return rows.join(spread, "sh").groupBy("node").agg(F.sum("c").alias("outside"))
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -224,13 +314,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SIZE
     nodes = stage(sigs.filter("node IS NOT NULL").groupBy("node")
                   .agg(F.min("raw").alias("raw"), F.first("n").alias("n"), F.first("bands").alias("bands")), "near-nodes")
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        needed = needed.join(nodes.select("node", "raw"), "node")
+    def texts_of(some: DataFrame) -> DataFrame:
+        needed = nodes.select("node", "raw").join(some, "node")
         keyed = slim.select(raw_key(F.col("text")).alias("raw"), "text")
         return keyed.join(needed, "raw").dropDuplicates(["node"]).select("node", "text")
 
-    roots = components(links(nodes, texts_of, size, threshold))
+    roots = near_labels(nodes, texts_of, size, threshold)
     placed = sigs.select("doc_id", "raw", "node").join(roots, "node", "left")
     placed = placed.select("doc_id", "raw", "node", F.coalesce("root", "node").alias("class_key"))
     names = placed.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
