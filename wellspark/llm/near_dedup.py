@@ -322,7 +322,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SIZE
     roots = near_labels(nodes, texts_of, size, threshold)
     placed = sigs.select("doc_id", "raw", "node").join(roots, "node", "left")
     placed = placed.select("doc_id", "raw", "node", F.coalesce("root", "node").alias("class_key"))
+    placed = stage(placed, "near-placed")
     names = placed.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
+    names = stage(names, "near-names")  # between two plain exchanges a large class can be split
     return (placed.join(names, "class_key", "left")
             .select("doc_id", "raw", "node", "class_key",
                     F.when(F.col("class_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")))
