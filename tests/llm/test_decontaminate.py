@@ -71,3 +71,22 @@ def test_stage_drops_only_contaminated_rows(spark):
     assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(2, "clean text"), (2, "clean text"), (3, "")]
     assert contaminated(documents(spark, []), bench).count() == 0
     assert drop_contaminated(documents(spark, rows), bench.limit(0)).count() == 5
+
+
+def test_moved_parts(spark):
+    """Items of which a part has changed places inside a longer document."""
+    items = [(n, prose(n, n, 10_000)) for n in (30, 60, 100)] + [(7, "one two three"), (8, "z " * 40)]
+    rows = []
+    for n, text in items[:3]:
+        a = WORDS(text)
+        for q in (1, n // 4, n // 2, n - 3):
+            moved = " ".join(a[-q:] + a[:-q])
+            rows += [(len(rows), prose(200, 900 + q, 10_000) + " " + moved + " " + prose(200, 901 + q, 10_000)),
+                     (len(rows) + 1, moved), (len(rows) + 2, prose(9, 3) + " " + moved), (len(rows) + 3, moved + " tail")]
+        third = n // 3
+        rows.append((len(rows), prose(50, 1) + " " + " ".join(a[third:2 * third] + a[:third] + a[2 * third:]) + " end"))
+    rows += [(200, "x one two three y one two"), (201, "z " * 300), (202, "z " * 36 + "y"), (203, "z " * 30)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    have = got(contaminated(documents(spark, rows), bench))
+    assert have == brute(rows, items)
+    assert {(d, i) for d, i in have if d < 200 and have[d, i] < 1 and d % 4 == 0}

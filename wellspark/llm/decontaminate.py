@@ -4,11 +4,16 @@ A document is contaminated by a benchmark item if one of its windows, as many
 words long as the item, has a weighted five-word-shingle similarity of 0.8 or
 more with it.
 
-Windows: only a window that shares a shingle with an item can be similar to one,
-so windows are laid where a document's shingle is one of an item's, aligned so
-that the two shingles fall on each other. Windows that share nothing have a
-similarity of 0 and are never made; that prunes and decides nothing. Windows of
-equal words, in however many documents, are fingerprinted once.
+Windows: a document's shingle that is one of an item's is a match of that item's
+length. Moving a window to the right, up to its first match (or the document's
+end), only lets go of shingles that no item of that length has, so one of the
+best windows starts at a match; such a window is laid at every match. A window
+with s shingles and an item with r have a similarity of t or more only with
+t / (1 + t) * (s + r) matches in the window; windows with fewer are never made,
+which loses none, wherever in the window the item's parts have gone. In the
+documents that are left, windows are also laid so that a match falls on its own
+place in the item: of equally similar windows the first one is reported. Windows
+of equal words, in however many documents, are fingerprinted once.
 
 Search: window and item get a 64-bit SimHash of their shingles. The fingerprints
 are cut into RADIUS + 1 blocks; two of them within RADIUS bits agree in at least
@@ -40,6 +45,7 @@ THRESHOLD = 0.8
 BITS = 64
 RADIUS = 23
 BROADCAST_SHINGLES = 1_000_000  # 16 MB; beyond it the documents' shingles are shuffled
+BROADCAST_STARTS = 100_000      # about 20 MB; beyond it the documents' words are shuffled
 WORDS = r"[\p{L}\p{N}_]+"
 
 
@@ -117,6 +123,22 @@ def document_key(docs: DataFrame) -> Column:
     return fingerprint(F.col("doc_id"), F.col("text"))
 
 
+def _starts(found: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(key, n, starts): where to lay windows of n words, from a document's sorted matches ``pos`` and ``aligned``."""
+    last = F.greatest(F.col("size") - F.col("n"), F.lit(0))
+    in_window = F.greatest(F.least("n", "size") - k, F.lit(0)) + 1
+    need = F.ceil(F.lit(threshold / (1 + threshold)) * (in_window + F.col("n") - k + 1) - 1e-9)
+    found = found.withColumns({"last": last, "in_window": in_window,
+                               "need": F.greatest(need, F.lit(1)).cast("int")})
+    # The need-th match from a start on lies in the window. Past ``last`` the first match counts for all.
+    start = lambda p: F.least(p, F.col("last"))
+    enough = lambda p, i: F.get("pos", i + F.col("need") - 1) < start(p) + F.col("in_window")
+    at_match = F.transform(F.filter("pos", enough), start)
+    aligned = F.transform("aligned", lambda a: F.greatest(F.lit(0), start(a)))
+    return (found.withColumn("at_match", at_match).filter(F.size("at_match") > 0)
+            .select("key", "n", F.array_union("at_match", aligned).alias("starts")))
+
+
 def _with_shingles_of(slim: DataFrame, items: DataFrame, k: int, threshold: float, radius: int) -> DataFrame:
     items = items.withColumn("shingles", _shingles(F.col("h"), k))
     laid = (items.select("n", F.posexplode("shingles").alias("at", "sh"))
@@ -124,13 +146,19 @@ def _with_shingles_of(slim: DataFrame, items: DataFrame, k: int, threshold: floa
     laid = stage(laid, "item-shingles")
     if laid.count() <= BROADCAST_SHINGLES:
         laid = F.broadcast(laid)
-    words_ = slim.filter(F.size("h") > 0).select("key", "doc_id", "h", F.posexplode("h").alias("pos", "__w"))
+    words_ = slim.filter(F.size("h") > 0).select("key", "h", F.posexplode("h").alias("pos", "__w"))
     at_word = words_.filter(F.col("pos") <= F.greatest(F.size("h") - k, F.lit(0))) \
-        .select("key", "doc_id", "h", "pos", _shingle(F.col("h"), F.col("pos"), k).alias("sh"))
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("place.at"), F.size("h") - F.col("place.n")))
-    windows = (at_word.join(laid, "sh").withColumn("place", F.explode("places"))
-               .select("key", "doc_id", F.col("place.n").alias("n"), start.alias("start"),
-                       F.slice("h", start + 1, F.col("place.n")).alias("win")).distinct())
+        .select("key", F.size("h").alias("size"), "pos", _shingle(F.col("h"), F.col("pos"), k).alias("sh"))
+    found = (at_word.join(laid, "sh").select("key", "size", "pos", F.explode("places").alias("place"))
+             .groupBy("key", "size", F.col("place.n").alias("n"))
+             .agg(F.array_sort(F.collect_set("pos")).alias("pos"),
+                  F.collect_set(F.col("pos") - F.col("place.at")).alias("aligned")))
+    starts = stage(_starts(found, k, threshold), "window-starts")
+    few = starts.count() <= BROADCAST_STARTS
+    # A document has one row here for each length of item, so its words meet few rows.
+    windows = (slim.join(F.broadcast(starts) if few else starts, "key")
+               .select("key", "doc_id", "n", "h", F.explode("starts").alias("start"))
+               .select("key", "doc_id", "n", "start", F.slice("h", F.col("start") + 1, F.col("n")).alias("win")).distinct())
     wid = [F.xxhash64(F.lit(1), "n", "win").alias("w1"), F.xxhash64(F.lit(2), "n", "win").alias("w2")]
     windows = stage(windows.select("key", "doc_id", "n", "start", "win", F.struct(*wid).alias("wid")), "windows")
 
