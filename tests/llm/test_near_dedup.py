@@ -90,3 +90,13 @@ def test_components_of_a_long_chain_and_a_star(spark):
 
 def test_words_ignore_case_and_marks():
     assert words("The (quick) FOX, 42!") == ["the", "quick", "fox", "42"] and words(None) == []
+
+
+def test_texts_without_words_are_those_of_the_classes(spark):
+    """Java's and Python's ideas of a word character differ on these."""
+    wordless = ["❤️", "Ⓐ", "‍", "‿", "ั", None, "", "!?"]
+    rows = [(i, t) for i, t in enumerate(wordless)] + [(0, wordless[0]), (None, wordless[0]), (None, None)]
+    rows += [(20, "½"), (21, "½"), (21, "½"), (22, "²"), (23, "²"), (24, "a b")]
+    kept = keep_one_of_each(documents(spark, rows, node=1, raw="r"))
+    want = [r for r in rows if not words(r[1])] + [(20, "½"), (22, "²"), (24, "a b")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)

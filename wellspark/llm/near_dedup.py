@@ -336,11 +336,11 @@ def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     kept = (classes.filter("class_key IS NOT NULL").groupBy("class_key")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "raw")).alias("k"))
             .select(F.col("k.doc_id").alias("__id"), F.col("k.raw").alias("__kept")).distinct())
-    blank = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"(?U)\W", "")) == 0
+    blank = classes.filter("node IS NULL").select(F.col("doc_id").alias("__id"), F.col("raw").alias("__kept")).distinct()
     keyed = docs.withColumn("__raw", raw_key(F.col("text").cast("string")))
     same = (F.col("__raw") == F.col("__kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
     one = keyed.join(kept, same).dropDuplicates(["__raw", "__id"])
-    return one.select(*docs.columns).unionByName(keyed.filter(blank).select(*docs.columns))
+    return one.select(*docs.columns).unionByName(keyed.join(blank, same, "left_semi").select(*docs.columns))
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
