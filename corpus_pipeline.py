@@ -60,7 +60,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over the whole ``documents`` table."""
+    """All stages, one after the other, over the whole ``documents`` table.
+
+    The result is a manifest: every document left is one row, to be taken ``copies``
+    times. ``copies`` = 0 means that the mix leaves the document out; whoever ignores
+    the column has an unmixed corpus.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")

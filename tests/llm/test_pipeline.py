@@ -60,3 +60,13 @@ def test_registered_queries():
     names = list(entry.queries())
     assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_mixing_meets_each_sources_target_by_copies(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    per = {}
+    for r in corpus_pipeline.mixing(spark, docs, SF).collect():
+        words, target, largest, left_out = per.get(r.source, (0, r.target, 0, 0))
+        per[r.source] = (words + r.copies * r["size"], r.target, max(largest, r["size"]), left_out + (r.copies == 0))
+    assert len(per) > 1 and any(left_out for *_, left_out in per.values())
+    assert all(abs(words - target) <= largest + 1e-6 for words, target, largest, _ in per.values())
