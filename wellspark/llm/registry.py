@@ -9,6 +9,7 @@ from .lm_scoring import OP3_SQL, op3_lm_scoring
 from .mixing import op10_mixing
 from .near_dedup import op6_minhash_near_dedup
 from .quality_knn import op4_quality
+from .resampling import OP11_SQL, op11_resampling
 from .token_counts import op8_token_counts
 from .topk_search import OP7_SQL, op7_exact_topk
 from .toxicity import op5_toxicity
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_mixing": op10_mixing,
+    "op11_resampling": op11_resampling,
 }
 
 ORACLES = {
@@ -31,4 +33,5 @@ ORACLES = {
     "op3_lm_scoring": OP3_SQL,
     "op7_exact_topk": OP7_SQL,
     "op9_chat_formatting": OP9_SQL,
+    "op11_resampling": OP11_SQL,
 }
