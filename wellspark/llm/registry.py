@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat_format import OP9_SQL, op9_chat_formatting
+from .conversation_repair import OP12_SQL, op12_conversation_repair
 from .decontaminate import op2_decontamination
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .lm_scoring import OP3_SQL, op3_lm_scoring
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_mixing": op10_mixing,
     "op11_resampling": op11_resampling,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLES = {
@@ -34,4 +36,5 @@ ORACLES = {
     "op7_exact_topk": OP7_SQL,
     "op9_chat_formatting": OP9_SQL,
     "op11_resampling": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
 }
