@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat_format import OP9_SQL, op9_chat_formatting
 from .conversation_repair import OP12_SQL, op12_conversation_repair
 from .decontaminate import op2_decontamination
+from .language_id import op13_language_id
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .lm_scoring import OP3_SQL, op3_lm_scoring
 from .mixing import op10_mixing
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_resampling": op11_resampling,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_language_id": op13_language_id,
 }
 
 ORACLES = {
