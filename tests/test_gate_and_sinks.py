@@ -109,7 +109,7 @@ def test_full_refresh_validates_before_writing(spark, tables_small):
     assert len(first) == 150
     with pytest.raises(S.ValidationError):
         S.full_refresh(fx.dirty_employees(tables_small), path, [pk])
-    assert spark.read.parquet(path).count() == 150  # untouched by the rejected write
+    assert S.read_table(spark, path).count() == 150  # untouched by the rejected write
     again = sorted(tuple(r) for r in S.full_refresh(good, path, [pk]).collect())  # re-run: same table
     assert again == first
 
@@ -154,5 +154,5 @@ def test_rebuild_rejected_keeps_target_and_leaves_no_staging(spark):
         S.rebuild_table(dup, path, validators=[lambda df: V.pk_violations(df, ("id",))])
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4]
     S.rebuild_table(spark.range(3), path)
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2]
+    assert sorted(r.id for r in S.read_table(spark, path).collect()) == [0, 1, 2]
     assert os.listdir(root) == ["t"]  # no staging or previous copies left behind

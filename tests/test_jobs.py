@@ -8,6 +8,7 @@ from wellspark.plans import jobs
 from wellspark.plans.catalog import QUERIES
 from wellspark.plans.runlog import read_task_log, utc_run_id
 from wellspark.sources import fixtures as fx
+from wellspark.sources.sinks import read_table
 
 
 def _rows(df):
@@ -20,14 +21,14 @@ def test_run_all_end_to_end(spark, tables_small):
     res = jobs.run_all(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.activities(t), fx.commute_checks(t),
                        fx.LOAD_TS, fx.AS_OF_YEAR, enforce_gate=False)
     assert res["gate_ok"] is False  # fixture salaries of 0 and blank modes fail the gate
-    emp = spark.read.parquet(wh.path("clean", "employees"))
+    emp = read_table(spark, wh.path("clean", "employees"))
     assert _rows(emp) == _rows(QUERIES["clean_employees"](spark, SF_SMALL))
     # benefits computed from the clean zone (141 typed employees), rebuilt in place on a second run
-    first = _rows(spark.read.parquet(wh.path("analytics", "employee_benefits")))
+    first = _rows(read_table(spark, wh.path("analytics", "employee_benefits")))
     assert len(first) == res["benefit_rows"] == 141
     jobs.build_benefits(spark, wh, fx.AS_OF_YEAR, fx.LOAD_TS)
-    assert _rows(spark.read.parquet(wh.path("analytics", "employee_benefits"))) == first
-    report = {r.check_name: r.ok for r in spark.read.parquet(wh.path("meta", "quality_report")).collect()}
+    assert _rows(read_table(spark, wh.path("analytics", "employee_benefits"))) == first
+    report = {r.check_name: r.ok for r in read_table(spark, wh.path("meta", "quality_report")).collect()}
     assert report["clean.employees employee_id UNIQUE"] is True
     assert report["volumetry.activities_min_rows (post-generation)"] is False
 
@@ -46,7 +47,7 @@ def test_second_load_and_cascade(spark, tables_small):
     emp = jobs.build_clean_employees(spark, wh, datetime(2024, 3, 1))
     n_emp = emp.count()
     assert 0 < n_emp < 141
-    acts = spark.read.parquet(wh.path("clean", "activities"))
+    acts = read_table(spark, wh.path("clean", "activities"))
     orphans = acts.join(emp, "employee_id", "left_anti").count()
     assert orphans == 0
 
@@ -58,14 +59,14 @@ def test_reports_run_log_and_fail_pass(spark, tables_small):
                  enforce_gate=False)
     for name in ("report_wellness_days", "report_practices", "report_activity_volume", "report_flow_breaks",
                  "kpi_pipeline_daily", "report_benefit_cost"):
-        assert spark.read.parquet(wh.path("analytics", name)).count() > 0, name
+        assert read_table(spark, wh.path("analytics", name)).count() > 0, name
     rows = read_task_log(spark, wh.path("meta", "pipeline_task_run")).collect()
     log = {r.task_id: (r.rows_in, r.rows_out) for r in rows}
     assert log["ingest_hr"] == (150, 150) and log["build_clean_employees"] == (150, 141)
     status = {r.task_id: r.status for r in rows}
     assert status.pop("load_commute_checks") == "skipped" and set(status.values()) == {"success"}
     assert all(r.started_ts <= r.ended_ts for r in rows)
-    kpi = spark.read.parquet(wh.path("analytics", "kpi_pipeline_daily"))
+    kpi = read_table(spark, wh.path("analytics", "kpi_pipeline_daily"))
     assert {r.status for r in kpi.select("status").distinct().collect()} == {"failed"}  # the gate's verdict
     res = jobs.commute_fail_pass(spark, wh, fx.LOAD_TS)
     assert res["rule_ok_after_seed"] is False and res["rule_ok_after_repair"] is True
@@ -131,7 +132,7 @@ def test_duplicate_survey_id_stops_the_clean_write(spark, tables_small):
     jobs.ingest_snapshots(spark, wh, fx.hr_sheet(t), sport, later)
     with pytest.raises(ValidationError, match="pk_employees"):
         jobs.build_clean_employees(spark, wh, later)
-    assert spark.read.parquet(wh.path("clean", "employees")).count() == before  # previous table intact
+    assert read_table(spark, wh.path("clean", "employees")).count() == before  # previous table intact
 
 
 def test_cli_on_real_exports(spark, tables_small, capsys):
@@ -145,7 +146,7 @@ def test_cli_on_real_exports(spark, tables_small, capsys):
                "--load-ts", "2024-02-01T00:00:00", "--as-of-year", "2024", "--no-enforce-gate", "--warehouse", f"{d}/wh"])
     out = capsys.readouterr().out
     assert "'benefit_rows': 141" in out
-    emp = spark.read.parquet(f"{d}/wh/clean/employees")
+    emp = read_table(spark, f"{d}/wh/clean/employees")
     # a CSV export cannot tell an empty cell from a missing one: compare with '' read as NULL
     norm = lambda df: [tuple(None if v == "" else v for v in r) for r in df.collect()]
     key = lambda r: tuple((v is None, str(v)) for v in r)
@@ -189,7 +190,7 @@ def test_bad_activities_are_quarantined_with_their_reasons(spark, tables_small):
     emp = jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
     feed = fx.dirty_activities(t)
     acts = jobs.load_activities(spark, wh, jobs.land_activities(spark, wh, feed, fx.LOAD_TS).drop("generated_ts"))
-    bad = spark.read.parquet(wh.path("quarantine", "activities"))
+    bad = read_table(spark, wh.path("quarantine", "activities"))
     known = emp.select("employee_id")
     assert acts.join(known, "employee_id", "left_anti").count() == 0
     assert acts.where("elapsed_s < 0 OR distance_m < 0 OR start_ts IS NULL OR end_ts IS NULL").count() == 0
@@ -198,7 +199,7 @@ def test_bad_activities_are_quarantined_with_their_reasons(spark, tables_small):
     good = feed.count() - bad.count()
     assert acts.count() == acts.select("activity_id").distinct().count() <= good
     assert spark.read.parquet(wh.path("raw", "activities_feed")).count() == feed.count()
-    assert spark.read.parquet(wh.path("quarantine", "employees")).count() == 9
+    assert read_table(spark, wh.path("quarantine", "employees")).count() == 9
 
 
 def test_truncate_cascade_empty_feed_and_lasting_parameters(spark, tables_small):
@@ -231,5 +232,5 @@ def test_oversized_salary_goes_to_quarantine(spark, tables_small):
     jobs.ingest_snapshots(spark, wh, hr, fx.sport_sheet(t), fx.LOAD_TS)
     emp = jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
     assert emp.count() == 140 and emp.where("employee_id = 7").count() == 0
-    bad = spark.read.parquet(wh.path("quarantine", "employees")).where("reject_reason = 'salary_out_of_range'")
+    bad = read_table(spark, wh.path("quarantine", "employees")).where("reject_reason = 'salary_out_of_range'")
     assert [r.employee_id_raw for r in bad.collect()] == ["7"]

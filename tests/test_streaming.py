@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wellspark.operators.clean import clean_activities
 from wellspark.sources import fixtures as fx
+from wellspark.sources.sinks import read_table
 from wellspark.streaming import activity_feed as SF
 
 
@@ -24,7 +25,7 @@ def test_stream_dedup_equals_batch_keys(spark, tables_small):
     stream = SF.read_activity_feed(spark, f"{src}/*", max_files_per_trigger=1)
     q = SF.start_clean_activities(stream, target, checkpoint=tempfile.mkdtemp(prefix="ws-ck-"))
     q.awaitTermination(300)
-    got = spark.read.parquet(target)
+    got = read_table(spark, target)
     want = clean_activities(feed.where("activity_id IS NOT NULL"))
     assert got.count() == want.count()
     assert got.select("activity_id").distinct().count() == got.count()
@@ -32,7 +33,7 @@ def test_stream_dedup_equals_batch_keys(spark, tables_small):
     q2 = SF.start_clean_activities(SF.read_activity_feed(spark, f"{src}/*"), target,
                                    checkpoint=tempfile.mkdtemp(prefix="ws-ck-"))
     q2.awaitTermination(300)
-    assert spark.read.parquet(target).count() == want.count()
+    assert read_table(spark, target).count() == want.count()
 
 
 def test_stream_daily_volume_equals_batch(spark, tables_small):
@@ -55,11 +56,11 @@ def test_restart_from_checkpoint_processes_only_new_files(spark, tables_small):
     first, second = feed.where("activity_id < 500"), feed.where("activity_id >= 500")
     first.coalesce(2).write.parquet(f"{src}/drop=0")
     SF.start_clean_activities(SF.read_activity_feed(spark, f"{src}/*"), target, checkpoint=ckpt).awaitTermination(300)
-    assert spark.read.parquet(target).count() == 500
+    assert read_table(spark, target).count() == 500
     # the query is gone (as after a driver restart); new files arrive; the same checkpoint resumes
     second.coalesce(2).write.parquet(f"{src}/drop=1")
     SF.start_clean_activities(SF.read_activity_feed(spark, f"{src}/*"), target, checkpoint=ckpt).awaitTermination(300)
-    out = spark.read.parquet(target)
+    out = read_table(spark, target)
     assert out.count() == 1000 and out.select("activity_id").distinct().count() == 1000
 
 
@@ -69,7 +70,7 @@ def test_an_id_is_written_once_whatever_its_year_and_retries(spark):
     target = tempfile.mkdtemp(prefix="ws-clean-") + "/activities"
     row = lambda i, y: (i, 1, dt.datetime(y, 1, 1), dt.datetime(y, 1, 1, 1), "running", 1, 1, None)
     frame = lambda *rows: spark.createDataFrame(list(rows), schemas.ACTIVITIES)
-    ids = lambda: sorted((r.activity_id, r.activity_year) for r in spark.read.parquet(target).collect())
+    ids = lambda: sorted((r.activity_id, r.activity_year) for r in read_table(spark, target).collect())
     SF._append_new(frame(), 0, target)  # an empty first batch
     SF._append_new(frame(row(7, 2023), row(8, 2023)), 1, target)
     SF._append_new(frame(row(7, 2024), row(9, 2024)), 2, target)
@@ -88,5 +89,5 @@ def test_daily_volume_table_sink(spark, tables_small):
     target = tempfile.mkdtemp(prefix="ws-daily-") + "/daily"
     SF.start_daily_volume_table(SF.read_activity_feed(spark, f"{src}/*", max_files_per_trigger=1), target,
                                 checkpoint=tempfile.mkdtemp(prefix="ws-ck-")).awaitTermination(300)
-    got = sorted(tuple(r) for r in spark.read.parquet(target).collect())
+    got = sorted(tuple(r) for r in read_table(spark, target).collect())
     assert got == sorted(tuple(r) for r in SF.daily_volume(feed).collect())

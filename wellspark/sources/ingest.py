@@ -115,16 +115,18 @@ def require_non_empty(df: DataFrame, name: str) -> DataFrame:
 def optional_source(spark: SparkSession, path: str) -> DataFrame | None:
     """A missing table is tolerated (``None``) instead of failing the job; an empty one is read as empty.
 
-    A folder without any data file and without a recorded schema holds no table: missing.
+    A folder without a version, any data file and a recorded schema holds no table: missing.
     """
+    from . import versions
     from .sinks import read_schema, read_table, recover
 
     recover(spark, path)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = versions.filesystem(spark, path)
     if not fs.exists(hpath):
         return None
+    current = versions.read(spark, path)
+    if current is not None:
+        return current
     if read_schema(spark, path) is None:
         files = fs.listFiles(hpath, True)
         while files.hasNext():

@@ -1,9 +1,10 @@
-"""Sinks (I5-I7): validated overwrite, cascade handling and staged rebuild.
+"""Sinks (I5-I7): validated overwrite, cascade handling and rebuild.
 
-Writes go to paths (or catalog tables) on shared storage. New content is first
-written to a fresh location next to the target and validated there; only then
-does it replace the target, by directory renames; a catalog entry is then made
-anew over the renamed directory.
+Writes go to paths (or catalog tables) on shared storage. New content is written
+to a data folder of its own and validated there; only then does the table's pointer
+name it (``sources.versions``): no data is renamed, and a reader finds the old
+table or the new one, never none. In the catalog a table is a view over the
+current folder's table, replaced in one statement.
 Writing a table also cuts the lineage, so a lost executor re-reads the written
 files instead of recomputing upstream stages.
 """
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import versions
+
 
 class ValidationError(RuntimeError):
     pass
@@ -41,87 +44,87 @@ def full_refresh(df: DataFrame, path: str, validators: list[Callable[[DataFrame]
                  bucket_by: str | None = None, num_buckets: int = 0) -> DataFrame:
     """Replace the target's content with validated data; returns the written table.
 
-    The data is computed once, into a new location (rows counted while
+    The data is computed once, into a folder of its own (rows counted while
     writing, for the M7 run log via ``on_written``). Validators read those
     written files -- not the upstream plan again -- and any violating row stops
     the job with the target untouched (unlike TRUNCATE-then-INSERT, which can
-    leave it empty); whatever fails, the new location is removed. Then the
-    directory is renamed over the target: no byte is written twice.
+    leave it empty); whatever fails, the new folder is removed. Then one small version
+    file makes the folder the table's content. The version before stays for
+    readers that hold it, older ones go.
 
-    A schema file next to the data makes an empty table readable (a partitioned
-    write of no rows leaves no data files). With ``table`` the target is also a
-    catalog table (needed for ``bucket_by``: tables bucketed alike on a key are
-    joined and grouped without a shuffle): the catalog entry is created anew over
-    the renamed directory, with any catalog.
+    With ``table`` the target is also a catalog table (needed for ``bucket_by``:
+    tables bucketed alike on a key are joined and grouped without a shuffle): a view
+    of that name, replaced as the last step, over a table of the folder.
 
-    Because the target is only touched at the end, the input may read it.
+    Because the target is only touched at the end, the input may read it. A target
+    that was a plain folder before becomes a versioned one; its plain files go.
     """
     spark = df.sparkSession
     recover(spark, path)
-    new_loc = f"{path.rstrip('/')}.__next-{uuid.uuid4().hex[:12]}"
-    temp = f"{table}__next_{uuid.uuid4().hex[:12]}" if table is not None else None
+    folder = versions.new_folder()
+    new_loc = f"{path.rstrip('/')}/{folder}"
+    name = _folder_table(table, folder)
     try:
-        rows = observed_write(df, new_loc, "overwrite", partition_by, fmt, temp, bucket_by, num_buckets)
-        _write_schema(spark, new_loc, df.schema)
-        staged = spark.read.schema(df.schema).format(fmt).load(new_loc)
+        rows = observed_write(df, new_loc, "overwrite", partition_by, fmt, name, bucket_by, num_buckets)
+        staged = versions.read_folders(spark, path, [folder], df.schema, fmt)
         for v in validators:
             bad = v(staged)
             if not bad.isEmpty():
                 sample = [r.asDict() for r in bad.limit(5).collect()]
                 raise ValidationError(f"{getattr(v, '__name__', 'validator')} failed: {sample}")
-        if temp is not None:
-            spark.sql(f"DROP TABLE IF EXISTS {temp}")  # external: the files stay
-        _swap(spark, new_loc, path)
+        after = versions.commit(spark, path, {versions.ROWS: [folder]}, {versions.ROWS: df.schema}, remove=None)
     except BaseException:
-        if temp is not None:
-            spark.sql(f"DROP TABLE IF EXISTS {temp}")
+        if name is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
         delete(spark, new_loc)
         raise
     if table is not None:
-        _register(spark, table, path, df.schema, partition_by, fmt, bucket_by, num_buckets)
-        result = spark.table(table)
-    else:
-        result = read_table(spark, path, fmt)
+        _show(spark, table, name)
+    _drop_plain(spark, path)
+    for gone in versions.vacuum(spark, path):
+        if table is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {_folder_table(table, gone)}")
     if on_written is not None:
         on_written(rows)
-    return result
+    return spark.table(table) if table is not None else versions.read(spark, path, at=after, fmt=fmt)
+
+
+def _folder_table(table: str | None, folder: str) -> str | None:
+    return None if table is None else f"{table}__{folder.replace('-', '_')}"
+
 
+def _show(spark, table: str, folder_table: str) -> None:
+    """Point the catalog name at the table of a folder, in one statement."""
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {table}")  # from before tables had versions
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {folder_table}")
 
-def _register(spark, table: str, path: str, schema: T.StructType, partition_by, fmt: str, bucket_by, num_buckets) -> None:
-    """A catalog entry over files that are already in place."""
-    parts = list(partition_by or [])
-    fields = [f for f in schema.fields if f.name not in parts] + [schema[p] for p in parts]
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    ddl = f"CREATE TABLE {table} ({columns}) USING {fmt}"
-    if parts:
-        ddl += f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})"
-    if bucket_by and num_buckets:
-        ddl += f" CLUSTERED BY (`{bucket_by}`) SORTED BY (`{bucket_by}`) INTO {num_buckets} BUCKETS"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"{ddl} LOCATION '{path}'")
-    if parts:
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+def _drop_plain(spark, path: str) -> None:
+    """Remove what a plain write had left in the root of a table that has versions now."""
+    fs, root = versions.filesystem(spark, path)
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if not name.startswith(versions.DATA) and name != versions.VERSIONS:
+            fs.delete(status.getPath(), True)
 
 
 def _write_schema(spark, path: str, schema: T.StructType) -> None:
-    fs, target = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
-    out = fs.create(target, True)
-    out.write(bytearray(schema.json().encode()))
-    out.close()
+    versions.write_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", schema.json())
 
 
 def read_schema(spark, path: str) -> T.StructType | None:
-    fs, target = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    fs, target = versions.filesystem(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
     if not fs.exists(target):
         return None
-    stream = fs.open(target)
-    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
-    return T.StructType.fromJson(json.loads(text))
+    return T.StructType.fromJson(json.loads(versions.read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")))
 
 
 def read_table(spark, path: str, fmt: str = "parquet") -> DataFrame:
-    """A written table, empty or not: with the schema it was written with, where that is on record."""
+    """A written table, empty or not: its current version, or a plain folder with the schema on record, if any."""
+    current = versions.read(spark, path, fmt=fmt)
+    if current is not None:
+        return current
     schema = read_schema(spark, path)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.format(fmt).load(path)
@@ -175,23 +178,16 @@ def rebuild_table(df: DataFrame, path: str, schema: T.StructType | None = None,
                   validators: list[Callable[[DataFrame], DataFrame]] = (), fmt: str = "parquet",
                   partition_by: list[str] | None = None, table: str | None = None,
                   bucket_by: str | None = None, num_buckets: int = 0) -> DataFrame:
-    """Drop-and-recreate with the declared schema (columns in order, cast), and
-    staged, validated, then renamed in. Between the two renames the target is
-    missing for a moment; a crash just there is repaired by ``recover``."""
+    """Drop-and-recreate with the declared schema (columns in order, cast): written apart,
+    validated, then made current by the pointer. The target is never missing."""
     out = conform(df, schema) if schema is not None else df
     return full_refresh(out, path, validators, partition_by, fmt, table=table, bucket_by=bucket_by,
                         num_buckets=num_buckets)
 
 
-def _fs(spark, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
 def recover(spark, target: str) -> None:
-    """Put the previous version back if a crash between the two renames left no target."""
-    fs, t = _fs(spark, target)
+    """Put back a table that an earlier release, which renamed folders, left aside when it crashed."""
+    fs, t = versions.filesystem(spark, target)
     parent = t.getParent()
     if fs.exists(t) or parent is None or not fs.exists(parent):
         return
@@ -201,23 +197,6 @@ def recover(spark, target: str) -> None:
             return
 
 
-def _swap(spark, staging: str, target: str) -> None:
-    """Replace ``target`` by ``staging``: two directory renames, rolled back on failure."""
-    fs, t = _fs(spark, target)
-    _, st = _fs(spark, staging)
-    backup = _fs(spark, f"{target.rstrip('/')}.__previous-{uuid.uuid4().hex[:12]}")[1]
-    had_target = fs.exists(t)
-    if had_target and not fs.rename(t, backup):
-        raise OSError(f"could not move {target} aside")
-    if not fs.rename(st, t):
-        if had_target:
-            fs.rename(backup, t)
-        raise OSError(f"could not move {staging} to {target}; previous content restored")
-    if had_target:
-        fs.delete(backup, True)
-
-
 def delete(spark, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    fs, target = versions.filesystem(spark, path)
+    fs.delete(target, True)
