@@ -76,7 +76,7 @@ def full_refresh(df: DataFrame, path: str, validators: list[Callable[[DataFrame]
     except BaseException:
         if name is not None:
             spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
-        delete(spark, new_loc)
+        delete(spark, new_loc.rsplit("/", 1)[0])
         raise
     if table is not None:
         _show(spark, table, name)
@@ -90,7 +90,7 @@ def full_refresh(df: DataFrame, path: str, validators: list[Callable[[DataFrame]
 
 
 def _folder_table(table: str | None, folder: str) -> str | None:
-    return None if table is None else f"{table}__{folder.replace('-', '_')}"
+    return None if table is None else f"{table}__v_{folder.split('/')[1].removeprefix('_write=')}"
 
 
 def _show(spark, table: str, folder_table: str) -> None:
@@ -105,7 +105,7 @@ def _drop_plain(spark, path: str) -> None:
     fs, root = versions.filesystem(spark, path)
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        if not name.startswith(versions.DATA) and name != versions.VERSIONS:
+        if name not in (versions.DATA, versions.VERSIONS):
             fs.delete(status.getPath(), True)
 
 
@@ -197,6 +197,11 @@ def recover(spark, target: str) -> None:
             return
 
 
+def exists(spark, path: str) -> bool:
+    fs, target = versions.filesystem(spark, path)
+    return bool(fs.exists(target))
+
+
 def delete(spark, path: str) -> None:
     fs, target = versions.filesystem(spark, path)
     fs.delete(target, True)
