@@ -169,8 +169,12 @@ def employee_section(employees: DataFrame, checks=EMPLOYEE_CHECKS,
                      params: Params = DEFAULT_PARAMS) -> DataFrame:
     """Q1-Q7. Employees are never optional: a missing table is an error, and an empty one
     keeps all its rows in the report, of which Q1 (row count > 0) fails the gate."""
-    m = table_metrics(employees, checks, "employee_id")
-    return _explode(m, [_check_row(c, params, when_empty=None) for c in checks])
+    return employee_rows(table_metrics(employees, checks, "employee_id"), checks, params)
+
+
+def employee_rows(metrics: DataFrame, checks=EMPLOYEE_CHECKS, params: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Report rows of the employees' one-row metrics."""
+    return _explode(metrics, [_check_row(c, params, when_empty=None) for c in checks])
 
 
 def activity_section(activities: DataFrame | None, checks=ACTIVITY_CHECKS,
@@ -178,12 +182,17 @@ def activity_section(activities: DataFrame | None, checks=ACTIVITY_CHECKS,
     """Q8-Q16; SKIP (passing) when the table is empty; ``None`` input = missing table."""
     if activities is None:
         return None
-    m = table_metrics(activities, checks, "activity_id")
+    return activity_rows(table_metrics(activities, checks, "activity_id"), checks, params, with_row_count)
+
+
+def activity_rows(metrics: DataFrame, checks=ACTIVITY_CHECKS, params: Params = DEFAULT_PARAMS,
+                  with_row_count: bool = True) -> DataFrame:
+    """Report rows of the activities' one-row metrics."""
     rows = [_row(ACT_SKIP_ORDER, ACT_SKIP, "TRUE", _sql(ACT_EMPTY), True)]
     if with_row_count:
         rows.append(_row(ACT_ROWS_ORDER, ACT_ROWS_NAME, "TRUE", _detail("row_count", "_rows"), None))
     rows += [_check_row(c, params) for c in checks]
-    return _explode(m, rows)
+    return _explode(metrics, rows)
 
 
 def commute_section(checks_df: DataFrame | None, employees: DataFrame, checks=CHECKS_TABLE_CHECKS,
@@ -197,6 +206,12 @@ def commute_section(checks_df: DataFrame | None, employees: DataFrame, checks=CH
         n_anom = commute_anomalies(checks_df, employees, params).agg(
             F.count(F.lit(1)).alias(RULE_CHECK.key))
         m = _merge_one_row(m, n_anom)
+    return commute_rows(m, checks, with_rule, params, with_row_count)
+
+
+def commute_rows(metrics: DataFrame, checks=CHECKS_TABLE_CHECKS, with_rule: bool = True, params: Params = DEFAULT_PARAMS,
+                 with_row_count: bool = True) -> DataFrame:
+    """Report rows of the one-row metrics of the distance checks and their rule."""
     rows = [_row(CHK_SKIP_ORDER, CHK_SKIP, "TRUE", _sql(CHK_EMPTY), True)]
     if with_rule:
         rows.append(_row(RULE_SKIP_ORDER, RULE_SKIP, "TRUE", _sql(RULE_EMPTY), True))
@@ -205,7 +220,7 @@ def commute_section(checks_df: DataFrame | None, employees: DataFrame, checks=CH
     rows += [_check_row(c, params) for c in checks]
     if with_rule:
         rows.append(_check_row(RULE_CHECK, params))
-    return _explode(m, rows)
+    return _explode(metrics, rows)
 
 
 def _missing_rows(spark, rows) -> DataFrame:
@@ -215,16 +230,20 @@ def _missing_rows(spark, rows) -> DataFrame:
 def quality_report(employees: DataFrame, activities: DataFrame | None,
                    commute_checks: DataFrame | None, params: Params = DEFAULT_PARAMS) -> DataFrame:
     """Q20: every check as a row; missing optional tables become passing SKIP rows."""
-    spark = employees.sparkSession
-    parts = [employee_section(employees, params=params)]
-    act = activity_section(activities, params=params)
-    parts.append(act if act is not None else
-                 _missing_rows(spark, [(ACT_SKIP_ORDER, ACT_SKIP, True, ACT_MISSING)]))
-    chk = commute_section(commute_checks, employees, params=params)
-    parts.append(chk if chk is not None else
-                 _missing_rows(spark, [(CHK_SKIP_ORDER, CHK_SKIP, True, CHK_MISSING),
-                                       (RULE_SKIP_ORDER, RULE_SKIP, True, RULE_MISSING)]))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return assemble_report(employees.sparkSession, employee_section(employees, params=params),
+                           activity_section(activities, params=params),
+                           commute_section(commute_checks, employees, params=params))
+
+
+def assemble_report(spark, employee_part: DataFrame, activity_part: DataFrame | None,
+                    commute_part: DataFrame | None) -> DataFrame:
+    """One report of the tables' rows; a missing optional table is a passing SKIP row."""
+    if activity_part is None:
+        activity_part = _missing_rows(spark, [(ACT_SKIP_ORDER, ACT_SKIP, True, ACT_MISSING)])
+    if commute_part is None:
+        commute_part = _missing_rows(spark, [(CHK_SKIP_ORDER, CHK_SKIP, True, CHK_MISSING),
+                                             (RULE_SKIP_ORDER, RULE_SKIP, True, RULE_MISSING)])
+    return employee_part.unionByName(activity_part).unionByName(commute_part)
 
 
 def single_check(key: str, employees: DataFrame, activities: DataFrame | None = None,
@@ -253,6 +272,19 @@ def quality_gate(report: DataFrame) -> DataFrame:
                       F.count(F.lit(1)).alias("checks"))
 
 
+def gate_passes(employees: DataFrame, activities: DataFrame | None, commute_checks: DataFrame | None,
+                params: Params = DEFAULT_PARAMS) -> bool:
+    """The verdict alone: the tables are checked one after the other, up to the first that fails."""
+    sections = (lambda: employee_section(employees, params=params),
+                lambda: activity_section(activities, params=params),
+                lambda: commute_section(commute_checks, employees, params=params))
+    for section in sections:
+        part = section()
+        if part is not None and not part.where("NOT ok").isEmpty():
+            return False
+    return True
+
+
 def enforce_gate(report: DataFrame) -> bool:
     """Raise when the gate fails (the blocking behaviour).
 

@@ -19,6 +19,7 @@ from ..operators import commute as K
 from ..operators import constraints as V
 from ..operators import marts as M
 from ..operators import quality as Q
+from ..operators.quality_state import QualityState
 from ..operators import reports as R
 from ..session import scratch_path
 from ..sources import fixtures as fx
@@ -162,6 +163,32 @@ def q_quality_report(spark, sf_dir):
     return Q.quality_report(*_dirty(spark, sf_dir))
 
 
+def _absorbed(spark, sf_dir) -> QualityState:
+    """Employees as one load, activities and checks as three loads each (dealt by hash; keys repeat across them)."""
+    e, a, c = _dirty(spark, sf_dir)
+    state = QualityState(spark, scratch_path(spark, "quality-state"))
+    state.absorb_employees(e, 1)
+    for load in range(3):
+        state.absorb_activities(a.where(F.pmod(F.xxhash64("end_ts", "employee_id", "elapsed_s"), F.lit(3)) == load), load)
+        state.absorb_checks(c.where(F.pmod(F.xxhash64("check_id"), F.lit(3)) == load), load)
+    return state
+
+
+@query("quality_report_incremental")
+def q_quality_report_incremental(spark, sf_dir):
+    """The report of all loads, each of which was read once, when it came."""
+    return _absorbed(spark, sf_dir).report(_dirty(spark, sf_dir)[0])
+
+
+@query("pk_violations_across_loads")
+def q_pk_violations_across_loads(spark, sf_dir):
+    a = _dirty(spark, sf_dir)[1]
+    state = QualityState(spark, scratch_path(spark, "quality-state"))
+    for load in range(3):
+        state.absorb_activities(a.where(F.pmod(F.xxhash64("end_ts", "employee_id", "elapsed_s"), F.lit(3)) == load), load)
+    return state.activities.duplicate_keys().withColumnRenamed("key", "activity_id")
+
+
 @query("quality_gate")
 def q_quality_gate(spark, sf_dir):
     return Q.quality_gate(Q.quality_report(*_dirty(spark, sf_dir)))
