@@ -21,6 +21,7 @@ from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators.quality_state import QualityState
 from ..operators import reports as R
+from ..functions.rules import ts_literal
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import ingest as I
@@ -274,12 +275,22 @@ def q_ingest_sport_snapshot(spark, sf_dir):
 
 @query("stamp_snapshot")
 def q_stamp_snapshot(spark, sf_dir):
-    raw = fx.hr_raw(_t(spark, sf_dir))
+    raw = I.number_snapshot(fx.hr_raw(_t(spark, sf_dir)))
     return raw.agg(F.count(F.lit(1)).alias("n_rows"),
                    F.count_distinct("snapshot_id").alias("n_snapshot_ids"),
                    F.count_distinct("ingested_ts").alias("n_loads"))
 
 
+@query("number_snapshot")
+def q_number_snapshot(spark, sf_dir):
+    """Two loads numbered one after the other, as the ingest job does it."""
+    raw = fx.hr_raw(_t(spark, sf_dir))
+    first, second = fx.HR_SNAPSHOT_TS
+    one = I.number_snapshot(raw.where(F.col("ingested_ts") == ts_literal(first)))
+    last = one.agg(F.max("snapshot_id")).first()[0] or 0
+    return one.unionByName(I.number_snapshot(raw.where(F.col("ingested_ts") == ts_literal(second)), after=last))
+
+
 @query("latest_snapshot")
 def q_latest_snapshot(spark, sf_dir):
     return I.latest_snapshot(fx.hr_raw(_t(spark, sf_dir))).drop("snapshot_id")

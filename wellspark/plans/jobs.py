@@ -146,6 +146,9 @@ def ingest_snapshots(spark: SparkSession, wh: Warehouse, hr_sheet: DataFrame, sp
             row = [c for c in df.columns if c not in ("snapshot_id", "ingest_date")]
             seen = existing.where(F.col("ingest_date") == F.lit(load_ts.date())).select(*[F.col(c).alias(f"_{c}") for c in row])
             df = df.join(seen, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in row]), "left_anti")
+        # the next numbers after those in use (a scan of one column)
+        used = None if existing is None else existing.agg(F.max("snapshot_id")).first()[0]
+        df = I.number_snapshot(df, after=used or 0)
         appended[table] = S.append(df, wh.path("raw", table), partition_by=["ingest_date"])
     return appended
 

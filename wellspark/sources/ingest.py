@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import bounded_key
 from ..functions.rules import ts_literal
+from .numbering import number_rows
 
 # Spreadsheet header -> raw column, in sheet order.
 HR_HEADERS = {
@@ -75,8 +76,8 @@ def stamp_snapshot(df: DataFrame, ingested_ts: datetime) -> DataFrame:
 
     The id hashes the load time and the row's content, NULLs included; it is stable
     across re-runs and partitionings. It labels a row and does not identify it:
-    identical rows of one load share an id, and what was loaded before is told
-    by comparing whole rows.
+    identical rows of one load share it until ``number_snapshot`` gives each row its
+    own; what was loaded before is told by comparing whole rows.
     """
     data_cols = [c for c in df.columns]
     ts = ts_literal(ingested_ts)
@@ -87,6 +88,16 @@ def stamp_snapshot(df: DataFrame, ingested_ts: datetime) -> DataFrame:
     )
 
 
+def number_snapshot(raw: DataFrame, after: int = 0) -> DataFrame:
+    """I3 as a declared key: ``snapshot_id`` replaced by a number of its own for every row, from ``after`` + 1 on.
+
+    Rows of a later load get higher numbers; equal rows of a load get different ones.
+    """
+    columns = ["ingested_ts", *[c for c in raw.columns if c not in ("snapshot_id", "ingested_ts")]]
+    numbered = number_rows(raw.select(*columns), "snapshot_id", after)
+    return numbered.select(*raw.columns)
+
+
 def latest_snapshot(raw: DataFrame, ts_col: str = "ingested_ts",
                     partition_col: str | None = None) -> DataFrame:
     """I4: rows of the most recent load only; an empty table gives no rows.
