@@ -8,7 +8,12 @@ import pytest
 from wellspark import schemas
 from wellspark.functions import rules
 from wellspark.operators import constraints as V, quality as Q
-from wellspark.operators.config import Params, config_parameters, config_typed, load_params
+from pyspark.sql import functions as F
+
+from wellspark.operators import marts as M
+from wellspark.operators.config import Params, config_parameters, config_typed, load_params, with_params_at, with_params_of_year
+from wellspark.plans import jobs
+from wellspark.sources import fixtures as fx
 from wellspark.sources import sinks as S
 
 
@@ -89,3 +94,62 @@ def test_not_null_counts_every_declared_column(spark):
     df = spark.createDataFrame([(None, "a"), (1, None), (None, None)], "employee_id bigint, last_name string")
     got = {r.column_name: r.null_count for r in V.not_null_violations(df, ("employee_id", "last_name"), "t").collect()}
     assert got == {"employee_id": 2, "last_name": 2}
+
+
+def _dated(spark, *versions):
+    return _cfg(spark, [("prime_rate", v, "float", None, None, since, until) for v, since, until in versions])
+
+
+def test_facts_get_the_version_of_their_time(spark):
+    """Half-open validity, gaps, NULL times, and two versions in one year."""
+    a, b, c = datetime(2023, 7, 1), datetime(2024, 3, 1), datetime(2024, 9, 1)
+    cfg = _dated(spark, ("0.04", a, b), (" 0.06", c, None))
+    times = [datetime(2023, 6, 30), a, datetime(2024, 2, 29, 23, 59, 59), b, c, datetime(2030, 1, 1), None]
+    facts = spark.createDataFrame(list(enumerate(times)), "i int, ts timestamp_ntz")
+    got = {r.i: str(r.prime_rate) for r in with_params_at(facts, F.col("ts"), cfg, ("prime_rate",)).collect()}
+    assert got == {0: "0.050000", 1: "0.040000", 2: "0.040000", 3: "0.050000", 4: "0.060000", 5: "0.060000", 6: "0.050000"}
+    years = spark.createDataFrame([(y,) for y in (2022, 2023, 2024)], "year int")
+    got = {r.year: str(r.prime_rate) for r in with_params_of_year(years, cfg, ("prime_rate",)).collect()}
+    assert got == {2022: "0.050000", 2023: "0.040000", 2024: "0.060000"}
+    none = with_params_at(facts, F.col("ts"), cfg.limit(0), ("min_activities_year", "company_address")).first()
+    assert (none.min_activities_year, none.company_address) == (15, Params().company_address)
+
+
+def test_the_lookup_joins_nothing(spark, tables_small):
+    facts = fx.activities(tables_small).select("activity_id", "start_ts")
+    out = with_params_at(facts, F.col("start_ts"), fx.parameter_versions(tables_small), ("prime_rate",))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Subqueries")[0]
+    assert "Join" not in plan and "Cartesian" not in plan
+
+
+def test_overlapping_or_unreadable_versions_stop_the_query(spark):
+    t0, t1 = datetime(2024, 1, 1), datetime(2024, 6, 1)
+    facts = spark.createDataFrame([(1, t1)], "i int, ts timestamp_ntz")
+    for cfg, why in ((_dated(spark, ("0.04", t0, None), ("0.05", t1, None)), "more than one valid version"),
+                     (_dated(spark, ("a lot", t0, None)), "no value of its type"), (_dated(spark, ("", t0, None)), "no value")):
+        with pytest.raises(Exception, match=why):
+            with_params_at(facts, F.col("ts"), cfg, ("prime_rate",)).collect()
+    early = facts.withColumn("ts", F.col("ts") - F.expr("interval 1 day"))   # one version only is valid here
+    cfg = _dated(spark, ("0.04", t0, None), ("0.05", t1, None))
+    assert str(with_params_at(early, F.col("ts"), cfg, ("prime_rate",)).first().prime_rate) == "0.040000"
+
+
+def test_the_job_settles_a_year_by_its_own_versions(spark, tables_small):
+    import tempfile
+    t, wh = tables_small, jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
+    jobs.ingest_snapshots(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.LOAD_TS)
+    emp = jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
+    jobs.load_activities(spark, wh, fx.activities(t))
+    S.full_refresh(fx.parameter_versions(t), wh.path("meta", "config_parameters"))
+    rates = {}
+    for year in (2023, 2024):
+        jobs.build_benefits(spark, wh, year, fx.LOAD_TS)
+        bonus = wh.read(spark, "analytics", "fact_sport_bonus")
+        rates[year] = {str(r.prime_rate) for r in bonus.select("prime_rate").distinct().collect()}
+        mine = M.fact_sport_bonus_by_year(emp, [year], fx.LOAD_TS, fx.parameter_versions(t))
+        key = ["employee_id", "year", "prime_rate", "prime_amount", "is_eligible", "eligibility_reason"]
+        assert sorted(map(tuple, bonus.select(key).collect())) == sorted(map(tuple, mine.select(key).collect()))
+    assert rates == {2023: {"0.0550"}, 2024: {"0.0600"}}
+    wellness = wh.read(spark, "analytics", "fact_wellness_days").select("year", "min_required", "max_days").distinct().collect()
+    assert {(r.min_required, r.max_days) for r in wellness if r.year == 2024} == {(3, 6)}
+    assert {(r.min_required, r.max_days) for r in wellness if r.year == 2023} <= {(2, 4)}

@@ -1,4 +1,4 @@
-"""Business parameters (P1, P2): typed key/value rows with a validity interval.
+"""Business parameters (P1, P2): typed key/value rows with a validity interval, at one time or by date.
 
 The parameter table is tiny and bounded by its primary key (one row per known
 name), so reading it into a small Python object on the driver is safe; the
@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -84,3 +84,53 @@ def load_params(typed: DataFrame) -> Params:
         elif r.value_text is not None:
             values[r.param_name] = r.value_text
     return Params(**values)
+
+
+# ---------------------------------------------------------------------------
+# Parameters by date: every fact under the version that was valid at its time
+# ---------------------------------------------------------------------------
+_SQL_TYPES = {"prime_rate": "decimal(18,6)", "company_address": "string"}
+
+
+def _default(name: str):
+    value = getattr(Params(), name)
+    return F.lit(value).cast(_SQL_TYPES.get(name, "int"))
+
+
+def with_params_at(facts: DataFrame, at: Column, config: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """As-of join: ``facts`` plus, per name, the value of the version valid at ``at``.
+
+    Versions are few (a parameter changes now and then), facts are many: the versions
+    become one row of arrays, read once as a scalar subquery, and every fact looks its
+    own up -- no shuffle, no nested-loop join, whatever the number of facts. A version
+    holds in [effective_from, effective_to), an open end is NULL. Without a valid version
+    (or ``at``) the default holds; two valid versions, or a text that is not of its
+    type, stop the query.
+    """
+    value = F.coalesce(F.col("param_value_text"), F.lit(""))
+    every = {}
+    for n in names:
+        typed = value if _SQL_TYPES.get(n) == "string" else F.trim(value).try_cast(_SQL_TYPES.get(n, "int"))
+        version = F.struct("effective_from", "effective_to", typed.alias("value"))
+        every[n] = F.collect_list(F.when(F.col("param_name") == n, version))
+    table = config.agg(F.struct(*[c.alias(n) for n, c in every.items()]).alias("versions")).scalar()
+    out = facts.withColumn("__at", at.cast(config.schema["effective_from"].dataType)).withColumn("__versions", table)
+    for n in names:
+        valid = F.filter(F.col(f"__versions.{n}"), lambda v: (v.effective_from <= F.col("__at"))
+                         & (v.effective_to.isNull() | (F.col("__at") < v.effective_to)))
+        found = F.get(valid, F.lit(0))
+        out = out.withColumn(n, F.when(F.size(valid) > 1, F.raise_error(F.lit(f"more than one valid version of {n}")))
+                             .when(F.size(valid) < 1, _default(n))
+                             .when(found["value"].isNull(), F.raise_error(F.lit(f"parameter {n} has no value of its type")))
+                             .otherwise(found["value"]))
+    return out.drop("__at", "__versions")
+
+
+def end_of_year(year: Column) -> Column:
+    """The last instant of a calendar year: what a year earns is settled by the parameters valid then."""
+    return F.make_timestamp_ntz(year, F.lit(12), F.lit(31), F.lit(23), F.lit(59), F.lit(59.999999))
+
+
+def with_params_of_year(facts: DataFrame, config: DataFrame, names: tuple[str, ...], year: str = "year") -> DataFrame:
+    """``with_params_at`` the end of each fact's year."""
+    return with_params_at(facts, end_of_year(F.col(year)), config, names)

@@ -19,7 +19,7 @@ from ..functions import rules
 from ..functions.rules import ts_literal
 from .benefits import DEFAULT_PARAMS, rules_applied
 from .commute import commute_anomalies
-from .config import Params
+from .config import Params, with_params_of_year
 
 
 def dim_employee(employees: DataFrame) -> DataFrame:
@@ -57,13 +57,35 @@ def fact_sport_bonus(employees: DataFrame, activities: DataFrame, as_of_year: in
     )
 
 
+def fact_sport_bonus_by_year(employees: DataFrame, years: list[int], computed_ts: datetime, config: DataFrame) -> DataFrame:
+    """M3 for several years at once, each at the rate valid at its end (P2 by date).
+
+    One row per employee and year: the bonus depends on no activity, so this is a
+    projection of the employees, with no join but the parameters' as-of lookup.
+    """
+    e = employees.select("employee_id", "commute_mode", "is_active",
+                         F.coalesce(F.col("gross_salary"), F.lit(0)).cast("decimal(12,2)").alias("gross_salary"),
+                         F.explode(F.array(*[F.lit(y) for y in years])).alias("year"))
+    e = with_params_of_year(e, config, ("prime_rate",))
+    active, sporty = F.coalesce(F.col("is_active"), F.lit(False)), rules.commute_eligible(F.col("commute_mode"))
+    reason = (F.when(~active, F.lit("inactive")).when(~sporty, F.lit("commute_not_sporty"))
+              .when(F.col("gross_salary") <= 0, F.lit("salary_not_positive")).otherwise(F.lit("eligible")))
+    e = e.withColumn("eligibility_reason", reason)
+    amount = F.round(F.col("gross_salary") * F.col("prime_rate"), 2)
+    amount = F.when(F.col("eligibility_reason") == "eligible", amount).otherwise(F.lit(0)).cast("decimal(12,2)")
+    return e.select("employee_id", "year", "gross_salary", F.col("prime_rate").cast("decimal(6,4)").alias("prime_rate"),
+                    amount.alias("prime_amount"), (amount > 0).alias("is_eligible"), "eligibility_reason",
+                    ts_literal(computed_ts).alias("computed_ts"))
+
+
 def fact_wellness_days(employees: DataFrame, activities: DataFrame, computed_ts: datetime,
-                       params: Params = DEFAULT_PARAMS) -> DataFrame:
+                       params: Params = DEFAULT_PARAMS, config: DataFrame | None = None) -> DataFrame:
     """M4: valid sport activities per (employee, calendar year) and the days granted.
 
     Every year in which an existing employee has an activity gets a row;
     granted = the cap when the count reaches the minimum, else 0 (activity rule
-    only -- the active flag is applied in ``employee_benefits``).
+    only -- the active flag is applied in ``employee_benefits``). With ``config``, the
+    parameter table, every year is judged by the versions valid at its end.
     """
     valid = rules.valid_sport_activity(F.col("sport_type"), F.col("distance_m"), F.col("elapsed_s"))
     counts = (activities.where(F.col("start_ts").isNotNull() & F.col("employee_id").isNotNull())
@@ -71,12 +93,17 @@ def fact_wellness_days(employees: DataFrame, activities: DataFrame, computed_ts:
               .agg(F.count_if(valid).cast("int").alias("activities_count")))
     known = employees.select("employee_id")
     counts = counts.join(known, "employee_id", "left_semi")
-    ok = F.col("activities_count") >= F.lit(params.min_activities_year)
+    names = ("min_activities_year", "max_wellbeing_days")
+    if config is None:
+        counts = counts.withColumns({n: F.lit(getattr(params, n)) for n in names})
+    else:
+        counts = with_params_of_year(counts, config, names)
+    ok = F.col("activities_count") >= F.col("min_activities_year")
     return counts.select(
         "employee_id", "year", "activities_count",
-        F.lit(params.min_activities_year).alias("min_required"),
-        F.lit(params.max_wellbeing_days).alias("max_days"),
-        F.when(ok, F.lit(params.max_wellbeing_days)).otherwise(F.lit(0)).alias("days_granted"),
+        F.col("min_activities_year").alias("min_required"),
+        F.col("max_wellbeing_days").alias("max_days"),
+        F.when(ok, F.col("max_wellbeing_days")).otherwise(F.lit(0)).alias("days_granted"),
         ok.alias("is_eligible"),
         ts_literal(computed_ts).alias("computed_ts"),
     )

@@ -21,6 +21,7 @@ from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators.quality_state import QualityState
 from ..operators import reports as R
+from ..operators.config import with_params_at
 from ..functions.rules import ts_literal
 from ..session import scratch_path
 from ..sources import fixtures as fx
@@ -425,6 +426,28 @@ def q_fact_wellness_days(spark, sf_dir):
     return M.fact_wellness_days(fx.employees(t), fx.activities(t), fx.LOAD_TS)
 
 
+@query("fact_sport_bonus_by_year")
+def q_fact_sport_bonus_by_year(spark, sf_dir):
+    """Several years, each at its own rate."""
+    t = _t(spark, sf_dir)
+    return M.fact_sport_bonus_by_year(fx.employees(t), list(fx.FACT_YEARS), fx.LOAD_TS, fx.parameter_versions(t))
+
+
+@query("fact_wellness_days_by_year")
+def q_fact_wellness_days_by_year(spark, sf_dir):
+    """Each year's counts under the year's own minimum and days."""
+    t = _t(spark, sf_dir)
+    return M.fact_wellness_days(fx.employees(t), fx.activities(t), fx.LOAD_TS, config=fx.parameter_versions(t))
+
+
+@query("activity_parameters")
+def q_activity_parameters(spark, sf_dir):
+    """Every activity with the parameters valid at its start."""
+    t = _t(spark, sf_dir)
+    names = ("prime_rate", "min_activities_year", "max_wellbeing_days")
+    return with_params_at(fx.activities(t).select("activity_id", "start_ts"), F.col("start_ts"), fx.parameter_versions(t), names)
+
+
 @query("fact_declaration_anomalies")
 def q_fact_declaration_anomalies(spark, sf_dir):
     t = _t(spark, sf_dir)

@@ -231,9 +231,18 @@ def quality_gate(spark: SparkSession, wh: Warehouse, params: Params = Params(),
 
 def build_benefits(spark: SparkSession, wh: Warehouse, as_of_year: int, computed_ts: datetime,
                    params: Params = Params(), on_written=None) -> DataFrame:
-    """Entry 4: analytics.employee_benefits (rebuilt) and the marts built on the same inputs."""
+    """Entry 4: analytics.employee_benefits (rebuilt) and the marts built on the same inputs.
+
+    Where there is a parameter table, every year is settled by the rate, minimum and days
+    valid at its end; ``params`` gives the rest.
+    """
     emp = wh.read(spark, "clean", "employees")
     acts = wh.read(spark, "clean", "activities")
+    config = wh.read(spark, "meta", "config_parameters")
+    if config is not None:
+        settled = load_params(config_typed(config, datetime(as_of_year, 12, 31, 23, 59, 59, 999999)))
+        params = replace(params, prime_rate=settled.prime_rate, min_activities_year=settled.min_activities_year,
+                         max_wellbeing_days=settled.max_wellbeing_days)
     benefits = B.employee_benefits(emp, acts, as_of_year, computed_ts, params)
     out = _write(wh, "analytics", "employee_benefits", benefits, [_pk("employee_benefits"), _not_null("employee_benefits")],
                  on_written=on_written)
@@ -242,7 +251,7 @@ def build_benefits(spark: SparkSession, wh: Warehouse, as_of_year: int, computed
     _write(wh, "analytics", "fact_activity", facts, [_pk("fact_activity"), _fk("fact_activity", dim)], ["activity_year"])
     _write(wh, "analytics", "fact_sport_bonus", M.fact_sport_bonus(emp, acts, as_of_year, computed_ts, params),
            [_pk("fact_sport_bonus"), _fk("fact_sport_bonus", dim)])
-    _write(wh, "analytics", "fact_wellness_days", M.fact_wellness_days(emp, acts, computed_ts, params),
+    _write(wh, "analytics", "fact_wellness_days", M.fact_wellness_days(emp, acts, computed_ts, params, config),
            [_pk("fact_wellness_days"), _fk("fact_wellness_days", dim)])
     checks = wh.read(spark, "raw", "commute_distance_checks")
     if checks is not None:

@@ -24,6 +24,17 @@ HR_SNAPSHOT_TS = (datetime(2024, 1, 1), datetime(2024, 2, 1))
 SPORT_SNAPSHOT_TS = datetime(2024, 2, 1)
 COMMUTE_MODES_BY_MOD10 = ("Marche", "Running", "Vélo", "velo electrique", "Trottinette",
                           "Voiture", "course a pied", "  ", "Marche/running", None)
+# Parameter versions (name, text, type, from, to): each changes within 2024, the rate within 2023, too.
+PARAMETER_VERSIONS = (
+    ("prime_rate", "0.04", "float", datetime(2022, 1, 1), datetime(2023, 7, 1)),
+    ("prime_rate", "0.055", "float", datetime(2023, 7, 1), datetime(2024, 3, 1)),
+    ("prime_rate", " 0.06 ", "float", datetime(2024, 3, 1), None),
+    ("min_activities_year", "2", "int", datetime(2022, 1, 1), datetime(2024, 1, 1)),
+    ("min_activities_year", "3", "int", datetime(2024, 1, 1), None),
+    ("max_wellbeing_days", "4", "int", datetime(2023, 1, 1), datetime(2024, 6, 1)),
+    ("max_wellbeing_days", "6", "int", datetime(2024, 6, 1), None),
+)
+FACT_YEARS = (2021, 2022, 2023, 2024)     # no version is valid in 2021: the defaults are
 SPORT_PROFILE_BY_MOD4 = ("Running", "Natation", None, "Tennis")
 SPORT_TYPE_BY_EVENT = {"click": "Running", "view": "walking", "purchase": "CYCLING",
                        "error": "yoga"}
@@ -143,6 +154,13 @@ def commute_checks(t: Tables) -> DataFrame:
     )
 
 
+def parameter_versions(t: Tables) -> DataFrame:
+    """The versions above as a parameter table."""
+    from .. import schemas
+    rows = [(n, v, kind, None, None, since, until) for n, v, kind, since, until in PARAMETER_VERSIONS]
+    return t.spark.createDataFrame(rows, schemas.CONFIG_PARAMETERS)
+
+
 @memo
 def hr_sheet(t: Tables, only_mod5: bool = False) -> DataFrame:
     """B.4 HR spreadsheet contents with its original (French) headers, all text."""
