@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.rules import ts_literal, year_bounds
+from ..sources.salting import PLACE, SALTED
 from .config import Params
 
 DEFAULT_PARAMS = Params()
@@ -33,7 +34,7 @@ def as_of_year_activities(activities: DataFrame, as_of_year: int) -> DataFrame:
 
 
 def activity_year_counts(activities: DataFrame, as_of_year: int,
-                         prefilter: bool = False) -> DataFrame:
+                         prefilter: bool = False, by_place: bool = False) -> DataFrame:
     """B1: per employee, activities of the year and valid sport activities of the year.
 
     With ``prefilter=False`` every employee that has any activity gets a row
@@ -50,16 +51,43 @@ def activity_year_counts(activities: DataFrame, as_of_year: int,
         src = activities.where(in_year)
         if "activity_year" in activities.columns:  # year-partitioned table: read one partition
             src = src.where(F.col("activity_year") == F.lit(as_of_year))
-    return src.groupBy("employee_id").agg(
+    keys = (PLACE, SALTED, "employee_id") if by_place else ("employee_id",)
+    return src.groupBy(*keys).agg(
         F.count_if(in_year).alias("nb_activities_year"),
         F.count_if(valid).alias("nb_sport_activities_year"),
     )
 
 
-def benefits_base(employees: DataFrame, counts: DataFrame, extra_cols=()) -> DataFrame:
-    """B2: employees LEFT JOIN yearly counts; employees without activity get 0."""
+def year_counts_by_place(activities: DataFrame, as_of_year: int) -> tuple[DataFrame, DataFrame]:
+    """B1 on activities bucketed by place: counts of ordinary and of hot employees.
+
+    Both are grouped inside the buckets. An ordinary employee's count is whole then, and
+    ``place`` is the employee's id; a hot one's is in as many rows as it has places,
+    and only those few rows are shuffled to be added up.
+    """
+    counts = activity_year_counts(activities, as_of_year, prefilter=True, by_place=True)
+    ordinary = counts.where(~F.col(SALTED)).drop(SALTED, "employee_id")
+    hot = (counts.where(SALTED).groupBy("employee_id")
+           .agg(*[F.sum(c).alias(c) for c in ("nb_activities_year", "nb_sport_activities_year")]))
+    return ordinary, hot
+
+
+def benefits_base(employees: DataFrame, counts: DataFrame | tuple[DataFrame, DataFrame], extra_cols=()) -> DataFrame:
+    """B2: employees LEFT JOIN yearly counts; employees without activity get 0.
+
+    ``counts`` may be those of ``year_counts_by_place``: the ordinary ones meet the
+    employees bucket by bucket, the hot ones (a row per hot employee, of whom there are
+    no more than rows / ``salt_above``) are broadcast.
+    """
     cols = ["employee_id", "commute_mode", "sport_profile", "gross_salary", "is_active", *extra_cols]
     e = employees.select(*cols)
+    if isinstance(counts, tuple):
+        ordinary, hot = counts
+        both = ("nb_activities_year", "nb_sport_activities_year")
+        hot = hot.select(F.col("employee_id").alias("_hot"), *[F.col(c).alias(f"_{c}") for c in both])
+        joined = (e.join(ordinary, e["employee_id"] == ordinary[PLACE], "left")
+                  .join(F.broadcast(hot), F.col("employee_id") == F.col("_hot"), "left"))
+        return joined.select(*cols, *[F.coalesce(F.col(c), F.col(f"_{c}"), F.lit(0)).cast("int").alias(c) for c in both])
     return e.join(counts, "employee_id", "left").select(
         *cols,
         F.coalesce(F.col("nb_activities_year"), F.lit(0)).cast("int").alias("nb_activities_year"),
@@ -111,7 +139,10 @@ def with_eligibility_status(df: DataFrame) -> DataFrame:
 def rules_applied(employees: DataFrame, activities: DataFrame, as_of_year: int,
                   params: Params = DEFAULT_PARAMS, extra_cols=()) -> DataFrame:
     """B2-B7 chained (the CTE chain before projection); ``extra_cols`` ride along from employees."""
-    counts = activity_year_counts(activities, as_of_year, prefilter=True)
+    if PLACE in activities.columns:
+        counts = year_counts_by_place(activities, as_of_year)
+    else:
+        counts = activity_year_counts(activities, as_of_year, prefilter=True)
     df = benefits_base(employees, counts, extra_cols)
     df = with_commute_eligible(df)
     df = with_wellness_eligible(df, params)

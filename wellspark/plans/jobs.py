@@ -41,6 +41,7 @@ from ..functions.rules import ts_literal
 from ..session import scratch_path, shared_dir
 from ..sources import ingest as I
 from ..sources import sinks as S
+from ..sources.salting import PLACE, SALTED, with_place
 from .runlog import RunLog, utc_run_id
 
 DAG_ID = "wellspark_daily"
@@ -57,11 +58,14 @@ class Warehouse:
 
     With ``database`` set, written tables are also registered in the Spark
     catalog as external tables, and with ``buckets`` > 0 the employee-keyed
-    tables are bucketed by ``employee_id`` into that many buckets.
+    tables are bucketed by ``employee_id`` into that many buckets. With ``salt_above``
+    an employee with more activities than that is spread over several buckets
+    (``sources.salting``).
     """
     root: str
     database: str | None = None
     buckets: int = 0
+    salt_above: int = 0
 
     def path(self, zone: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{zone}/{table}"
@@ -82,7 +86,8 @@ class Warehouse:
             return {}
         out = {"table": name}
         if self.buckets and (zone, table) in EMPLOYEE_KEYED:
-            out.update(bucket_by="employee_id", num_buckets=self.buckets)
+            salted = self.salt_above and (zone, table) == ("clean", "activities")
+            out.update(bucket_by=PLACE if salted else "employee_id", num_buckets=self.buckets)
         return out
 
     def prepare(self, spark: SparkSession) -> None:
@@ -123,12 +128,20 @@ def _write(wh: Warehouse, zone: str, table: str, df: DataFrame, validators=(), p
     """Replace a zone table: conformed to its declared schema (partition columns ride along), validated, swapped in."""
     schema = schemas.TABLES.get((zone, table))
     if schema is not None:
-        extra = [c for c in partition_by or () if c not in schema.fieldNames()]
+        extra = [c for c in (PLACE, *(partition_by or ())) if c not in schema.fieldNames() and c in df.columns]
         df = S.conform(df, T.StructType([*schema.fields, *[df.schema[c] for c in extra]]))
     return S.full_refresh(df, wh.path(zone, table), list(validators), partition_by=partition_by,
                           on_written=on_written, **wh.sink(zone, table))
 
 
+def _write_activities(wh: Warehouse, acts: DataFrame, validators=(), on_written=None) -> DataFrame:
+    """Clean activities by year, and by place where the warehouse spreads hot employees."""
+    if not (wh.salt_above and wh.buckets):
+        return _write(wh, "clean", "activities", acts, validators, ["activity_year"], on_written)
+    acts = with_place(acts.drop(PLACE, SALTED), "employee_id", wh.salt_above, F.col("activity_id"))
+    return _write(wh, "clean", "activities", acts, validators, ["activity_year", SALTED], on_written)
+
+
 def ingest_snapshots(spark: SparkSession, wh: Warehouse, hr_sheet: DataFrame, sport_sheet: DataFrame,
                      load_ts: datetime) -> dict[str, int]:
     """Entry 1a: append one load of each spreadsheet to the raw zone; returns the rows appended.
@@ -185,7 +198,7 @@ def build_clean_employees(spark: SparkSession, wh: Warehouse, load_ts: datetime,
                      [_pk("employees"), _not_null("employees")], on_written=on_written)
     acts = wh.read(spark, "clean", "activities")
     if acts is not None:
-        _write(wh, "clean", "activities", S.cascade_refresh(acts, written, mode=cascade), partition_by=["activity_year"])
+        _write_activities(wh, S.cascade_refresh(acts, written, mode=cascade))
     validation = wh.read(spark, "clean", "commute_validation")
     if validation is not None:
         _write(wh, "clean", "commute_validation", S.cascade_refresh(validation, written, mode=cascade))
@@ -209,7 +222,7 @@ def load_activities(spark: SparkSession, wh: Warehouse, feed: DataFrame, on_writ
     S.full_refresh(judged.where(F.size("reject_reasons") > 0), wh.path("quarantine", "activities"),
                    **wh.sink("quarantine", "activities"))
     acts = C.clean_activities(judged.where(F.size("reject_reasons") == 0)).withColumn("activity_year", F.year("start_ts"))
-    out = _write(wh, "clean", "activities", acts, [_pk("activities")], ["activity_year"], on_written)
+    out = _write_activities(wh, acts, [_pk("activities")], on_written)
     S.delete(spark, scratch)
     return out
 
@@ -393,13 +406,15 @@ def main(argv=None) -> None:
     ap.add_argument("--no-enforce-gate", action="store_true", help="go on although the quality gate fails")
     ap.add_argument("--database", default=None, help="register zone tables in this catalog database")
     ap.add_argument("--buckets", type=int, default=0, help="bucket employee-keyed tables (needs --database)")
+    ap.add_argument("--salt-above", type=int, default=0,
+                    help="spread an employee with more activities than this over several buckets (needs --buckets)")
     ap.add_argument("--min-activities-rows", type=int, default=None,
                     help="volume threshold of the activity gate (default 2000)")
     a = ap.parse_args(argv)
     if bool(a.sf_dir) == bool(a.hr_csv):
         ap.error("give either --sf-dir or --hr-csv/--sport-csv/--activities")
     spark = local_session(a.cores)
-    wh = Warehouse(a.warehouse or f"{shared_dir(spark).rstrip('/')}/warehouse", a.database, a.buckets)
+    wh = Warehouse(a.warehouse or f"{shared_dir(spark).rstrip('/')}/warehouse", a.database, a.buckets, a.salt_above)
     load_ts = datetime.fromisoformat(a.load_ts) if a.load_ts else fx.LOAD_TS
     as_of_year = a.as_of_year or fx.AS_OF_YEAR
     if a.sf_dir:
