@@ -62,7 +62,7 @@ def test_reports_run_log_and_fail_pass(spark, tables_small):
         assert read_table(spark, wh.path("analytics", name)).count() > 0, name
     rows = read_task_log(spark, wh.path("meta", "pipeline_task_run")).collect()
     log = {r.task_id: (r.rows_in, r.rows_out) for r in rows}
-    assert log["ingest_hr"] == (150, 150) and log["build_clean_employees"] == (150, 141)
+    assert log["ingest_hr"] == log["ingest_sport"] == (150, 150) and log["build_clean_employees"] == (150, 141)
     status = {r.task_id: r.status for r in rows}
     assert status.pop("load_commute_checks") == "skipped" and set(status.values()) == {"success"}
     assert all(r.started_ts <= r.ended_ts for r in rows)
@@ -234,3 +234,37 @@ def test_oversized_salary_goes_to_quarantine(spark, tables_small):
     assert emp.count() == 140 and emp.where("employee_id = 7").count() == 0
     bad = read_table(spark, wh.path("quarantine", "employees")).where("reject_reason = 'salary_out_of_range'")
     assert [r.employee_id_raw for r in bad.collect()] == ["7"]
+
+
+def test_checks_are_judged_before_they_are_written(spark, tables_small):
+    import pytest
+    from pyspark.sql import functions as F
+    from wellspark.sources.sinks import ValidationError
+    wh, t = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-")), tables_small
+    dirty = fx.dirty_commute_checks(t)
+    out = jobs.load_commute_checks(spark, wh, dirty)
+    bad = wh.read(spark, "quarantine", "commute_distance_checks")
+    missing = "employee_id IS NULL OR commute_mode IS NULL"
+    assert out.where(missing).count() == 0 and out.count() + bad.count() == dirty.count()
+    assert bad.count() == dirty.where(missing).count() > 0
+    assert {r[0] for r in bad.select(F.explode("reject_reasons")).distinct().collect()} == {"null_employee_id", "null_commute_mode"}
+    with pytest.raises(ValidationError, match="pk_commute_distance_checks"):
+        jobs.load_commute_checks(spark, wh, dirty.withColumn("check_id", F.lit(1)))
+    assert wh.read(spark, "raw", "commute_distance_checks").count() == out.count()
+
+
+def test_a_stream_takes_over_the_loaded_activities(spark, tables_small):
+    from wellspark.streaming import activity_feed as SF
+    wh, t = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-")), tables_small
+    jobs.ingest_snapshots(spark, wh, fx.hr_sheet(t), fx.sport_sheet(t), fx.LOAD_TS)
+    jobs.build_clean_employees(spark, wh, fx.LOAD_TS)
+    feed, src = fx.dirty_activities(t), tempfile.mkdtemp(prefix="ws-feed-")
+    jobs.load_activities(spark, wh, feed.where("activity_id < 500"))
+    feed.where("activity_id >= 400 OR activity_id IS NULL").write.parquet(f"{src}/drop=0")
+    jobs.follow_activities(spark, wh, SF.read_activity_feed(spark, f"{src}/*"), tempfile.mkdtemp(prefix="ws-ck-")).awaitTermination(300)
+    streamed = sorted(r.activity_id for r in wh.read(spark, "clean", "activities").collect())
+    at_once = jobs.Warehouse(tempfile.mkdtemp(prefix="ws-wh-"))
+    jobs.ingest_snapshots(spark, at_once, fx.hr_sheet(t), fx.sport_sheet(t), fx.LOAD_TS)
+    jobs.build_clean_employees(spark, at_once, fx.LOAD_TS)
+    assert streamed == sorted(r.activity_id for r in jobs.load_activities(spark, at_once, feed).collect())
+    jobs.build_benefits(spark, wh, fx.AS_OF_YEAR, fx.LOAD_TS)   # reads the streamed table like any other

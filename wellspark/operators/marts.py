@@ -146,16 +146,15 @@ def kpi_pipeline_daily(hr_raw: DataFrame, sport_raw: DataFrame, activities: Data
          .otherwise(F.lit("failed")).alias("status"))
 
 
-def run_log(run_id: int, dag_id: str, tasks: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
-    """M7: one row per task with the rows it read and wrote (global counts, no driver loop)."""
-    rows = []
-    for task_id, src, out in tasks:
-        n_in = src.agg(F.count(F.lit(1)).alias("rows_in"))
-        n_out = out.agg(F.count(F.lit(1)).alias("rows_out"))
-        both = n_in.unionByName(n_out, allowMissingColumns=True).agg(
-            F.max("rows_in").alias("rows_in"), F.max("rows_out").alias("rows_out"))
-        rows.append(both.select(
-            F.lit(run_id).cast("bigint").alias("run_id"), F.lit(dag_id).alias("dag_id"),
-            F.lit(task_id).alias("task_id"), F.lit("success").alias("status"),
-            "rows_in", "rows_out", F.lit(None).cast("string").alias("error_message")))
-    return reduce(lambda a, b: a.unionByName(b), rows)
+def run_log(runs: DataFrame, tasks: DataFrame) -> DataFrame:
+    """M7: the tasks of every run as they were written while it went on, with the run's own outcome.
+
+    ``runs`` and ``tasks`` are the log's tables (``plans.runlog``). A failed task shows the kind of
+    its error, a task that was not reached the reason.
+    """
+    run = runs.select("run_id", F.col("status").alias("run_status"), F.col("started_ts").alias("run_started_ts"),
+                      F.col("ended_ts").alias("run_ended_ts"))
+    return tasks.join(run, "run_id", "left").select(
+        "run_id", "run_status", "dag_id", "task_id", "status", "started_ts", "ended_ts", "rows_in", "rows_out",
+        F.timestamp_diff("SECOND", F.col("started_ts"), F.col("ended_ts")).alias("seconds"),
+        F.regexp_extract("error_message", "^[^:]*", 0).alias("error_kind"), "run_started_ts", "run_ended_ts")

@@ -7,7 +7,9 @@ limit is the operator itself (the top-5 report, the 15-row mock seed).
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,7 @@ from ..sources import fixtures as fx
 from ..sources import ingest as I
 from ..sources import sinks as S
 from ..sources.tables import Tables
+from .runlog import RunLog, read_run_log, read_task_log
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -260,6 +263,22 @@ def q_not_null_violations(spark, sf_dir):
                                  "clean.employees")
 
 
+@query("rejected_checks")
+def q_rejected_checks(spark, sf_dir):
+    """Distance checks that the declared NOT NULLs keep out, with every reason."""
+    judged = V.reject_reasons(fx.dirty_commute_checks(_t(spark, sf_dir)), schemas.NOT_NULL["commute_checks"], {})
+    return judged.select("check_id", F.explode("reject_reasons").alias("reject_reason"))
+
+
+@query("rejected_activities")
+def q_rejected_activities(spark, sf_dir):
+    """Activities that a NOT NULL, a CHECK or the employees keep out, in the batch and in the stream alike."""
+    t = _t(spark, sf_dir)
+    judged = V.reject_reasons(fx.dirty_activities(t), schemas.NOT_NULL["activities"], schemas.CHECKS["activities"],
+                              fx.employees(t), "employee_id")
+    return judged.select("activity_id", F.explode("reject_reasons").alias("reject_reason"))
+
+
 # ---------------------------------------------------------------------------
 # Ingest and sinks
 # ---------------------------------------------------------------------------
@@ -461,23 +480,45 @@ KPI_DAG_ID = "wellspark_daily"
 def q_kpi_pipeline_daily(spark, sf_dir):
     t = _t(spark, sf_dir)
     anomalies = K.commute_anomalies(fx.commute_checks(t), fx.employees(t))
-    gate = Q.quality_gate(Q.quality_report(fx.employees(t), fx.activities(t), fx.commute_checks(t)))
+    gate = Q.gate_passes(fx.employees(t), fx.activities(t), fx.commute_checks(t))
     return M.kpi_pipeline_daily(fx.hr_raw(t), fx.sport_raw(t), fx.activities(t), anomalies, KPI_DAG_ID, gate)
 
 
+RUN_TASKS = ("ingest_hr", "ingest_sport", "build_clean_employees", "load_activities", "load_commute_checks",
+             "check_raw_employees", "build_benefits")
+
+
 @query("run_log")
 def q_run_log(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    hr_sheet = fx.hr_sheet(t)
-    hr_latest = I.latest_snapshot(fx.hr_raw(t))
-    tasks = [
-        ("ingest_hr", hr_sheet, I.ingest_hr_snapshot(hr_sheet, fx.HR_SNAPSHOT_TS[1])),
-        ("clean_employees", hr_latest, _clean_employees(t)),
-        ("clean_activities", fx.dirty_activities(t), C.clean_activities(fx.dirty_activities(t))),
-        ("employee_benefits", fx.employees(t),
-         B.employee_benefits(fx.employees(t), fx.activities(t), fx.AS_OF_YEAR, fx.LOAD_TS)),
-    ]
-    return M.run_log(1, KPI_DAG_ID, tasks)
+    """A run on a clock of its own (a minute between readings): tasks that succeed, one that is skipped,
+    one that fails on its validator, one that is not reached; rows counted by the writes."""
+    t, root = _t(spark, sf_dir), scratch_path(spark, "run-log")
+    ticks = itertools.count()
+    log = RunLog(spark, f"{root}/runs", f"{root}/tasks", 1, KPI_DAG_ID, RUN_TASKS,
+                 clock=lambda: fx.LOAD_TS + timedelta(minutes=next(ticks)))
+    pk = lambda df: V.pk_violations(df, schemas.PRIMARY_KEYS["employees"])
+    try:
+        with log:
+            with log.task("ingest_hr") as task:
+                raw = I.ingest_hr_snapshot(task.reads(fx.hr_sheet(t)), fx.HR_SNAPSHOT_TS[1])
+                S.full_refresh(raw, f"{root}/hr", on_written=task.wrote)
+            with log.task("ingest_sport") as task:
+                raw = I.ingest_sport_snapshot(task.reads(fx.sport_sheet(t)), fx.SPORT_SNAPSHOT_TS)
+                S.full_refresh(raw, f"{root}/sport", on_written=task.wrote)
+            with log.task("build_clean_employees") as task:
+                hr, sport = S.read_table(spark, f"{root}/hr"), S.read_table(spark, f"{root}/sport")
+                S.full_refresh(C.clean_employees(task.reads(hr), sport, fx.LOAD_TS), f"{root}/employees", [pk], on_written=task.wrote)
+            with log.task("load_activities") as task:
+                S.full_refresh(C.clean_activities(task.reads(fx.dirty_activities(t))), f"{root}/activities", on_written=task.wrote)
+            with log.task("load_commute_checks") as task:
+                task.skipped = "no checks given"
+            with log.task("check_raw_employees") as task:
+                S.full_refresh(task.reads(fx.dirty_employees(t)), f"{root}/raw_employees", [pk], on_written=task.wrote)
+            with log.task("build_benefits"):
+                raise AssertionError("not reached")
+    except S.ValidationError:
+        pass
+    return M.run_log(read_run_log(spark, f"{root}/runs"), read_task_log(spark, f"{root}/tasks"))
 
 
 # ---------------------------------------------------------------------------

@@ -150,20 +150,22 @@ def ingest_snapshots(spark: SparkSession, wh: Warehouse, hr_sheet: DataFrame, sp
     date's partition (pruned by a literal date) are skipped by a left-anti join on
     the whole row, NULLs equal to NULLs.
     """
-    appended = {}
-    for table, df in (("rh_employees_snapshot", I.ingest_hr_snapshot(hr_sheet, load_ts)),
-                      ("sport_profile_snapshot", I.ingest_sport_snapshot(sport_sheet, load_ts))):
-        df = S.conform(df, schemas.TABLES["raw", table]).withColumn("ingest_date", F.to_date("ingested_ts"))
-        existing = wh.read(spark, "raw", table)
-        if existing is not None:
-            row = [c for c in df.columns if c not in ("snapshot_id", "ingest_date")]
-            seen = existing.where(F.col("ingest_date") == F.lit(load_ts.date())).select(*[F.col(c).alias(f"_{c}") for c in row])
-            df = df.join(seen, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in row]), "left_anti")
-        # the next numbers after those in use (a scan of one column)
-        used = None if existing is None else existing.agg(F.max("snapshot_id")).first()[0]
-        df = I.number_snapshot(df, after=used or 0)
-        appended[table] = S.append(df, wh.path("raw", table), partition_by=["ingest_date"])
-    return appended
+    return {"rh_employees_snapshot": append_snapshot(spark, wh, "rh_employees_snapshot", I.ingest_hr_snapshot(hr_sheet, load_ts), load_ts),
+            "sport_profile_snapshot": append_snapshot(spark, wh, "sport_profile_snapshot",
+                                                      I.ingest_sport_snapshot(sport_sheet, load_ts), load_ts)}
+
+
+def append_snapshot(spark: SparkSession, wh: Warehouse, table: str, snapshot: DataFrame, load_ts: datetime) -> int:
+    """One spreadsheet's load: rows not there yet, each with a ``snapshot_id`` of its own; returns their number."""
+    df = S.conform(snapshot, schemas.TABLES["raw", table]).withColumn("ingest_date", F.to_date("ingested_ts"))
+    existing = wh.read(spark, "raw", table)
+    if existing is not None:
+        row = [c for c in df.columns if c not in ("snapshot_id", "ingest_date")]
+        seen = existing.where(F.col("ingest_date") == F.lit(load_ts.date())).select(*[F.col(c).alias(f"_{c}") for c in row])
+        df = df.join(seen, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in row]), "left_anti")
+    # the next numbers after those in use (a scan of one column)
+    used = None if existing is None else existing.agg(F.max("snapshot_id")).first()[0]
+    return S.append(I.number_snapshot(df, after=used or 0), wh.path("raw", table), partition_by=["ingest_date"])
 
 
 def land_activities(spark: SparkSession, wh: Warehouse, feed: DataFrame, load_ts: datetime) -> DataFrame:
@@ -227,6 +229,30 @@ def load_activities(spark: SparkSession, wh: Warehouse, feed: DataFrame, on_writ
     return out
 
 
+def follow_activities(spark: SparkSession, wh: Warehouse, feed: DataFrame, checkpoint: str | None = None,
+                      available_now: bool = True):
+    """Entry 2b as a stream: clean.activities kept current from a streaming feed, rejected rows beside it.
+
+    Takes over the table that ``load_activities`` has written; returns the running query.
+    """
+    from ..streaming.activity_feed import start_clean_activities
+
+    if wh.database or wh.salt_above:
+        raise ValueError("a stream keeps path tables only: bucketed tables are rebuilt by load_activities")
+    emp = wh.read(spark, "clean", "employees")
+    I.require_non_empty(emp, "clean.employees")
+    return start_clean_activities(feed, wh.path("clean", "activities"), checkpoint, available_now, emp)
+
+
+def load_commute_checks(spark: SparkSession, wh: Warehouse, checks: DataFrame, on_written=None) -> DataFrame:
+    """Distance checks into the raw zone: NULLs in required columns go to the quarantine, ids must not repeat."""
+    table = "commute_distance_checks"
+    judged = V.reject_reasons(S.conform(checks, schemas.COMMUTE_CHECKS), schemas.NOT_NULL["commute_checks"], {})
+    bad = F.size("reject_reasons") > 0
+    S.full_refresh(judged.where(bad), wh.path("quarantine", table), **wh.sink("quarantine", table))
+    return _write(wh, "raw", table, judged.where(~bad), [_pk(table)], on_written=on_written)
+
+
 def quality_gate(spark: SparkSession, wh: Warehouse, params: Params = Params(),
                  enforce: bool = True) -> DataFrame:
     """Entry 3: the blocking gate; the report is written first, then enforced."""
@@ -276,7 +302,7 @@ def build_benefits(spark: SparkSession, wh: Warehouse, as_of_year: int, computed
     return out
 
 
-TASKS = ("ingest_hr", "build_clean_employees", "load_activities", "load_commute_checks", "quality_gate",
+TASKS = ("ingest_hr", "ingest_sport", "build_clean_employees", "load_activities", "load_commute_checks", "quality_gate",
          "build_benefits", "build_reports")
 
 
@@ -293,8 +319,11 @@ def run_all(spark: SparkSession, wh: Warehouse, hr_sheet: DataFrame, sport_sheet
                  utc_run_id(load_ts), DAG_ID, TASKS)
     with log:
         with log.task("ingest_hr") as t:
-            t.rows_in = hr_sheet.count()
-            t.wrote(ingest_snapshots(spark, wh, hr_sheet, sport_sheet, load_ts)["rh_employees_snapshot"])
+            t.rows_in = hr_sheet.count()   # not observed: a re-run reads only what decides that nothing is new
+            t.wrote(append_snapshot(spark, wh, "rh_employees_snapshot", I.ingest_hr_snapshot(hr_sheet, load_ts), load_ts))
+        with log.task("ingest_sport") as t:
+            t.rows_in = sport_sheet.count()
+            t.wrote(append_snapshot(spark, wh, "sport_profile_snapshot", I.ingest_sport_snapshot(sport_sheet, load_ts), load_ts))
         with log.task("build_clean_employees") as t:
             t.rows_in = I.latest_snapshot(wh.read(spark, "raw", "rh_employees_snapshot"), partition_col="ingest_date").count()
             build_clean_employees(spark, wh, load_ts, on_written=t.wrote)
@@ -306,7 +335,8 @@ def run_all(spark: SparkSession, wh: Warehouse, hr_sheet: DataFrame, sport_sheet
             if commute_checks is None:
                 t.skipped = "no checks given"
             else:
-                _write(wh, "raw", "commute_distance_checks", commute_checks, on_written=t.wrote)
+                t.rows_in = commute_checks.count()
+                load_commute_checks(spark, wh, commute_checks, on_written=t.wrote)
         with log.task("quality_gate"):
             report = quality_gate(spark, wh, params, enforce=enforce_gate)
             gate = Q.quality_gate(report).first()

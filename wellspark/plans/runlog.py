@@ -8,11 +8,12 @@ the writes themselves.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -36,6 +37,22 @@ class Task:
     rows_in: int | None = None
     rows_out: int | None = None
     skipped: str | None = None
+    _inputs: list[Observation] = field(default_factory=list)
+
+    def reads(self, df: DataFrame) -> DataFrame:
+        """``df``, whose rows are counted as the task's write reads it: no pass of its own.
+
+        For an input that the write reads once and whole; a plan that may skip it (an anti-join
+        with nothing left to find) has to count it by itself.
+        """
+        seen = Observation()
+        self._inputs.append(seen)
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def settle(self) -> None:
+        """Take over what the inputs have counted; called when the task has ended well."""
+        for seen in self._inputs:
+            self.rows_in = (self.rows_in or 0) + int(seen.get["rows"])
 
     def wrote(self, rows: int) -> None:
         """For ``on_written`` of the sinks."""
@@ -46,10 +63,11 @@ class RunLog:
     """``with RunLog(...) as log:`` logs a run; ``with log.task(name) as t:`` logs a task of it."""
 
     def __init__(self, spark: SparkSession, run_path: str, task_path: str, run_id: int, dag_id: str,
-                 planned: tuple[str, ...] = ()):
+                 planned: tuple[str, ...] = (), clock: Callable[[], datetime] = _now):
         self.spark, self.run_path, self.task_path = spark, run_path.rstrip("/"), task_path.rstrip("/")
         self.run_id, self.dag_id, self.planned = run_id, dag_id, planned
         self.seen: list[str] = []
+        self.clock = clock
 
     def _put(self, path: str, schema, row: dict) -> None:
         df = self.spark.createDataFrame([tuple(row.get(f.name) for f in schema.fields)], schema)
@@ -70,7 +88,7 @@ class RunLog:
             "error_message": error})
 
     def __enter__(self) -> "RunLog":
-        self.started = _now()
+        self.started = self.clock()
         self._run(RUNNING, self.started)
         return self
 
@@ -79,19 +97,25 @@ class RunLog:
             if task_id not in self.seen:
                 self._task(task_id, SKIPPED, None, None, Task(), "not reached")
         text = None if error is None else f"{kind.__name__}: {error}"[:ERROR_CHARS]
-        self._run(SUCCESS if error is None else FAILED, self.started, _now(), text)
+        self._run(SUCCESS if error is None else FAILED, self.started, self.clock(), text)
 
     @contextmanager
     def task(self, task_id: str):
-        t, started = Task(), _now()
+        t, started = Task(), self.clock()
         self.seen.append(task_id)
         self._task(task_id, RUNNING, started, None, t)
         try:
             yield t
+            t.settle()
         except BaseException as exc:
-            self._task(task_id, FAILED, started, _now(), t, f"{type(exc).__name__}: {exc}"[:ERROR_CHARS])
+            self._task(task_id, FAILED, started, self.clock(), t, f"{type(exc).__name__}: {exc}"[:ERROR_CHARS])
             raise
-        self._task(task_id, SKIPPED if t.skipped else SUCCESS, started, _now(), t, t.skipped)
+        self._task(task_id, SKIPPED if t.skipped else SUCCESS, started, self.clock(), t, t.skipped)
+
+
+def read_run_log(spark: SparkSession, run_path: str) -> DataFrame:
+    """The run rows, with their declared types."""
+    return conform(spark.read.parquet(run_path).withColumn("run_id", F.col("run_id").cast("bigint")), schemas.PIPELINE_RUN)
 
 
 def read_task_log(spark: SparkSession, task_path: str):

@@ -125,6 +125,9 @@ PRIMARY_KEYS = {
     "config_parameters": ("param_name",),
     "employees": ("employee_id",),
     "activities": ("activity_id",),
+    "commute_distance_checks": ("check_id",),
+    "rh_employees_snapshot": ("snapshot_id",),
+    "sport_profile_snapshot": ("snapshot_id",),
     "commute_validation": ("employee_id",),
     "dim_employee": ("employee_id",),
     "fact_activity": ("activity_id",),
