@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -28,16 +30,95 @@ def test_held_out_accuracy(spark, query, label, at_least):
     assert (r.predicted == r[label]).mean() > 0.97
 
 
-def test_negation_report_and_target_change_the_weight():
+def test_kinds_count_only_together():
     m = toxicity.ToxicityModel()
     weigh = lambda t: sum(w for _, w, _ in m.clause(t.split()))
     plain = weigh("such an idiot here")
-    assert weigh("not an idiot here") < plain < weigh("you are an idiot")
-    assert weigh("he said idiot") < weigh("he was idiot")
-    assert weigh("they will kill") > weigh("will kill") > 0
+    assert weigh("not an idiot here") < plain < weigh("you are an idiot") == weigh("idiot you are")
+    assert weigh("he said idiot") < weigh("he was idiot") and weigh("idiot he said") < weigh("idiot he was")
+    assert weigh("kill time") == weigh("will kill time") == weigh("beat eggs") == 0
+    assert 0 < weigh("never kill you") < weigh("kill you") < weigh("i will kill you") == weigh("they should be shot")
     assert weigh("you they said not") == 0
+    assert weigh("what a waste of space") > 0 == weigh("what a waste of time") and weigh("beat up those people") > 0
     assert m.features("not, an idiot")[:8] == m.features("an idiot")[:8]  # a clause ends at the comma
-    assert toxicity.GRAMMAR.states == 3 * 2 * 5
+
+
+def marks_by_hand(kinds, reach=4, governed_reach=2):
+    """What the transducers mean, position by position, without any machine."""
+    n, out = len(kinds), [{k} for k in kinds]
+    near = lambda i, kind, r=reach: any(kinds[j] == kind for j in range(max(0, i - r), i))
+    last = lambda i, of: next((j for j in range(i - 1, -1, -1) if kinds[j] in of), None)
+    for i, k in enumerate(kinds):
+        if k == "slur":
+            out[i].add("aimed" if near(i, "target") else "insult")
+        if k == "violent" and near(i, "target") and near(i, "intent"):
+            out[i].add("meant")
+        if k == "target":
+            j = last(i, ("slur", "target"))
+            if j is not None and kinds[j] == "slur" and "insult" in out[j] and i - j <= reach:
+                out[i].add("lift")
+            j = last(i, ("violent", "target"))
+            if j is not None and kinds[j] == "violent" and "meant" not in out[j] and i - j <= reach:
+                out[i].add("meant" if near(j, "intent") else "threat")
+    governed, matched = [], lambda i: bool(out[i] & {"insult", "aimed", "threat", "meant"})
+    for i, k in enumerate(kinds):
+        before = range(max(0, i - governed_reach), i)
+        governed.append(k != "negation" and any(kinds[j] == "negation" or kinds[j] == "violent" and governed[j] for j in before))
+        if governed[i] and matched(i):
+            out[i].add("soft")
+    first = kinds.index("report") if "report" in kinds else n
+    for i in range(n):
+        if matched(i) and i > first:
+            out[i].add("quoted")
+    if first < n and any(matched(i) for i in range(first)):
+        out[first].add("back")
+    return out
+
+
+def run(machine, kinds):
+    state, out = 0, []
+    for k in kinds:
+        state, symbol = machine[state][k]
+        out.append(set(symbol))
+    return out
+
+
+def test_composed_machine_against_its_meaning():
+    rng = np.random.default_rng(1)
+    every = [list(k) for n in range(5) for k in itertools.product(toxicity.KINDS, repeat=n)]
+    every += [list(rng.choice(toxicity.KINDS, size=14)) for _ in range(3000)]
+    for kinds in every:
+        assert run(toxicity.MACHINE, kinds) == marks_by_hand(kinds), kinds
+
+
+def test_the_grammar_decides(spark):
+    """Without it, or without its insult or threat part, held-out scores get worse: the words alone weigh nothing."""
+    docs, labels = (spark.read.parquet(f"{MID}/{t}.parquet") for t in ("documents", "labels"))
+    t = toxicity
+    same = t.Transducer(0, lambda state, symbol: (state, symbol))
+    no_insults = t.compose(t.compose(t.threat(), t.negation()), t.reported_speech())
+
+    def measured(machine):
+        model = t.fit_toxicity(docs, labels, machine=machine)
+        got = t.score_toxicity(docs.select("doc_id", "text"), model).join(labels, "doc_id")
+        r = got.filter(t.held_out(F.col("doc_id"), t.FOLDS, t.HELD)).select("toxic", "toxicity").toPandas()
+        return auc(r.toxic.values, r.toxicity.values)
+
+    full = measured(t.MACHINE)
+    assert full > 0.95
+    assert measured(t.tabulate(same)) <= 0.51
+    assert measured(t.tabulate(no_insults)) < full - 0.1
+
+
+def test_learned_words_get_a_kind(spark):
+    """A word that a target follows in most toxic documents is violence, another one a slur."""
+    calm = [(i, "calm and quiet talk " + prose(20, i)) for i in range(40)]
+    bad = [(100 + i, f"gruzzle you now. what a blarg {prose(20, i)}") for i in range(40)]
+    labels = spark.createDataFrame([(i, 0) for i, _ in calm] + [(i, 1) for i, _ in bad], "doc_id bigint, toxic int")
+    lexicon = toxicity.fit_toxicity(documents(spark, calm + bad), labels).lexicon
+    assert lexicon["gruzzle"][0] == toxicity.VIOLENT and lexicon["blarg"][0] == toxicity.SLUR
+    m = toxicity.ToxicityModel(lexicon)
+    assert m.clause(["gruzzle", "time"]) == [] and m.clause(["gruzzle", "them"])[0][1] > 0
 
 
 @pytest.mark.parametrize("fit, score, name", [(toxicity.fit_toxicity, toxicity.score_toxicity, "toxicity"),
