@@ -44,6 +44,21 @@ def test_edges_match_brute_force(spark):
     assert run(spark, rows, min_docs=2, min_chars=4) == brute(rows, 2, 4)
 
 
+def test_repeated_rows_agree_with_sql(spark):
+    """Rows alike in doc_id and text are one document: twelve of them make no line frequent, ten others do."""
+    rows = [(1, "again\nmine")] * 12 + [(2, "again\nother")] + [(i, f"common\n{i}") for i in range(10, 20)]
+    rows += [(3, "common"), (3, "Common"), (None, "again"), (None, "again")]
+    assert run(spark, rows, min_docs=10) == brute(rows, 10)
+    con = duck(SF)
+    con.execute("DROP VIEW documents")
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(r) for r in rows])
+    digest = lambda *_: line_dedup(documents(spark, rows), min_docs=10).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+    r = compare(spark, con, "op1", SF, digest, OP1_SQL)
+    assert r["ok"], r
+
+
 def test_batches_and_fanout_do_not_change_the_result(spark):
     rows = [(i, f"head\nline {i % 5}\nline {i}") for i in range(40)]
     want = brute(rows, 8)

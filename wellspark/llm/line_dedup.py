@@ -197,14 +197,15 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle(docs: str = "documents", min_docs: int = 10) -> str:
-    """DuckDB SQL of (row, doc_id, kept lines) over the relation ``docs``."""
+    """DuckDB SQL of (row, doc_id, kept lines) over the relation ``docs``; rows alike in doc_id and text are one document."""
     white = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
     return f"""
     d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM {docs}),
+    same AS (SELECT rid, min(rid) OVER (PARTITION BY doc_id, body) AS first_rid FROM d),
     l AS (SELECT rid, line, pos, translate(trim(line, {white}), '{ASCII_UPPER}', '{ASCII_LOWER}') AS key
           FROM (SELECT rid, unnest(string_split(body, chr(10))) AS line,
                        unnest(range(len(string_split(body, chr(10))))) AS pos FROM d)),
-    f AS (SELECT key FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT rid) >= {min_docs}),
+    f AS (SELECT key FROM l JOIN same USING (rid) WHERE key <> '' GROUP BY key HAVING count(DISTINCT first_rid) >= {min_docs}),
     kept AS (SELECT rid, count(*) AS n_lines, count(f.key) AS n_dropped,
                     coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (f.key IS NULL), '') AS body
              FROM l LEFT JOIN f USING (key) GROUP BY rid)"""
