@@ -42,6 +42,19 @@ def test_whole_table_matches_sql(spark):
     assert r["ok"], r
 
 
+def test_ties_agree_with_sql(spark):
+    """Turns of the same number, NULL roles and texts among them."""
+    rows = [(1, 5, "user", x) for x in "bca"] + [(1, 5, None, "d"), (1, 5, "user", None), (1, 5, "assistant", "z")]
+    rows += [(2, 5, "user", x) for x in "cab"] + [(2, 5, None, "d"), (2, 5, "user", None), (2, 5, "assistant", "z"), (2, 6, "user", "on")]
+    rows += [(3, None, "user", x) for x in "qp"] + [(3, 1, "user", "first"), (4, 1, "user", "first")]
+    con = duck(SF)
+    con.execute("DROP VIEW conversations")
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [list(r) for r in rows])
+    r = compare(spark, con, "op9", SF, lambda *_: format_chats(frame(spark, rows)), OP9_SQL)
+    assert r["ok"] and r["rows"] == 2, r
+
+
 def test_snapshots_copies_and_edges(spark):
     talk = [("user", "hi"), ("assistant", "hello <|im_end|>"), ("user", None), (None, "x"), ("user", "")]
     rows = [(c, t, *talk[t]) for c, n in ((1, 2), (2, 5), (3, 4), (4, 5), (None, 1)) for t in range(n)]

@@ -12,7 +12,7 @@ all rows is many blocks, each windowed alone, with one row per block to chain th
 Rendering too is per part of ``PART`` turns; almost every conversation is one part.
 
 Defined cases: rows that repeat all of conv_id, turn, role and text count once;
-turns with the same number follow in the order of their content hash, a NULL turn
+turns with the same number follow by role, then by sha256 of the text, NULLs first, a NULL turn
 number comes last; a NULL conv_id is a conversation; a NULL role is rendered as
 ``unknown`` and a NULL text as empty, and both differ from the empty string when
 conversations are compared; an empty table gives an empty result; other columns
@@ -34,7 +34,8 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 def _hashed(conversations: DataFrame) -> DataFrame:
     return conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text",
                                 fingerprint(F.col("role"), F.col("text"), seed=1).alias("t1"),
-                                fingerprint(F.col("role"), F.col("text"), seed=2).alias("t2"))
+                                fingerprint(F.col("role"), F.col("text"), seed=2).alias("t2"),
+                                F.unhex(F.sha2("text", 256)).alias("key"))
 
 
 def numbered_turns(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -42,10 +43,10 @@ def numbered_turns(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
 
     Only hashes of role and text (t1, t2) are shuffled here, not the texts.
     """
-    turns = _hashed(conversations).select("conv_id", "turn", "t1", "t2").distinct()
+    turns = _hashed(conversations).select("conv_id", "turn", "t1", "t2", "role", "key").distinct()
     turns = turns.withColumn("block", F.coalesce(F.floor(F.col("turn") / F.lit(block)), F.lit(2 ** 62)).cast("long"))
-    in_block = Window.partitionBy("conv_id", "block").orderBy(F.col("turn"), F.col("t1"), F.col("t2"))
-    turns = stage(turns.withColumn("rn", F.row_number().over(in_block).cast("long")), "chat-turns")
+    in_block = Window.partitionBy("conv_id", "block").orderBy("turn", F.asc_nulls_first("role"), F.asc_nulls_first("key"))
+    turns = stage(turns.withColumn("rn", F.row_number().over(in_block).cast("long")).drop("role", "key"), "chat-turns")
 
     chain = Window.partitionBy("conv_id").orderBy("block")
     before = chain.rowsBetween(Window.unboundedPreceding, -1)
@@ -111,10 +112,10 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = f"""
 WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
 c AS (SELECT conv_id, count(*) AS n_turns,
-             list({{'r': role, 't': text}} ORDER BY turn, role, text) AS turns,
+             list({{'r': role, 't': text}} ORDER BY turn NULLS LAST, role NULLS FIRST, sha256(text) NULLS FIRST) AS turns,
              string_agg('{OPEN}' || coalesce(role, 'unknown') || chr(10) ||
                         replace(coalesce(text, ''), '<|', '< |') || '{CLOSE}' || chr(10), ''
-                        ORDER BY turn, role, text) AS rendered
+                        ORDER BY turn NULLS LAST, role NULLS FIRST, sha256(text) NULLS FIRST) AS rendered
       FROM t GROUP BY conv_id),
 p AS (SELECT DISTINCT md5(turns[1:k]::VARCHAR) AS prefix
       FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM c)),
