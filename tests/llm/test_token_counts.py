@@ -1,22 +1,47 @@
+import re
 from collections import defaultdict
 
 import pytest
 
-from wellspark.llm.token_counts import TokenRollup, count_tokens, load_tokenizer, op8_token_counts
+from wellspark.llm.token_counts import TOKENIZER_DIR, TOKENIZERS, TokenRollup, load_tokenizer, op8_token_counts
+from wellspark.llm.token_counts import count_tokens as count_all
 
 from .helpers import SF, documents, prose
 
 
+ONE = ("byte_bpe_50k",)
+
+
 def totals(df):
     return {(r.source, r.lang): (r.docs, r.tokens, r.chars) for r in df.collect()}
 
 
 def test_whole_table_matches_direct_count(spark):
-    count, want = load_tokenizer("byte_bpe_50k"), defaultdict(lambda: [0, 0, 0])
+    """After arrivals, revisions, replays, a withdrawal and two compactions: the table's own counts, by both tokenizers."""
+    want = defaultdict(lambda: [0, 0, 0])
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
-        for k, x in enumerate((1, count(r.text or ""), len(r.text or ""))):
-            want[r.source, r.lang][k] += x
-    assert totals(op8_token_counts(spark, SF)) == {k: tuple(v) for k, v in want.items()}
+        for version, count in map(load_tokenizer, TOKENIZERS):
+            for k, x in enumerate((1, count(r.text or ""), len(r.text or ""))):
+                want[r.source, r.lang, version][k] += x
+    got = {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens, r.chars) for r in op8_token_counts(spark, SF).collect()}
+    assert got == {k: tuple(v) for k, v in want.items()} and len({k[2] for k in got}) == 2
+
+
+def test_a_changed_file_is_another_version(spark, tmp_path):
+    """The same name with another vocabulary: counts of both versions stand side by side."""
+    first = open(f"{TOKENIZER_DIR}/byte_bpe_50k.tiktoken", "rb").read()
+    docs, rollup = documents(spark, [(1, "one two three", "x")]), TokenRollup(spark, str(tmp_path / "r"))
+    for n, content in enumerate((first, b"".join(first.splitlines(keepends=True)[:300]))):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        (folder / "byte_bpe_50k.tiktoken").write_bytes(content)
+        rollup.apply(f"load-{n}", inserted=count_tokens(docs, ONE, str(folder)))
+    got = {r.tokenizer: r.tokens for r in rollup.totals().collect()}
+    assert len(got) == 2 and all(re.fullmatch("byte_bpe_50k@[0-9a-f]{12}", k) for k in got) and len(set(got.values())) == 2
+
+
+def count_tokens(docs, tokenizers=ONE, *folder):
+    return count_all(docs, tokenizers, *folder)
 
 
 def test_signed_deltas_idempotence_and_compaction(spark, tmp_path):

@@ -7,8 +7,11 @@ batch id; a batch that is committed already is not applied again, so a job can b
 rerun from any point. The totals are the sum of the committed batches; compaction
 folds them into one base that remembers which batches it holds.
 
-Counting runs next to the data, in Arrow batches, with a public tokenizer file
-whose path is a parameter; only one small row per document leaves a task.
+Counting runs next to the data, in Arrow batches, with public tokenizer files
+whose folder is a parameter; only one small row per document and tokenizer leaves a task.
+A tokenizer's version is its name and the digest of the file that it was read from
+(``name@1a2b3c4d5e6f``): a file that changes under its name is another version, and its
+counts never mix with the old ones.
 
 Defined cases: a NULL or empty text has 0 tokens; NULL source or language is a
 key of its own; repeated rows count as often as they occur; an empty batch
@@ -19,6 +22,7 @@ the totals; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 import os
 import re
 from collections.abc import Iterator
@@ -31,7 +35,7 @@ from ..session import scratch_path
 from .common import CODEC, stage, table
 
 TOKENIZER_DIR = "/opt/tokenizers"
-TOKENIZERS = ("byte_bpe_50k",)
+TOKENIZERS = ("byte_bpe_50k", "byte_bpe_multi_50k")
 KEYS = ["source", "lang", "tokenizer"]
 SUMS = ["docs", "tokens", "chars"]
 DELTAS = "source string, lang string, tokenizer string, docs bigint, tokens bigint, chars bigint"
@@ -40,15 +44,17 @@ _LOADED: dict = {}
 
 
 def load_tokenizer(name: str, folder: str = TOKENIZER_DIR):
-    """A function from a text to its number of tokens; loaded once per Python worker."""
+    """(version, a function from a text to its number of tokens); loaded once per Python worker."""
     key = (name, folder)
     if key not in _LOADED:
         import tiktoken
         from public_tokenizers import PATTERN
         with open(os.path.join(folder, f"{name}.tiktoken"), "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            content = f.read()
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
         enc = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        _LOADED[key] = lambda text: len(enc.encode_ordinary(text))
+        version = f"{name}@{hashlib.sha256(content).hexdigest()[:12]}"
+        _LOADED[key] = version, lambda text: len(enc.encode_ordinary(text))
     return _LOADED[key]
 
 
@@ -60,10 +66,10 @@ def count_tokens(docs: DataFrame, tokenizers: tuple[str, ...] = TOKENIZERS,
         for b in batches:
             texts = [t or "" for t in b.column("text").to_pylist()]
             for name in tokenizers:
-                count = load_tokenizer(name, folder)
+                version, count = load_tokenizer(name, folder)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("source"), b.column("lang"),
-                     pa.array([name] * len(texts), pa.string()), pa.array([1] * len(texts), pa.int64()),
+                     pa.array([version] * len(texts), pa.string()), pa.array([1] * len(texts), pa.int64()),
                      pa.array([count(t) for t in texts], pa.int64()),
                      pa.array([len(t) for t in texts], pa.int64())],
                     names=["doc_id", *KEYS, *SUMS])
@@ -153,10 +159,28 @@ class TokenRollup:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
-    """The documents arrive in batches; each is committed once, and the totals are those of all."""
+    """All documents through all kinds of change, by two tokenizers; the totals are those of the table.
+
+    The documents arrive in batches, before their source is known. Each batch is then
+    revised: its counts without a source are deleted, those with it inserted. Every batch
+    id comes twice and counts once. One batch is withdrawn and restored; the rollup is
+    compacted in between.
+    """
     counts = stage(count_tokens(table(spark, sf_dir, "documents")), "token-counts")
+    unknown = counts.withColumn("source", F.lit(None).cast("string"))
     rollup = TokenRollup(spark, scratch_path(spark, "token-rollup"))
+
+    def part(of: DataFrame, b: int) -> DataFrame:
+        return of.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == b)
+
+    for b in range(batches):
+        for _ in range(2):
+            rollup.apply(f"arrived-{b:04d}", inserted=part(unknown, b))
+    rollup.compact()
     for b in range(batches):
-        rollup.apply(f"{b:04d}", inserted=counts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == b))
+        for _ in range(2):
+            rollup.apply(f"revised-{b:04d}", inserted=part(counts, b), deleted=part(unknown, b))
+    rollup.apply("withdrawn", deleted=part(counts, 0))
     rollup.compact()
+    rollup.apply("restored", inserted=part(counts, 0))
     return rollup.totals()
