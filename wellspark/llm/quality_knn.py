@@ -1,12 +1,14 @@
 """Quality classifier: nearest-neighbour voting among labelled latent-semantic vectors.
 
-A document is a vector of hashed byte-trigram counts and a few counts of its shape
-(repeated words and lines, symbols, capitals), weighted by inverse document
-frequency and projected on the leading singular directions of a bounded labelled
-sample (latent semantic analysis). The sample's vectors and labels are broadcast;
-their number is a parameter, so their size is fixed. Every document's cosine with
-every labelled vector is computed exactly, block by block, and its score is the
-vote of the nearest ones, weighted by similarity.
+A document's terms are counted in four families: hashed byte trigrams; trigrams of
+character classes (lower and upper case, digits, blanks, line ends, marks, non-ASCII); and,
+for its words and for its lines, how far back each was last seen (in powers of two).
+Every family is a distribution, whatever the text's length; its square roots, weighted by
+inverse document frequency, are projected on the leading singular directions of a bounded
+labelled sample (latent semantic analysis). Nothing but these latent vectors is compared. The
+sample's vectors and labels are broadcast; their number is a parameter, so their size is
+fixed. Every document's cosine with every labelled vector is computed exactly, block by
+block, and its score is the vote of the nearest ones, weighted by similarity.
 
 Defined cases: a NULL or empty text has the zero vector and gets the share of good
 labels in the sample; any length is read whole; repeated rows score alike; without
@@ -16,7 +18,6 @@ a column already named like the score is replaced, other extra columns are kept.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,50 +33,50 @@ from .labelled import held_out, training_sample
 FOLDS, HELD = 4, 2
 SAMPLE_ROWS = 4_000   # labelled vectors that are broadcast
 BUCKETS = 1_024       # hashed byte trigrams
-BINS = 8              # per shape measure
 DIMENSIONS = 48       # latent directions
 NEIGHBOURS = 25
 SHARPNESS = 8.0       # a neighbour votes with similarity to this power
 BLOCK = 256           # documents per cosine product
-SHAPE_WEIGHT = 4.0
 
-SHAPES = ("repeated words", "commonest word", "repeated lines", "symbols", "capitals", "word length", "pipes")
-
-
-def _shape(text: str, raw: np.ndarray) -> list[float]:
-    """Shares from 0 to 1 that describe how a text is made."""
-    words = text.split()
-    if not words:
-        return [0.0] * len(SHAPES)
-    counts, lines = Counter(words), text.split("\n")
-    letters = raw[((raw >= 65) & (raw <= 90)) | ((raw >= 97) & (raw <= 122))]
-    symbols = (((raw >= 33) & (raw <= 47)) | ((raw >= 58) & (raw <= 64)) | ((raw >= 91) & (raw <= 96))
-               | ((raw >= 123) & (raw <= 126))).sum()
-    return [1 - len(counts) / len(words), max(counts.values()) / len(words), 1 - len(set(lines)) / len(lines),
-            min(1.0, 4 * float(symbols) / len(raw)),
-            float((letters <= 90).sum()) / max(1, len(letters)),
-            min(1.0, len(text) / len(words) / 12), min(1.0, 2 * counts.get("|", 0) / len(words))]
+LOWER, UPPER, DIGIT, BLANK, LINE, MARK, OTHER = range(7)
+CLASSES = OTHER + 1
+_CLASS = np.array([LINE if b in (10, 13) else BLANK if b <= 32 else OTHER if b >= 128 else DIGIT if 48 <= b <= 57
+                   else UPPER if 65 <= b <= 90 else LOWER if 97 <= b <= 122 else MARK for b in range(256)], dtype=np.int64)
+WORD_GAPS, LINE_GAPS = 14, 8   # new, 1, 2-3, 4-7 ... words or lines back; the last one is all beyond
+FAMILIES = (BUCKETS, CLASSES ** 3, WORD_GAPS, LINE_GAPS)
+WIDTH = sum(FAMILIES)
+
+
+def gaps(items: list[str], bins: int) -> np.ndarray:
+    """How many items are new, and how many were last seen 1, 2-3, 4-7 ... items back."""
+    last: dict[str, int] = {}
+    out = [0] * bins
+    for i, item in enumerate(items):
+        back = i - last.get(item, i)
+        out[min(bins - 1, back.bit_length())] += 1
+        last[item] = i
+    return np.array(out, dtype=np.float64)
+
+
+def families(text: str | None) -> list[np.ndarray]:
+    """Term counts of one text, family by family."""
+    text = text or ""
+    raw = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
+    if not len(raw):
+        return [np.zeros(n) for n in FAMILIES]
+    wide, classes = raw.astype(np.uint32), _CLASS[raw]
+    code = wide[:-2] * np.uint32(0x9E3779B1) + wide[1:-1] * np.uint32(0x85EBCA6B) + wide[2:] * np.uint32(0xC2B2AE35)
+    code ^= code >> np.uint32(15)
+    runs = (classes[:-2] * CLASSES + classes[1:-1]) * CLASSES + classes[2:]
+    return [np.bincount(code % BUCKETS, minlength=BUCKETS), np.bincount(runs, minlength=CLASSES ** 3),
+            gaps(text.split(), WORD_GAPS), gaps(text.split("\n"), LINE_GAPS)]
 
 
 def features(texts: list[str | None]) -> np.ndarray:
-    """Rows of term frequencies: log-scaled trigram buckets, then soft bins of the shapes."""
-    out = np.zeros((len(texts), BUCKETS + BINS * len(SHAPES)), dtype=np.float32)
+    """Rows of term frequencies: the square roots of every family's shares."""
+    out = np.zeros((len(texts), WIDTH), dtype=np.float32)
     for i, text in enumerate(texts):
-        raw = np.frombuffer((text or "").encode("utf-8", "replace"), dtype=np.uint8)
-        if len(raw) >= 3:
-            wide = raw.astype(np.uint32)
-            code = wide[:-2] * np.uint32(0x9E3779B1) + wide[1:-1] * np.uint32(0x85EBCA6B) \
-                + wide[2:] * np.uint32(0xC2B2AE35)
-            code ^= code >> np.uint32(15)
-            hits = np.bincount(code % BUCKETS, minlength=BUCKETS)
-            out[i, :BUCKETS] = np.sqrt(hits / len(code))
-        if len(raw):
-            for k, share in enumerate(_shape(text, raw)):
-                at = share * (BINS - 1)
-                low = min(int(at), BINS - 2)
-                base = BUCKETS + BINS * k + low
-                out[i, base] += SHAPE_WEIGHT * (1 - (at - low)) / BINS
-                out[i, base + 1] += SHAPE_WEIGHT * (at - low) / BINS
+        out[i] = np.concatenate([np.sqrt(f / max(1.0, f.sum())) for f in families(text)])
     return out
 
 
@@ -119,13 +120,12 @@ def fit_neighbours(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), b.column("label")],
                                              names=["x", "label"])
 
-    got = sample.mapInArrow(measure, "x binary, label int").collect()  # the sample: 4 KB a row
-    width = BUCKETS + BINS * len(SHAPES)
-    x = np.array([np.frombuffer(r.x, dtype=np.float32) for r in got], dtype=np.float32).reshape(-1, width)
+    got = sample.mapInArrow(measure, "x binary, label int").collect()  # the sample: 6 KB a row
+    x = np.array([np.frombuffer(r.x, dtype=np.float32) for r in got], dtype=np.float32).reshape(-1, WIDTH)
     y = np.array([r.label for r in got], dtype=np.float64)
     idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1).astype(np.float32)
     if not len(x):
-        return NeighbourModel(idf, np.zeros((width, 1), np.float32), np.zeros((0, 1), np.float32), y, 0.5)
+        return NeighbourModel(idf, np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), y, 0.5)
     weighted = (x * idf).astype(np.float64)
     _, vectors = np.linalg.eigh(weighted.T @ weighted)
     directions = np.ascontiguousarray(vectors[:, ::-1][:, :dimensions]).astype(np.float32)
