@@ -138,7 +138,7 @@ def stupid_backoff(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COU
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stupid_backoff(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "log_score_micro")
+    return stupid_backoff(table(spark, sf_dir, "documents"))
 
 
 OP3_SQL = rf"""
@@ -155,5 +155,6 @@ s AS (SELECT p.rid, CASE WHEN p.u IS NULL THEN cw.c / n.n
       FROM p CROSS JOIN n JOIN c1 cw ON cw.w = p.w LEFT JOIN c1 cu ON cu.w = p.u
       LEFT JOIN c2 ON c2.u = p.u AND c2.w = p.w),
 z AS (SELECT rid, sum(round(ln(v) * {MICRO})::BIGINT)::BIGINT AS m FROM s GROUP BY rid)
-SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(z.m, 0)::BIGINT AS log_score_micro
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(z.m, 0)::BIGINT AS log_score_micro,
+       CASE WHEN len(d.ws) > 0 THEN z.m::DOUBLE / len(d.ws) / {MICRO}::DOUBLE END AS mean_log_score
 FROM d LEFT JOIN z USING (rid)"""
