@@ -2,7 +2,8 @@ from collections import defaultdict
 
 import numpy as np
 
-from wellspark.llm.near_dedup import bag_min_hash, components, keep_one_of_each, near_classes
+from wellspark.llm.near_dedup import (bag_min_hash, components, keep_one_of_each, near_classes, op6_minhash_near_dedup,
+                                      signatures, tell_apart)
 from wellspark.llm.shingles import multiset, weighted_jaccard, words
 
 from .helpers import SF, documents, prose
@@ -100,3 +101,75 @@ def test_texts_without_words_are_those_of_the_classes(spark):
     kept = keep_one_of_each(documents(spark, rows, node=1, raw="r"))
     want = [r for r in rows if not words(r[1])] + [(20, "½"), (22, "²"), (24, "a b")]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_word_sequences_that_share_a_node_stay_apart(spark):
+    rows = [(1, 10, 7, 100, 1, [5]), (2, 11, 7, 100, 1, [5]), (3, 12, 7, 101, 1, [6]), (4, 13, 7, 102, 1, [6]),
+            (5, 14, 8, 100, 1, [7]), (6, 15, None, None, 0, [])]
+    sigs = spark.createDataFrame(rows, "doc_id bigint, raw bigint, node bigint, check bigint, n bigint, bands array<bigint>")
+    got = {r.doc_id: r.node for r in tell_apart(sigs).collect()}
+    assert got[1] == got[2] == 7 and got[5] == 8 and got[6] is None
+    assert len({got[1], got[3], got[4], got[5]}) == 4
+    same = signatures(documents(spark, [(1, "some words here"), (2, "Some, WORDS here!"), (3, "some words there")]))
+    pairs = {r.doc_id: (r.node, r.check) for r in same.collect()}
+    assert pairs[1] == pairs[2] and pairs[1][0] != pairs[3][0] and pairs[1][1] != pairs[3][1] and pairs[1][0] != pairs[1][1]
+
+
+def all_links(texts, threshold=0.8):
+    """Every pair of different texts with a similarity of ``threshold`` or more: exact, by their rarest shingles.
+
+    Of two multisets that similar, the rarest 1 - threshold of one (and one more) must hold a shingle of
+    the other's: texts that share none of these are not similar enough.
+    """
+    bags = [multiset(t) for t in texts]
+    spread = defaultdict(int)
+    for h, _ in bags:
+        for s in h:
+            spread[int(s)] += 1
+    holders, links = defaultdict(list), []
+    for i, (h, c) in enumerate(bags):
+        size = int(c.sum())
+        left, candidates = size - int(np.ceil(threshold * size - 1e-9)) + 1, set()
+        for k in sorted(range(len(h)), key=lambda k: (spread[int(h[k])], int(h[k]))):
+            if left <= 0:
+                break
+            left -= int(c[k])
+            candidates.update(holders[int(h[k])])
+            holders[int(h[k])].append(i)
+        for j in candidates:
+            other = int(bags[j][1].sum())
+            if min(size, other) >= threshold * max(size, other) and weighted_jaccard(bags[i], bags[j]) >= threshold:
+                links.append((j, i))
+    return links
+
+
+def test_no_link_is_lost_at_sf01(spark):
+    """All links of the 10,000 documents, against all pairs: recall 1, and no class that they do not make."""
+    sf = SF.replace("sf0.01", "sf0.1")
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    by_words = defaultdict(list)
+    for doc_id, text in rows:
+        by_words[tuple(words(text))].append(doc_id)
+    texts = [(ids, " ".join(w)) for w, ids in by_words.items() if w]
+    links = all_links([t for _, t in texts])
+    got = {r.doc_id: r.class_id for r in op6_minhash_near_dedup(spark, sf).collect()}
+    found = [got[texts[a][0][0]] == got[texts[b][0][0]] for a, b in links]
+    assert len(links) > 50 and sum(found) == len(found)
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    want = defaultdict(set)
+    for i, (ids, _) in enumerate(texts):
+        want[find(i)].update(ids)
+    have = defaultdict(set)
+    for doc_id, class_id in got.items():
+        have[class_id].add(doc_id)
+    blank = {frozenset([i]) for i in by_words.get((), [])}
+    assert {frozenset(v) for v in have.values()} - blank == {frozenset(v) for v in want.values()} - blank
