@@ -1,7 +1,7 @@
 from collections import defaultdict
 
 from tests.oracle import compare, duck
-from wellspark.llm.chat_format import OP9_SQL, format_chats, op9_chat_formatting
+from wellspark.llm.chat_format import OP9_SQL, format_chats, numbered_turns, op9_chat_formatting
 
 from .helpers import SF
 
@@ -68,6 +68,25 @@ def test_snapshots_copies_and_edges(spark):
     assert format_chats(frame(spark, [])).count() == 0
 
 
+def test_turns_without_numbers_are_many_blocks_too(spark):
+    """One number for all turns, or none: no window holds more than a block."""
+    rows = [(1, 7, "user", f"t{t:05d}") for t in range(1200)] + [(2, None, "user", f"t{t:05d}") for t in range(700)]
+    rows += [(None, None, "user", f"n{t}") for t in range(500)] + [(3, 7, "user", f"t{t:05d}") for t in range(300)]
+    turns = numbered_turns(frame(spark, rows), block=100)
+    places = defaultdict(list)
+    for r in turns.collect():
+        places[r.conv_id, r.n_turns].append(r.pos)
+    assert {k: sorted(v) for k, v in places.items()} == {(c, n): list(range(1, n + 1))
+                                                         for c, n in ((1, 1200), (2, 700), (None, 500), (3, 300))}
+    con = duck(SF)
+    con.execute("DROP VIEW conversations")
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [list(r) for r in rows])
+    whole = lambda *_: format_chats(frame(spark, rows), part=10 ** 6, block=100)
+    r = compare(spark, con, "op9", SF, whole, OP9_SQL)
+    assert r["ok"], r
+
+
 def test_one_huge_conversation_is_many_blocks(spark):
     rows = [(1, t, "user", f"t{t}") for t in range(3000)] + [(2, t, "user", f"t{t}") for t in range(1500)]
     df = format_chats(frame(spark, rows), part=500, block=100)

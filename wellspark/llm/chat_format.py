@@ -7,8 +7,11 @@ is anti-joined away. Equal conversations are kept once (smallest conv_id). The
 maximal conversations are rendered with role markers.
 
 The rolling hash is the XOR of position-dependent turn hashes (two of 64 bits), so
-it can be put together from blocks of turns: a conversation that holds a third of
-all rows is many blocks, each windowed alone, with one row per block to chain them.
+it can be put together from blocks of turns. The turns are sorted by range over all
+tasks, by conversation, number and content; a task's rows are cut into blocks of
+``BLOCK``. A conversation that holds a third of all rows is many blocks, whatever its turn
+numbers are (one number for all, or none), each windowed alone, with one row per
+block to chain them.
 Rendering too is per part of ``PART`` turns; almost every conversation is one part.
 
 Defined cases: rows that repeat all of conv_id, turn, role and text count once;
@@ -44,14 +47,17 @@ def numbered_turns(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
     Only hashes of role and text (t1, t2) are shuffled here, not the texts.
     """
     turns = _hashed(conversations).select("conv_id", "turn", "t1", "t2", "role", "key").distinct()
-    turns = turns.withColumn("block", F.coalesce(F.floor(F.col("turn") / F.lit(block)), F.lit(2 ** 62)).cast("long"))
-    in_block = Window.partitionBy("conv_id", "block").orderBy("turn", F.asc_nulls_first("role"), F.asc_nulls_first("key"))
-    turns = stage(turns.withColumn("rn", F.row_number().over(in_block).cast("long")).drop("role", "key"), "chat-turns")
+    order = [F.asc_nulls_first("conv_id"), F.asc_nulls_last("turn"), F.asc_nulls_first("role"), F.asc_nulls_first("key")]
+    turns = turns.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    # The task in the upper bits, the row's place in it in the 33 lower ones.
+    turns = turns.withColumn("rn", F.col("at").bitwiseAND(F.lit((1 << 33) - 1)))
+    turns = turns.withColumn("block", F.col("at") - F.col("rn") + F.floor(F.col("rn") / F.lit(block)))
+    turns = stage(turns.drop("role", "key", "at"), "chat-turns")
 
     chain = Window.partitionBy("conv_id").orderBy("block")
     before = chain.rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (turns.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n"))
-             .withColumns({"offset": F.coalesce(F.sum("n").over(before), F.lit(0)),
+    sizes = (turns.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n"), F.min("rn").alias("first"))
+             .withColumns({"offset": F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1,
                            "n_turns": F.sum("n").over(Window.partitionBy("conv_id"))})
              .select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "offset", "n_turns"))
     same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))
@@ -121,4 +127,4 @@ p AS (SELECT DISTINCT md5(turns[1:k]::VARCHAR) AS prefix
       FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM c)),
 m AS (SELECT md5(turns::VARCHAR) AS whole, min(conv_id) AS conv_id, count(*) AS copies FROM c GROUP BY 1)
 SELECT c.conv_id, 0::BIGINT AS part, c.n_turns, m.copies, c.rendered
-FROM m JOIN c USING (conv_id) WHERE m.whole NOT IN (SELECT prefix FROM p)"""
+FROM m JOIN c ON c.conv_id IS NOT DISTINCT FROM m.conv_id WHERE m.whole NOT IN (SELECT prefix FROM p)"""
