@@ -33,6 +33,38 @@ def test_targets_match_resharing(spark, sizes):
     assert got == pytest.approx(targets(sizes))
 
 
+def test_targets_of_many_sources_over_many_tasks(spark):
+    """Sources such as domains: ranked and summed up task by task, not in one window."""
+    sizes = {f"host{i:05d}": (i * 7919) % 1000 for i in range(3000)} | {None: 17}
+    sized = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, size bigint, n bigint")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.source: r.target for r in source_targets(sized).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert got == pytest.approx(targets(sizes))
+
+
+def test_every_document_is_as_likely_as_its_neighbours(spark):
+    """Inclusion document by document: right on average whatever the size, and drawn anew with every seed."""
+    docs = documents(spark, [(i, "w " * (1, 6, 30)[i // 3 % 3], "abc"[i % 3]) for i in range(540)])
+    seeds, count, ratio, extra = 12, defaultdict(int), {}, defaultdict(int)
+    for seed in range(seeds):
+        for r in mix(docs, group=16, seed=seed).collect():
+            ratio[r.source] = r.target / r.source_size
+            count[r.doc_id] += r.copies
+            extra[r.source, r["size"]] += r.copies
+    for (source, size), n in extra.items():
+        assert abs(n / (seeds * 60) - ratio[source]) < 0.08, (source, size)
+    for k, source in enumerate("abc"):
+        p = ratio[source] % 1
+        drawn = [count[i] - seeds * int(ratio[source]) for i in range(k, 540, 3)]
+        mean = sum(drawn) / len(drawn)
+        spread = sum((d - mean) ** 2 for d in drawn) / len(drawn)
+        assert 0.6 * seeds * p * (1 - p) < spread < 1.4 * seeds * p * (1 - p)   # as of independent draws
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = op10_mixing(spark, SF)

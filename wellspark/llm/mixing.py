@@ -41,34 +41,47 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
+def running_sums(rows: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """``rows`` plus ``place`` (from 0) and, for every new name, the sum of a column over the rows before, in ``order``.
+
+    Sorted by range over all tasks; what is summed up in one place is one row per task.
+    """
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    placed = stage(placed.withColumn("__part", F.shiftright("__at", 33)), "mix-sorted")
+    placed = placed.withColumn("__one", F.lit(1).cast("long"))
+    sums = {"place": "__one", **sums}
+    parts = placed.groupBy("__part").agg(*[F.sum(c).alias(f"__{n}") for n, c in sums.items()])
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("__part", *[F.sum(f"__{n}").over(earlier).alias(f"__{n}") for n in sums])
+    inside = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    return (placed.join(F.broadcast(parts), "__part")
+            .withColumns({n: F.coalesce(f"__{n}", zero) + F.coalesce(F.sum(c).over(inside), zero) for n, c in sums.items()})
+            .drop("__at", "__part", "__one", *[f"__{n}" for n in sums]))
+
+
 def source_targets(sized: DataFrame, cycle: tuple[int, ...] = CYCLE, max_copies: float = MAX_COPIES) -> DataFrame:
     """(source, n_docs, source_size, target): shares by weight, capped, the excess reshared by weight.
 
     ``sized`` has source, size and n (how many rows are alike). Resharing until no
     target is above its cap ends at min(cap, level * weight) for one level, which
     is found by taking the sources in the order in which they reach their cap.
-    The windows run over one row per source.
     """
     per = sized.groupBy("source").agg(F.sum("n").alias("n_docs"),
                                       F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.get(F.array(*[F.lit(float(w)) for w in cycle]), F.pmod(rank, F.lit(len(cycle))))
+    per = running_sums(per, [F.asc_nulls_last("source")], {})
+    weight = F.get(F.array(*[F.lit(float(w)) for w in cycle]), F.pmod("place", F.lit(len(cycle))))
     per = per.withColumns({"weight": weight, "cap": F.col("source_size") * F.lit(float(max_copies))})
-    filled = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    every = Window.partitionBy()
-    before = filled.rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumns({
-        "total": F.sum("source_size").over(every).cast("double"),
-        "cap_before": F.coalesce(F.sum("cap").over(before), F.lit(0.0)),
-        "open_weight": F.sum("weight").over(filled.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
-    })
+    per = per.drop("place").withColumn("full_at", F.col("cap") / F.col("weight"))
+    per = stage(running_sums(per, [F.col("full_at"), F.asc_nulls_last("source")],
+                             {"cap_before": "cap", "weight_before": "weight"}), "mix-sources")
+    total = per.agg(F.sum("source_size").cast("double")).scalar()
+    weights = per.agg(F.sum("weight")).scalar()
     # The level if exactly the sources before this one were at their cap; the first that fits is the one.
-    level = (F.col("total") - F.col("cap_before")) / F.col("open_weight")
-    per = per.withColumns({"level": level, "place": F.row_number().over(filled)})
-    fits = F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.struct("place", "level"))
-    per = per.withColumn("level", F.coalesce(F.min(fits).over(every)["level"], F.lit(float("inf"))))
-    return per.select("source", "n_docs", "source_size",
-                      F.least(F.col("cap"), F.col("level") * F.col("weight")).alias("target"))
+    level = (total - F.col("cap_before")) / (weights - F.col("weight_before"))
+    fits = per.withColumn("level", level).filter("level <= full_at").agg(F.min(F.struct("place", "level")).alias("first"))
+    found = F.coalesce(fits.select("first.level").scalar(), F.lit(float("inf")))
+    return per.select("source", "n_docs", "source_size", F.least("cap", found * F.col("weight")).alias("target"))
 
 
 def _pair(held: Column, x: Column, seed: Column) -> Column:
