@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,14 +24,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+_OPEN: list[list[str]] = []   # tables staged in the scratches that are open, the innermost last
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are staged inside are deleted on leaving, however it is left.
+
+    Whatever reads them must have been written by then (``stage(..., keep=True)``).
+    """
+    staged: list[str] = []
+    _OPEN.append(staged)
+    try:
+        yield
+    finally:
+        _OPEN.remove(staged)
+        for path in staged:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under ``spark.checkpoint.dir`` that goes with the innermost open ``scratch``, if any."""
+    path = scratch_path(spark, name)
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), keep: bool = False) -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage with a table every executor can read again, so a lost
     executor costs a re-read and not a recomputation of all that came before.
+    Inside a ``scratch`` it lives as long as that, unless it is to be kept.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name) if keep else scratch_folder(spark, name)
     writer = df.write.mode("errorifexists").option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

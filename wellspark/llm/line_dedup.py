@@ -25,8 +25,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .common import ASCII_LOWER, ASCII_UPPER, CODEC, WHITE, ascii_lower, fingerprint, stage, table
+from .common import ASCII_LOWER, ASCII_UPPER, CODEC, WHITE, ascii_lower, fingerprint, scratch_folder, stage, table
 
 
 def split_lines(text: Column) -> Column:
@@ -153,7 +152,7 @@ def _marked(docs: DataFrame, min_docs: int, min_chars: int, batches: int, fanout
                      F.pmod(F.col("d2"), F.lit(batches)).cast("int").alias("batch")))
     lines = stage(lines, "line-hashes", ("batch",))
 
-    runs = LineRuns(spark, runs_root or scratch_path(spark, "line-runs"), fanout)
+    runs = LineRuns(spark, runs_root or scratch_folder(spark, "line-runs"), fanout)
     for b in range(batches):
         runs.add(lines.filter(F.col("batch") == b), min_docs)
 
