@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellspark.llm.common import stage, table
+from wellspark.llm.common import scratch, stage, table
 from wellspark.llm.decontaminate import drop_contaminated
 from wellspark.llm.line_dedup import drop_frequent_lines
 from wellspark.llm.mixing import mix_documents
@@ -68,5 +68,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):  # an operator's own tables go as soon as its documents are written
+            docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs
