@@ -1,11 +1,16 @@
+import os
 import re
 
+import pytest
+
 import corpus_pipeline
 import __spark_entry__ as entry
+from wellspark.llm.common import scratch, stage
 from wellspark.llm.decontaminate import contaminated
 from wellspark.llm.line_dedup import line_dedup
 from wellspark.llm.near_dedup import near_classes
 from wellspark.llm.toxicity import fit_toxicity, score_toxicity
+from wellspark.session import shared_dir
 
 from .helpers import SF, documents
 
@@ -43,6 +48,21 @@ def test_every_stage_takes_effect(spark):
     assert names == ["toxicity", "line_dedup", "near_dedup", "decontamination", "mixing"]
 
 
+def test_a_run_leaves_its_stages_only(spark):
+    """What the operators stage on the way is gone when a run is over, also when a stage fails."""
+    folder = f"{shared_dir(spark)}/wellspark"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    assert corpus_pipeline.run(spark, SF.replace("sf0.01", "sf0.001")).count() > 0
+    left = {re.sub("-[0-9a-f]{12}$", "", n) for n in set(os.listdir(folder)) - before}
+    assert left == {f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES}
+    before = set(os.listdir(folder))
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        assert stage(spark.range(3), "lost").count() == 3
+        stage(spark.range(3), "kept", keep=True)
+        1 / 0
+    assert {re.sub("-[0-9a-f]{12}$", "", n) for n in set(os.listdir(folder)) - before} == {"kept"}
+
+
 def test_edges_pass_through_all_stages(spark):
     docs = documents(spark, [(1, None), (2, ""), (None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"),
                              (6, "other words entirely here now")], key="k", node=1, copies=2)
@@ -58,7 +78,7 @@ def test_edges_pass_through_all_stages(spark):
 
 def test_registered_queries():
     names = list(entry.queries())
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
 
 
