@@ -44,8 +44,7 @@ SIZE = 5
 THRESHOLD = 0.8
 BITS = 64
 RADIUS = 23
-BROADCAST_SHINGLES = 1_000_000  # 16 MB; beyond it the documents' shingles are shuffled
-BROADCAST_STARTS = 100_000      # about 20 MB; beyond it the documents' words are shuffled
+BROADCAST_NUMBERS = 2_000_000   # 16 MB of numbers, those in arrays counted; beyond it both sides are shuffled
 WORDS = r"[\p{L}\p{N}_]+"
 
 
@@ -139,13 +138,17 @@ def _starts(found: DataFrame, k: int, threshold: float) -> DataFrame:
             .select("key", "n", F.array_union("at_match", aligned).alias("starts")))
 
 
+def _broadcast_if_small(df: DataFrame, numbers: Column) -> DataFrame:
+    """``df``, a staged table, marked for broadcast if all its rows together hold few enough ``numbers``."""
+    return F.broadcast(df) if (df.agg(F.sum(numbers)).first()[0] or 0) <= BROADCAST_NUMBERS else df
+
+
 def _with_shingles_of(slim: DataFrame, items: DataFrame, k: int, threshold: float, radius: int) -> DataFrame:
     items = items.withColumn("shingles", _shingles(F.col("h"), k))
     laid = (items.select("n", F.posexplode("shingles").alias("at", "sh"))
             .groupBy("sh").agg(F.collect_set(F.struct("at", "n")).alias("places")))
     laid = stage(laid, "item-shingles")
-    if laid.count() <= BROADCAST_SHINGLES:
-        laid = F.broadcast(laid)
+    laid = _broadcast_if_small(laid, 2 + 2 * F.size("places"))
     words_ = slim.filter(F.size("h") > 0).select("key", "h", F.posexplode("h").alias("pos", "__w"))
     at_word = words_.filter(F.col("pos") <= F.greatest(F.size("h") - k, F.lit(0))) \
         .select("key", F.size("h").alias("size"), "pos", _shingle(F.col("h"), F.col("pos"), k).alias("sh"))
@@ -154,9 +157,8 @@ def _with_shingles_of(slim: DataFrame, items: DataFrame, k: int, threshold: floa
              .agg(F.array_sort(F.collect_set("pos")).alias("pos"),
                   F.collect_set(F.col("pos") - F.col("place.at")).alias("aligned")))
     starts = stage(_starts(found, k, threshold), "window-starts")
-    few = starts.count() <= BROADCAST_STARTS
     # A document has one row here for each length of item, so its words meet few rows.
-    windows = (slim.join(F.broadcast(starts) if few else starts, "key")
+    windows = (slim.join(_broadcast_if_small(starts, 8 + F.size("starts")), "key")
                .select("key", "doc_id", "n", "h", F.explode("starts").alias("start"))
                .select("key", "doc_id", "n", "start", F.slice("h", F.col("start") + 1, F.col("n")).alias("win")).distinct())
     wid = [F.xxhash64(F.lit(1), "n", "win").alias("w1"), F.xxhash64(F.lit(2), "n", "win").alias("w2")]
