@@ -118,3 +118,15 @@ def test_scale_conf_sizes_partitions():
     assert c["spark.sql.adaptive.enabled"] == "true" and c["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = scale_conf(shuffle_bytes_estimate=1024 ** 3, executor_cores_total=4000)
     assert int(small["spark.sql.shuffle.partitions"]) == 12000  # never fewer than 3 waves of cores
+
+
+def test_a_union_of_bucketed_tables_is_grouped_right(spark):
+    """Rows of one key in two tables bucketed alike belong together (see session.RECOMMENDED_CONF)."""
+    import tempfile
+    spark.sql("CREATE DATABASE IF NOT EXISTS ws_union")
+    for k in (1, 2):
+        (spark.range(3).select(F.col("id").alias("h")).write.bucketBy(4, "h")
+         .option("path", tempfile.mkdtemp(prefix="ws-union-") + "/t").saveAsTable(f"ws_union.b{k}"))
+    both = spark.table("ws_union.b1").unionByName(spark.table("ws_union.b2"))
+    assert sorted(map(tuple, both.groupBy("h").count().collect())) == [(0, 2), (1, 2), (2, 2)]
+    spark.sql("DROP DATABASE ws_union CASCADE")

@@ -23,6 +23,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Spark 4.1.2 takes a union of tables bucketed alike for bucketed and groups it without a
+    # shuffle, but reads it as separate partitions: rows of one key stay apart.
+    "spark.sql.unionOutputPartitioning": "false",
     # Skip capturing the Python call site of every Column call while plans are
     # built (a driver-side cost only; error messages lose the Python origin).
     "spark.python.sql.dataFrameDebugging.enabled": "false",
