@@ -178,6 +178,22 @@ def test_crash_before_and_after_the_commit(spark, monkeypatch):
     assert sorted(r.activity_id for r in SF.read_quarantine(spark, f.target).collect()) == [2, 11, 21]
 
 
+def test_version_files_are_cleaned_up_as_batches_come(spark, monkeypatch):
+    import os
+    monkeypatch.setattr(SF, "VACUUM_EVERY", 2)
+    monkeypatch.setattr(SF, "VERSIONS_KEPT", 3)
+    f = Feed(spark)
+    for i in range(7):
+        f.drop(_row(i), _row(100 + i, elapsed_s=-1))
+    f.run(max_files_per_trigger=1)
+    files = [n for n in os.listdir(f"{f.target}/{versions.VERSIONS}") if n.endswith(".json")]
+    assert len(files) <= 4 and [i for i, _ in f.ids()] == list(range(7))
+    SF.compact_activities(spark, f.target)
+    versions.vacuum(spark, f.target, keep=1)
+    assert len(os.listdir(f"{f.target}/{versions.DATA}")) == 2      # one folder an output
+    assert [i for i, _ in f.ids()] == list(range(7)) and SF.read_quarantine(spark, f.target).count() == 7
+
+
 def test_a_batch_loaded_table_goes_on_as_a_stream(spark):
     """Ids that the batch job wrote are known to a stream that takes the table over."""
     f = Feed(spark)

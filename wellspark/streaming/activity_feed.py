@@ -48,6 +48,7 @@ def read_activity_feed(spark: SparkSession, path: str, max_files_per_trigger: in
 
 
 QUARANTINE = "quarantine"   # the output of a target that holds its rejected rows
+VACUUM_EVERY, VERSIONS_KEPT = 100, 20   # batches between clean-ups of the version files, and how many stay
 
 # State per id lives in RocksDB on the executors, its changes under the checkpoint: a batch reads and
 # writes the ids that it holds, however many there are.
@@ -119,7 +120,9 @@ def write_batch(batch: DataFrame, batch_id: int, target: str, source: str) -> No
     schema_of = {versions.ROWS: _CLEAN, QUARANTINE: _REJECTED}
     folder_of = {o: f"{folder}/{versions.OUTPUT}={o}" for o in schema_of}
     written = {o: [f] if exists(spark, f"{target.rstrip('/')}/{f}") else [] for o, f in folder_of.items()}
-    versions.commit(spark, target, written, schema_of, token=token)
+    after = versions.commit(spark, target, written, schema_of, token=token)
+    if after.number % VACUUM_EVERY == 0:
+        versions.vacuum(spark, target, keep=VERSIONS_KEPT)
 
 
 def read_quarantine(spark: SparkSession, target: str) -> DataFrame | None:
@@ -128,7 +131,10 @@ def read_quarantine(spark: SparkSession, target: str) -> DataFrame | None:
 
 
 def compact_activities(spark: SparkSession, target: str) -> None:
-    """Merge the folders that batches leave; batches may go on meanwhile. ``versions.vacuum`` drops the old ones."""
+    """Merge the folders that batches leave (a version names them all); batches may go on meanwhile.
+
+    The old folders go with the next clean-up, once no version kept names them.
+    """
     for output in (versions.ROWS, QUARANTINE):
         versions.compact(spark, target, output, ["activity_year"])
 
